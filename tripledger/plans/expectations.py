@@ -77,6 +77,13 @@ def audit_overlap(valid: DataFrame, quarantine: DataFrame) -> DataFrame:
     return valid.select("id").join(rejected, "id", "left_semi")
 
 
-def differences(first: DataFrame, second: DataFrame) -> DataFrame:
-    """Rows that one frame has more often than the other."""
-    return first.exceptAll(second).unionAll(second.exceptAll(first))
+def compare(first: DataFrame, second: DataFrame) -> DataFrame:
+    """Rows of the first frame, and how many rows either has more often than the other.
+
+    Each frame is computed once: equal rows meet in one grouping and cancel out.
+    """
+    sides = (first.withColumn("side", F.lit(1)).unionByName(second.withColumn("side", F.lit(-1))))
+    balance = sides.groupBy(*first.columns).agg(
+        F.sum("side").alias("surplus"), F.count_if(F.col("side") == 1).alias("n"))
+    return balance.agg(F.sum("n").alias("rows"),
+                       F.sum(F.abs("surplus")).alias("differing_rows"))
