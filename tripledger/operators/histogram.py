@@ -120,8 +120,11 @@ def interpolated(low: Column, high: Column, weight: Column) -> Column:
 
 
 def percentile_columns(found: DataFrame, labels: Sequence[str], scale: int = 1,
-                       places: int = 6) -> DataFrame:
-    """One row per name with a column per label, in units of 1/scale."""
+                       places: int = 9) -> DataFrame:
+    """One row per name with a column per label, in units of 1/scale.
+
+    Between two millionths a percentile has up to nine digits, so nine are kept.
+    """
     value = F.round(interpolated(F.col("low").cast("double"), F.col("high").cast("double"),
                                  F.col("weight")) / F.lit(float(scale)), places)
     return found.groupBy("name").agg(

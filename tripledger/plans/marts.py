@@ -169,7 +169,8 @@ def top_areas(valid: DataFrame, limit: int) -> DataFrame:
     """The best rows per dimension; the row-number filter prunes inside each task first."""
     best = Window.partitionBy("dimension").orderBy(F.col("trip_count").desc(), "area_key")
     return (area_counts(valid).withColumn("rank_in_dimension", F.row_number().over(best))
-            .where(F.col("rank_in_dimension") <= limit).drop("head"))
+            .where(F.col("rank_in_dimension") <= limit).drop("head")
+            .withColumn("rank_in_dimension", F.col("rank_in_dimension").cast("bigint")))
 
 
 def vendor_performance(valid: DataFrame) -> DataFrame:

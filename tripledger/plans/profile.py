@@ -181,7 +181,7 @@ def measure_percentiles(trips: DataFrame, points: Mapping[str, float] = POINTS)
     found = exact_percentiles(
         as_units(trips, {name: _units(c, scale) for name, c, scale in MEASURES}), points)
     scale = F.when(F.col("name") == "duration", 1.0).otherwise(float(MICRO))
-    value = F.round((F.col("low") + (F.col("high") - F.col("low")) * F.col("weight")) / scale, 6)
+    value = F.round((F.col("low") + (F.col("high") - F.col("low")) * F.col("weight")) / scale, 9)
     return found.groupBy(F.col("name").alias("column_name")).agg(
         *[F.max(F.when(F.col("label") == label, value)).alias(label) for label in points])
 
@@ -364,10 +364,10 @@ def threshold_candidates(trips: DataFrame) -> DataFrame:
         if method == "business":
             return F.lit(BUSINESS[threshold])
         if method == "quarter of median":
-            return F.round(point(measure, "p50") * 0.25, 6)
+            return F.round(point(measure, "p50") * 0.25, 9)
         if method == "IQR":
             low, high = point(measure, "p25"), point(measure, "p75")
-            return F.round(high + (high - low) * 1.5, 6)
+            return F.round(high + (high - low) * 1.5, 9)
         return point(measure, "p" + method.split("P")[-1].replace(".", ""))
 
     names = [f"{t}_{letter}" for t, _, letter, _, _, _ in CANDIDATES]
