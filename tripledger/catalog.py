@@ -17,7 +17,7 @@ from tripledger.plans import distributions as dist
 from tripledger.plans import expectations as ex
 from tripledger.plans import kpis, marts, panels, profile, star
 from tripledger.plans.pipeline import valid_rates
-from tripledger.session import pin_utc, scratch_dir
+from tripledger.session import prepare, scratch_dir
 from tripledger.sources import feed, landing
 from tripledger.sources.contract import SOURCE_COLUMNS
 
@@ -36,7 +36,7 @@ class Frames:
     """The lazy frames the queries share; nothing runs until a query's result is used."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, settings: Settings = SETTINGS):
-        pin_utc(spark)
+        prepare(spark)
         self.spark, self.sf_dir, self.settings = spark, sf_dir, settings
 
     @cached_property
@@ -296,7 +296,7 @@ _QUERIES: dict[str, Callable[[Frames], DataFrame]] = {
     "trip_feed": lambda f: f.feed,
     "bronze_rows": _bronze_rows,
     "bronze_stamp": _bronze_stamp,
-    "file_hash": lambda f: landing.file_hashes(_files(f)).drop("file_path"),
+    "file_hash": lambda f: landing.file_hashes(_files(f)).drop("file_path", "path"),
     "file_profile": lambda f: landing.file_profile(_files(f)),
     "bronze_idempotent": lambda f: _landed_twice(f, force=False),
     "bronze_force_replay": lambda f: _landed_twice(f, force=True),

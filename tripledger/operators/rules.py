@@ -121,8 +121,13 @@ def any_of(conditions) -> Column:
     return reduce(operator.or_, conditions)
 
 
-def _first_failure(value: Callable[[Rule], str]) -> Column:
-    return F.coalesce(*[F.when(~F.col(r.column), value(r)) for r in REJECTING])
+def _first_failure() -> Column:
+    """Position of the first rejecting rule a row fails, from 1; NULL when it passes all."""
+    return F.coalesce(*[F.when(~F.col(r.column), i) for i, r in enumerate(REJECTING, 1)])
+
+
+def _by_position(values: list[str]) -> Column:
+    return F.get(F.array(*[F.lit(v) for v in values]), F.col("first_failure") - 1)
 
 
 def coordinate_class() -> Column:
@@ -148,10 +153,12 @@ def judge(rows: DataFrame, settings: Settings) -> DataFrame:
     return passed.withColumns({
         **{r.outcome: ~F.col(r.column) for r in FLAGGING},
         "coordinate_anomaly": coordinate_class(),
-        "rule_id": _first_failure(lambda r: r.rule_id),
-        "quarantine_reason": _first_failure(lambda r: r.outcome),
-        "is_valid_trip": all_of(F.col(r.column) for r in REJECTING),
-    })
+        "first_failure": _first_failure(),
+    }).withColumns({
+        "rule_id": _by_position([r.rule_id for r in REJECTING]),
+        "quarantine_reason": _by_position([r.outcome for r in REJECTING]),
+        "is_valid_trip": F.col("first_failure").isNull(),
+    }).drop("first_failure")
 
 
 def evaluate(trips: DataFrame, settings: Settings) -> DataFrame:

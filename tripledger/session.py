@@ -17,6 +17,7 @@ def local_session(cores: str = "8", app: str = "tripledger") -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -25,13 +26,18 @@ def local_session(cores: str = "8", app: str = "tripledger") -> SparkSession:
     return spark
 
 
-def pin_utc(spark: SparkSession) -> None:
-    """Trip times are wall-clock values without a zone.
+def prepare(spark: SparkSession) -> None:
+    """Session settings the queries rely on.
 
-    Second differences and hour extraction pass through the session zone, and a zone with a
-    daylight-saving gap would shift some of them.
+    Trip times are wall-clock values without a zone. Second differences and hour extraction pass
+    through the session zone, and a zone with a daylight-saving gap would shift some of them.
+
+    The JVM never compiles a method of more than 8000 bytes. Judging a row against all rules in
+    one generated method is longer, so Spark is told to split such a stage instead of running it
+    interpreted, which is several times slower.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
 
 
 @functools.cache

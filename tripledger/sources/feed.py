@@ -44,9 +44,19 @@ def _plus(ts: Column, seconds: Column) -> Column:
     return F.timestamp_add("SECOND", seconds.cast("int"), ts)
 
 
+def use_all_cores(rows: DataFrame) -> DataFrame:
+    """Spread a table that arrives in fewer pieces than there are cores.
+
+    A file with one row group is one task however small the split size. Tables with many files
+    already have more pieces than cores and are left where they are.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed trips with their batch; column ``h`` is the mix number the defects hang on."""
-    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    items = use_all_cores(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
     mix = (F.col("l_orderkey") * 7919 + F.col("l_partkey") * 104729
            + F.col("l_linenumber").cast("bigint") * 1299709) % 1000003
     rows = items.withColumn("h", mix.cast("bigint"))

@@ -26,11 +26,14 @@ FILES_PER_PASS = 100_000
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """Path, name, size and time of every CSV file; the contents are not read."""
+    """Path, name, size and time of every CSV file; the contents are not read.
+
+    ``file_path`` is the escaped address that rows carry, ``path`` what a reader is given.
+    """
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
              .option("recursiveFileLookup", "true").load(path))
     return files.select(
-        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_path").alias("file_path"), "path",
         F.col("_metadata.file_name").alias("source_file"),
         F.col("length").alias("bytes"), F.col("modificationTime").alias("modified_at"))
 
@@ -73,10 +76,10 @@ def file_hashes(files: DataFrame) -> DataFrame:
     One file is one sequential stream by definition of the hash; files are hashed in parallel,
     a megabyte at a time, so a file larger than memory is no problem.
     """
-    named = files.select("file_path", "source_file", "bytes")
+    named = files.select("file_path", "path", "source_file", "bytes")
     return named.mapInPandas(
         _per_file(_sha256, "source_hash"),
-        "file_path string, source_file string, bytes bigint, source_hash string")
+        "file_path string, path string, source_file string, bytes bigint, source_hash string")
 
 
 def read_text_rows(spark: SparkSession, paths: list[str] | str) -> DataFrame:
@@ -121,7 +124,7 @@ class Landing:
         """Files whose content is not logged; the same content twice is one file."""
         hashes = file_hashes(list_files(self.spark, path))
         first = hashes.groupBy("source_hash").agg(
-            F.min(F.struct("file_path", "source_file", "bytes")).alias("file"))
+            F.min(F.struct("file_path", "path", "source_file", "bytes")).alias("file"))
         files = first.select("file.*", "source_hash")
         if force:
             return files
@@ -142,7 +145,7 @@ class Landing:
         for number in range(passes):
             part = hashes.where(F.pmod(F.xxhash64("file_path"), F.lit(passes)) == number)
             # Names of files to read, at most one pass of them; the reader lists the same names.
-            paths = [row.file_path for row in part.select("file_path").toLocalIterator()]
+            paths = [row.path for row in part.select("path").toLocalIterator()]
             if not paths:
                 continue
             rows = stamped(read_text_rows(self.spark, paths), part, now)
