@@ -114,13 +114,14 @@ SELECT *,
        THEN CAST((km_u * 7200 + trip_duration) // (2 * trip_duration) AS BIGINT) END AS kmh_u,
   CAST(kmh_u AS DOUBLE) / 1000000 AS estimated_speed_kmh
 FROM (
-  SELECT *, CAST(round(asin(least(1, sqrt(
+  SELECT *, CASE WHEN pickup_latitude + pickup_longitude + dropoff_latitude + dropoff_longitude
+                      IS NOT NULL THEN CAST(round(asin(least(1, sqrt(
       sin(radians(dropoff_latitude - pickup_latitude) / 2)
         * sin(radians(dropoff_latitude - pickup_latitude) / 2)
       + cos(radians(pickup_latitude)) * cos(radians(dropoff_latitude))
         * (sin(radians(dropoff_longitude - pickup_longitude) / 2)
            * sin(radians(dropoff_longitude - pickup_longitude) / 2))
-    ))) * 12742 * 1000000) AS BIGINT) AS km_u
+    ))) * 12742 * 1000000) AS BIGINT) END AS km_u
   FROM feed)"""
 
 _EARTH = ("coalesce({e}_latitude BETWEEN -90 AND 90 AND {e}_longitude BETWEEN -180 AND 180"

@@ -263,7 +263,7 @@ def vendor_profile_full(valid: DataFrame, settings: Settings) -> DataFrame:
                              micro(F.col("estimated_distance_km")).alias("v"))
     median = percentile_columns(exact_percentiles(distances, {"median_distance": 0.5}),
                                 ["median_distance"], MICRO)
-    total = F.sum("trip_count").over(Window.partitionBy(F.lit(0)))
+    total = cells.agg(F.sum("trip_count")).scalar()
     return (cells.withColumn("trip_share", pct(F.col("trip_count"), total))
             .join(median, F.col("vendor_id").cast("string") == F.col("name"), "left")
             .select("vendor_id", "trip_count", "trip_share", "avg_duration",

@@ -184,8 +184,8 @@ def vendor_performance(valid: DataFrame) -> DataFrame:
         avg_kmh().alias("avg_estimated_speed_kmh"),
     )
     median, p90 = F.col("p")[0], F.col("p")[1]
-    everyone = Window.partitionBy(F.lit(0))
-    totals = per_vendor.withColumn("total_trips", F.sum("vendor_trips").over(everyone))
+    totals = per_vendor.withColumn("total_trips",
+                                   per_vendor.agg(F.sum("vendor_trips")).scalar())
     return totals.select(
         "vendor_id", "vendor_trips", "total_trips",
         pct(F.col("vendor_trips"), F.col("total_trips")).alias("kpi_013_vendor_trip_share_pct"),

@@ -265,8 +265,8 @@ def profile_saf(trips: DataFrame) -> DataFrame:
     """By normalised store-and-forward flag."""
     by_flag = _by_group(trips.withColumnRenamed("store_and_fwd_flag_raw", "flag"), "flag",
                         {"p50": 0.5, "p90": 0.9})
-    everyone = Window.partitionBy(F.lit(0))
-    return by_flag.withColumn("percentage", _share(F.col("n"), F.sum("n").over(everyone)))
+    total = trips.agg(F.count("*")).scalar()
+    return by_flag.withColumn("percentage", _share(F.col("n"), total))
 
 
 def rule_counts(judged: DataFrame) -> DataFrame:
