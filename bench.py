@@ -1,7 +1,7 @@
 """Times the headline queries and prints one JSON line.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_REPEAT (default 3, the median counts). Every query runs once before it is timed.
+BENCH_REPEAT (default 1, the median counts). Every query runs once before it is timed.
 """
 
 from __future__ import annotations
@@ -56,7 +56,7 @@ def timed(action, repeat: int) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = local_session(os.environ.get("BENCH_CPUS", "8"), "tripledger-bench")
-    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "1"))
     seconds = {name: timed(lambda: run(QUERIES[name](spark, sf_dir)), repeat) for name in HEADLINE}
     for name, action in (("full_build", full_build), ("full_profile", full_profile)):
         seconds[name] = timed(lambda: action(spark, sf_dir), 1)
