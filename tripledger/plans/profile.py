@@ -40,14 +40,16 @@ def _blank(name: str) -> Column:
 
 
 def profile_run(landed: DataFrame, run_id: str) -> DataFrame:
+    """What was profiled. The load id belongs to the landing folder, not to the trips."""
+    columns = [c for c in landed.columns if c != "load_id"]
     return landed.agg(
         F.lit(run_id).alias("profiling_run_id"),
         F.min("source_file").alias("source_file"),
         F.min("source_hash").alias("source_hash"),
         F.count("*").alias("row_count"),
-        F.lit(len(landed.columns)).alias("column_count"),
+        F.lit(len(columns)).alias("column_count"),
         F.countDistinct("source_hash").alias("batches"),
-        F.lit("PASS" if len(landed.columns) >= len(SOURCE_COLUMNS) else "FAIL")
+        F.lit("PASS" if len(columns) >= len(SOURCE_COLUMNS) else "FAIL")
         .alias("profile_status"),
     )
 
