@@ -23,8 +23,19 @@ from tripledger.session import scratch_dir
 
 from .store import join_counted, settings, stored
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# The state is on disk, and a task closes its part when done: an open one holds some MB for itself.
+DISK_STATE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
+}
 FILES_PER_BATCH = 2000
+# Let Spark filter the texts of rows that were never hit before it deals them out. The filter's size
+# is bounded by its own settings, so the size of the groups table need not be.
+FILTERED = {
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1000t",
+}
 
 
 def sha256(text: Column) -> Column:
@@ -70,7 +81,7 @@ def stream_groups(spark: SparkSession, path: str, schema,
                    .parquet(path)).select("digest", "place")
     counted = rows.groupBy("digest").agg(F.count("*").alias("group_size"),
                                          F.max("place").alias("keep"))
-    with settings(spark, {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}):
+    with settings(spark, DISK_STATE):
         query = (counted.writeStream.outputMode("update").format("noop")
                  .option("checkpointLocation", log).trigger(availableNow=True).start())
         query.awaitTermination()
@@ -104,7 +115,8 @@ def _differing(staged: Staged) -> DataFrame:
 def _verdicts(staged: Staged, columns: list[str]) -> DataFrame:
     """Every row's chosen columns with group_size, keep_id and kept."""
     need = ["digest", "place", *columns]
-    differing = stored(_differing(staged), "dedup-differing")
+    with settings(staged.rows.sparkSession, FILTERED):
+        differing = stored(_differing(staged), "dedup-differing")
     rows, groups = staged.rows, staged.groups
     out = []
     if not differing.isEmpty():
