@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, repetition
+from . import exact_dedup, near_dedup, repetition
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,9 +29,16 @@ def op5_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *repetition.COUNTS, "base_failed", "kept", *repetition.SHARES)
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup.classes(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id",
+                        (F.col("id") == F.col("component_id")).alias("kept"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op5_repetition": op5_repetition,
+    "op8_near_dedup": op8_near_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -13,10 +13,14 @@ fewer than 20 with a probability below one in a million, so MATCHES is 20.
   those with MATCHES or more are compared exactly.
 
 A posting list of n nodes isn't written out as n^2 pairs. In each round every node of a list is
-paired with the list's hub, the first node in that round's order. Lists whose nodes are in one
-component already are finished. After the rounds, what is left is joined in full: every pair of nodes
-that share a list and are still in different components, except those that the triangle inequality
-of the Jaccard distance rules out by their distances to a common hub.
+paired with the list's hub: first the node with the largest share of shingles that others have too,
+then the first by a hash. Lists whose nodes are in one component already are finished. After the
+rounds, what is left is joined in full: every pair of nodes that share a list and are still in
+different components. Sets x and y with a similarity of 0.75 have 3/7 (|x| + |y|) shingles in common
+or more, so a pair in which one side has fewer shingles that any other node has is never emitted.
+Where both were compared with the same hub h, x and y have no more in common than the smaller of
+|x & h| and |y & h| and the smaller of their shared shingles outside h. Both bounds are exact, and
+they end the search among many loose copies of one text, most of whose pairs are below the threshold.
 
 Defined results: a null or empty text, or one without words, has an empty set, is linked with
 nothing and is its own component; fewer than five words are one shingle; repeated rows are linked,
@@ -43,7 +47,7 @@ SHINGLE = 5
 COORDINATES = 48
 MATCHES = 20
 PERCENT = 75
-HUB_ROUNDS = 2
+HUB_ROUNDS = 1
 SALTED = 500  # pairs that share one copy of a hub's set
 FILTER_BITS = 1 << 24  # size of the membership filter that spares most documents the second pass
 
@@ -173,7 +177,7 @@ def _with_side(pairs: DataFrame, side: str, table: DataFrame, column: str) -> Da
 
 
 def compared(pairs: DataFrame, keys: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, distance, linked) of the pairs that agree in MATCHES coordinates, from full sets."""
+    """(a, b, common, linked) of the pairs that agree in MATCHES coordinates, from full sets."""
     both = _with_side(_with_side(pairs, "a", keys, "keys"), "b", keys, "keys")
     close = stored(both.where(F.size(F.array_intersect("a_keys", "b_keys")) >= MATCHES)
                    .select("a", "b"), "close")
@@ -181,47 +185,83 @@ def compared(pairs: DataFrame, keys: DataFrame, sets: DataFrame) -> DataFrame:
     common = F.size(F.array_intersect("a_members", "b_members")).cast("bigint")
     united = F.size("a_members") + F.size("b_members") - F.col("common")
     return (full.select("a", "b", "a_members", "b_members", common.alias("common"))
-            .select("a", "b", (1 - F.col("common") / united).alias("distance"),
-                    (100 * F.col("common") >= PERCENT * united).alias("linked")))
+            .select("a", "b", "common", (100 * F.col("common") >= PERCENT * united).alias("linked")))
 
 
-def _rank(turn: int) -> Column:
-    """The order that decides the hub in a round: by the node's name, from the other end in turn."""
-    return F.col("node") if turn == 0 else F.sha2(F.concat(F.col("node"), F.lit(str(turn)).cast("binary")),
-                                                  256)
+def shared_counts(sets: DataFrame) -> DataFrame:
+    """(node, size, common): the set's size and how many of its shingles another set has too."""
+    members = sets.select("node", F.explode("members").alias("member"))
+    uses = members.groupBy("member").agg(F.count("*").alias("n")).where("n > 1")
+    total = sets.agg(F.sum(F.size("members"))).first()[0] or 0
+    met = join_counted(members, stored(uses, "shared-shingles"), "member", "n", total, "inner")
+    return (met.groupBy("node").agg(F.count("*").alias("common"))
+            .join(sets.select("node", F.size("members").cast("bigint").alias("size")), "node"))
+
+
+def _possible(size_a: str, common_a: str, size_b: str, common_b: str) -> Column:
+    """No fewer shared shingles on either side than two sets at the threshold have in common."""
+    return ((100 + PERCENT) * F.least(F.col(common_a), F.col(common_b))
+            >= PERCENT * (F.col(size_a) + F.col(size_b)))
 
 
 def _open_lists(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    """(key, node, label) of the lists whose nodes are in more than one component."""
-    known = lists.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    """The rows of ``lists`` with labels whose list has nodes of more than one component."""
+    known = stored(lists.join(labels, "node", "left")
+                   .withColumn("label", F.coalesce("label", "node")), "labelled")
     ends = known.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"),
                                     F.count("*").alias("n")).where("low <> high")
-    total = known.count()
-    return join_counted(known, ends.select("key", "n"), "key", "n", total, "inner")
+    return join_counted(known, ends.select("key", "n"), "key", "n", known.count(), "inner")
 
 
-def _hub_pairs(lists: DataFrame, turn: int) -> DataFrame:
-    hubs = lists.groupBy("key").agg(F.min(F.struct(_rank(turn).alias("rank"), "node", "label")).alias("hub"),
-                                    F.count("*").alias("size"))
-    met = join_counted(lists.drop("n"), hubs, "key", "size", lists.count(), "inner")
-    return (met.where(F.col("label") != F.col("hub.label"))
-            .select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b"))
-            .distinct())
+def _pair(a: str, b: str) -> list[Column]:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _rest_pairs(lists: DataFrame, tested: DataFrame) -> DataFrame:
-    """Every pair of nodes that share a list and not a component, less the ones tested and the ones
-    too far apart by the triangle inequality over a hub that both were compared with."""
+def _hub_pairs(lists: DataFrame, turn: int) -> DataFrame:
+    order = (F.col("common") / F.col("size") if turn == 0
+             else F.xxhash64("node", F.lit(turn))).alias("order")
+    hubs = lists.groupBy("key").agg(
+        F.max(F.struct(order, "node", "label", "size", "common")).alias("hub"),
+        F.count("*").alias("n"))
+    met = join_counted(lists, hubs, "key", "n", lists.count(), "inner")
+    return (met.where(F.col("label") != F.col("hub.label"))
+            .where(_possible("size", "common", "hub.size", "hub.common"))
+            .select(*_pair("node", "hub.node")).distinct())
+
+
+def references(tested: DataFrame) -> DataFrame:
+    """(node, ref, met): for each compared node the partner most nodes were compared with, and the
+    number of shingles they have in common."""
+    both = tested.select(F.col("a").alias("node"), F.col("b").alias("ref"), "common").unionByName(
+        tested.select(F.col("b").alias("node"), F.col("a").alias("ref"), "common"))
+    uses = both.groupBy("ref").agg(F.count("*").alias("uses"))
+    return (join_counted(both, uses, "ref", "uses", 2 * tested.count(), "inner")
+            .groupBy("node").agg(F.max(F.struct("uses", "ref", F.col("common").alias("met")))
+                                 .alias("best"))
+            .select("node", "best.ref", "best.met"))
+
+
+def _rest_pairs(lists: DataFrame, tested: DataFrame, keys: DataFrame) -> DataFrame:
+    """Every possible pair of nodes that share a list and not a component, less those compared.
+    A pair comes from the first list of those it shares."""
+    lists = (lists.join(references(tested), "node", "left")
+             .withColumn("outside", F.col("common") - F.col("met"))
+             .join(keys.select("node", "prefix"), "node"))
     main = (lists.groupBy("key", "label").agg(F.count("*").alias("m"))
             .groupBy("key").agg(F.max(F.struct("m", "label")).alias("main")))
     minor = (lists.join(main, "key").where("label <> main.label")
-             .select("key", F.col("node").alias("x"), F.col("label").alias("x_label"),
-                     F.col("main.label").alias("main_label")))
-    pairs = (minor.join(lists.drop("n"), "key")
-             .where((F.col("label") != F.col("x_label"))
-                    & ((F.col("label") == F.col("main_label")) | (F.col("x") < F.col("node"))))
-             .select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b"))
-             .distinct())
+             .select("key", F.col("main.label").alias("main_label"),
+                     *[F.col(c).alias(f"x_{c}") for c in lists.columns if c != "key"]).withColumnRenamed("key", "x_key"))
+    # A pair off the main component would come up from both sides.
+    apart = ((F.col("label") != F.col("x_label"))
+             & ((F.col("label") == F.col("main_label")) | (F.col("x_node") < F.col("node"))))
+    over_hub = ((100 + PERCENT) * (F.least("met", "x_met") + F.least("outside", "x_outside"))
+                >= PERCENT * (F.col("size") + F.col("x_size")))
+    bound = F.when(F.col("ref") == F.col("x_ref"), over_hub).otherwise(F.lit(True))
+    first = F.element_at(F.array_intersect("x_prefix", "prefix"), 1) == F.col("key")
+    pairs = (minor.join(lists, (F.col("x_key") == F.col("key")) & apart
+                        & _possible("size", "common", "x_size", "x_common") & bound & first)
+             .select(*_pair("x_node", "node")))
     return pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
 
 
@@ -229,15 +269,17 @@ def linked_nodes(docs: DataFrame, nodes: DataFrame, text: str) -> DataFrame:
     """(node, label): the component of each node that has a link."""
     keys = stored(shared_keys(nodes), "shared-keys")
     sets = stored(full_sets(docs, text, keys), "full-sets")
-    lists = stored(keys.select("node", F.explode("prefix").alias("key")), "prefix-lists")
+    able = shared_counts(sets).where(100 * F.col("common") >= PERCENT * F.col("size"))
+    lists = stored(keys.join(able, "node")
+                   .select("node", "size", "common", F.explode("prefix").alias("key")), "lists")
     spark = docs.sparkSession
     labels = spark.createDataFrame([], "node binary, label binary")
-    tested = spark.createDataFrame([], "a binary, b binary, distance double, linked boolean")
+    tested = spark.createDataFrame([], "a binary, b binary, common bigint, linked boolean")
     for turn in range(HUB_ROUNDS + 1):
         still = stored(_open_lists(lists, labels).drop("n"), "open-lists")
         if still.isEmpty():
             break
-        pairs = _hub_pairs(still, turn) if turn < HUB_ROUNDS else _rest_pairs(still, tested)
+        pairs = _hub_pairs(still, turn) if turn < HUB_ROUNDS else _rest_pairs(still, tested, keys)
         pairs = stored(pairs, "pairs")
         tested = stored(tested.unionByName(compared(pairs, keys, sets)), "tested")
         labels = stored(components(tested.where("linked").select("a", "b")), "components")
