@@ -6,18 +6,34 @@ contract's columns from the operator's result.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, near_dedup, repetition
+from . import exact_dedup, mixing, near_dedup, pieces, quality, repetition, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer(name: str) -> str:
+    """Where a public vocabulary file is: below TOKENIZERS, or where its package has it."""
+    if folder := os.environ.get("TOKENIZERS"):
+        return os.path.join(folder, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select(F.col("id").alias("doc_id"), "held_out", "score",
+                        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact_dedup.groups_of_equals(table(spark, sf_dir, "documents"))
     return groups.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept",
@@ -29,16 +45,37 @@ def op5_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *repetition.COUNTS, "base_failed", "kept", *repetition.SHARES)
 
 
+def op6_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.replicated(table(spark, sf_dir, "documents"))
+    return found.select("row.doc_id", "row.source", F.length("row.text").cast("bigint").alias("n_chars"),
+                        "copies", "copy", "place")
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select(F.col("id").alias("doc_id"), "held_out", "score",
+                        F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dedup.classes(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id",
                         (F.col("id") == F.col("component_id")).alias("kept"))
 
 
+def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pieces.digests(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_exact_dedup": op2_exact_dedup,
     "op5_repetition": op5_repetition,
+    "op6_poisson_mixing": op6_poisson_mixing,
+    "op7_quality": op7_quality,
     "op8_near_dedup": op8_near_dedup,
+    "op9_pieces": op9_pieces,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -47,4 +84,23 @@ ORACLE_SQL: dict[str, str] = {
                count(*) OVER (PARTITION BY text) AS group_size,
                doc_id = max(doc_id) OVER (PARTITION BY text) AS kept, sha256(text) AS text_sha256
         FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)""",
+    "op6_poisson_mixing": """
+        WITH sizes AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+        total AS (SELECT sum(n) AS all_rows, sum(pow(n, 0.7)) AS mass FROM sizes),
+        means AS (SELECT source, least(pow(n, 0.7) / mass * all_rows / n, 4.0) AS mean
+                  FROM sizes, total),
+        steps AS (SELECT source, k, sum(exp(-mean + k * ln(mean) - lgamma(k + 1)))
+                         OVER (PARTITION BY source ORDER BY k) AS reached
+                  FROM means, (SELECT unnest(range(0, 32)) AS k)),
+        rows AS (SELECT doc_id, text, source, ('0x' || substr(md5('7:' || coalesce(doc_id::VARCHAR, '')
+                        || ':' || coalesce(text, '')), 1, 13))::BIGINT / 4503599627370496.0 AS number
+                 FROM documents),
+        copies AS (SELECT doc_id, text, r.source, (k + 1)::INTEGER AS copy
+                   FROM rows r JOIN steps s ON r.source IS NOT DISTINCT FROM s.source
+                   AND r.number >= s.reached)
+        SELECT doc_id, source, length(text) AS n_chars,
+               (count(*) OVER (PARTITION BY doc_id, text))::INTEGER AS copies, copy,
+               md5('7 place:' || copy || ':' || coalesce(doc_id::VARCHAR, '') || ':'
+                   || coalesce(text, '')) AS place
+        FROM copies""",
 }
