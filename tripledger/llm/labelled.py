@@ -31,9 +31,8 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, key: s
     by a hash, among those for which ``learn`` holds. Rows without key or label are not used."""
     known = labels.select(F.col(key).alias("id"), F.col(label).cast("int").alias("label"))
     able = known.where(learn & F.col("id").isNotNull())
-    order = [F.xxhash64("id", F.lit(11)), "id"]
-    few = able.where("label = 0").orderBy(*order).limit(per_label).union(
-        able.where("label = 1").orderBy(*order).limit(per_label))
+    few = first_by_hash(able.where("label = 0"), "id", per_label).union(
+        first_by_hash(able.where("label = 1"), "id", per_label))
     texts = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text"))
     return texts.join(F.broadcast(few), "id").select("label", "text")
 
@@ -45,6 +44,19 @@ def bucket(term: bytes) -> int:
     return (zlib.crc32(term) * 0x9E3779B1 >> 7) % BUCKETS
 
 
+def first_by_hash(rows: DataFrame, key: str, n: int, seed: int = 11) -> DataFrame:
+    """The ``n`` rows with the smallest hash of their key, or all if there are fewer.
+
+    About 2 n rows are below the cut that the number of rows gives, so the sort is of those alone.
+    """
+    total, half = rows.count(), 1 << 62
+    order = F.shiftright(F.xxhash64(key, F.lit(seed)), 1) + half  # from 0 up to 2 * half
+    ordered = rows.withColumn("hashed", order)
+    if total > 8 * n:
+        ordered = ordered.where(F.col("hashed") < int(2 * half * (2 * n / total)))
+    return ordered.orderBy("hashed", key).limit(n).drop("hashed")
+
+
 Terms = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
