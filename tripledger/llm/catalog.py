@@ -6,26 +6,26 @@ contract's columns from the operator's result.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, near_dedup, pieces, pii, quality, repetition, toxicity
+import corpus_pipeline
 
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def tokenizer(name: str) -> str:
-    """Where a public vocabulary file is: below TOKENIZERS, or where its package has it."""
-    if folder := os.environ.get("TOKENIZERS"):
-        return os.path.join(folder, name)
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
+from . import (
+    exact_dedup,
+    language_model,
+    mixing,
+    near_dedup,
+    pages,
+    pieces,
+    pii,
+    quality,
+    repetition,
+    toxicity,
+)
+from .sources import table, tokenizer
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,6 +40,17 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language_model.language_scores(table(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
+def op4_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pages.extracted(table(spark, sf_dir, "pages"))
+    return found.select(F.col("id").alias("page_id"), "url", "text",
+                        F.length("text").cast("bigint").alias("n_chars"))
+
+
 def op5_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repetition.measure(table(spark, sf_dir, "documents"))
     return found.select("doc_id", *repetition.COUNTS, "base_failed", "kept", *repetition.SHARES)
@@ -85,12 +96,15 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_language_model": op3_language_model,
+    "op4_pages": op4_pages,
     "op5_repetition": op5_repetition,
     "op6_poisson_mixing": op6_poisson_mixing,
     "op7_quality": op7_quality,
     "op8_near_dedup": op8_near_dedup,
     "op9_pieces": op9_pieces,
     "op10_personal_data": op10_personal_data,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL: dict[str, str] = {

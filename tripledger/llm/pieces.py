@@ -265,30 +265,31 @@ def _texts(batches: Iterator[pa.RecordBatch]):
         yield rows, [raw[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
 
 
-def _encoded(batches, codec: Codec, end: bool):
+def _encoded(batches, codec: Codec, end: bool, spans: bool):
     codec.prepare()
     tail = [codec.end_id] if end else []
     for rows, texts in _texts(batches):
-        ids, spans = [], []
+        ids, places = [], []
         for text in texts:
-            found, places = codec.encode(text)
+            found, own = codec.encode(text)
             ids.append([i for f in found for i in f[0]] + tail)
-            spans.append(np.concatenate([places, np.full((len(tail), 2), len(text))]))
-        kind = pa.list_(pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [rows.column(0), pa.array(ids, pa.list_(pa.int32())),
-             *[pa.array([s[:, k] for s in spans], kind) for k in (0, 1)]],
-            ["id", "ids", "begins", "ends"])
+            if spans:
+                places.append(np.concatenate([own, np.full((len(tail), 2), len(text))]))
+        columns = [rows.column(0), pa.array(ids, pa.list_(pa.int32()))]
+        if spans:
+            columns += [pa.array([p[:, k] for p in places], pa.list_(pa.int64())) for k in (0, 1)]
+        yield pa.RecordBatch.from_arrays(columns, ["id", "ids", "begins", "ends"][:len(columns)])
 
 
 def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text",
-           end: bool = True) -> DataFrame:
-    """(id, ids, begins, ends): pieces and their spans in bytes of the UTF-8 source."""
+           end: bool = True, spans: bool = True) -> DataFrame:
+    """(id, ids, begins, ends): pieces and, with ``spans``, their spans in bytes of the source."""
     codec = Codec.load(model)
+    places = ", begins array<bigint>, ends array<bigint>" if spans else ""
     kind = dict(docs.dtypes)[key]
     return (docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text"))
-            .mapInArrow(lambda batches: _encoded(batches, codec, end),
-                        f"id {kind}, ids array<int>, begins array<bigint>, ends array<bigint>"))
+            .mapInArrow(lambda batches: _encoded(batches, codec, end, spans),
+                        f"id {kind}, ids array<int>{places}"))
 
 
 def _decoded(batches, codec: Codec):
