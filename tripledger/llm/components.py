@@ -20,7 +20,8 @@ def components(links: DataFrame) -> DataFrame:
     degrees = stored(edges.groupBy("node").agg(
         F.count("*").alias("degree"), F.least(F.col("node"), F.min("other")).alias("label")),
         "degrees")
-    total = degrees.agg(F.sum("degree")).first()[0] or 0
+    sizes = degrees.agg(F.sum("degree"), F.count("*")).first()
+    total, nodes = sizes[0] or 0, sizes[1]
     labels = degrees
     while True:
         sent = (join_counted(edges, labels, "node", "degree", total, "inner")
@@ -29,11 +30,10 @@ def components(links: DataFrame) -> DataFrame:
             "node", "degree", F.col("label").alias("before"),
             F.least("label", "near").alias("label")), "labels")
         # The label's own label: a label shared by many nodes is looked up as a counted group.
-        sizes = nearer.groupBy("label").agg(F.count("*").alias("n"))
+        shared = nearer.groupBy("label").agg(F.count("*").alias("n"))
         roots = nearer.select(F.col("node").alias("label"), F.col("label").alias("root"))
         jumped = stored(
-            join_counted(nearer, sizes.join(roots, "label"), "label", "n",
-                         nearer.count(), "inner")
+            join_counted(nearer, shared.join(roots, "label"), "label", "n", nodes, "inner")
             .select("node", "degree", "before", F.col("root").alias("label")), "labels")
         labels = jumped.drop("before")
         if jumped.where("before <> label").isEmpty():

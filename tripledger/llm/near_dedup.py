@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from .blocks import Rolling, blocks, mixed, words
 from .components import components
-from .store import join_counted, stored
+from .store import HOT_SHARE, join_counted, stored
 
 SHINGLE = 5
 COORDINATES = 48
@@ -162,26 +162,29 @@ def full_sets(docs: DataFrame, text: str, nodes: DataFrame) -> DataFrame:
             .groupBy("node").agg(F.first("members").alias("members")))
 
 
-def _with_side(pairs: DataFrame, side: str, table: DataFrame, column: str) -> DataFrame:
-    """Add ``column`` of the node named in ``side``. Copies of a node that many pairs name are dealt
-    out, SALTED pairs to a copy, so neither a task nor a broadcast holds more than its share."""
-    uses = pairs.groupBy(side).agg(F.count("*").alias("uses"))
-    copies = (table.withColumnRenamed("node", side).join(uses, side)
-              .withColumn("salt", F.explode(F.sequence(
-                  F.lit(0).cast("bigint"), F.floor(F.col("uses") / SALTED)))))
-    copies = copies.select(side, "salt", "uses", F.col(column).alias(f"{side}_{column}"))
-    sized = join_counted(pairs, uses, side, "uses", pairs.count(), "inner")
-    salt = F.pmod(F.xxhash64("a", "b"), F.floor(F.col("uses") / SALTED) + 1)
-    return (sized.withColumn("salt", salt).join(copies.drop("uses"), [side, "salt"])
-            .drop("salt", "uses"))
+def _with_side(pairs: DataFrame, side: str, table: DataFrame, column: str,
+               hot: DataFrame) -> DataFrame:
+    """Add ``column`` of the node named in ``side``. A node that many pairs name has copies, one for
+    SALTED pairs, so neither a task nor a broadcast holds more than its share of them."""
+    copies = F.coalesce(F.floor(F.col("uses") / SALTED), F.lit(0).cast("bigint"))
+    few = F.broadcast(hot.select(F.col("node").alias(side), "uses"))
+    dealt = (pairs.join(few, side, "left")
+             .withColumn("salt", F.pmod(F.xxhash64("a", "b"), copies + 1)).drop("uses"))
+    held = (table.select(F.col("node").alias(side), F.col(column).alias(f"{side}_{column}"))
+            .join(few, side, "left")
+            .withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), copies))).drop("uses"))
+    return dealt.join(held, [side, "salt"]).drop("salt")
 
 
 def compared(pairs: DataFrame, keys: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b, common, linked) of the pairs that agree in MATCHES coordinates, from full sets."""
-    both = _with_side(_with_side(pairs, "a", keys, "keys"), "b", keys, "keys")
-    close = stored(both.where(F.size(F.array_intersect("a_keys", "b_keys")) >= MATCHES)
-                   .select("a", "b"), "close")
-    full = _with_side(_with_side(close, "a", sets, "members"), "b", sets, "members")
+    uses = (pairs.select(F.explode(F.array("a", "b")).alias("node"))
+            .groupBy("node").agg(F.count("*").alias("uses")))
+    hot = stored(uses.where((F.col("uses") >= SALTED)
+                            & (F.col("uses") * HOT_SHARE >= 2 * pairs.count())), "hot-nodes")
+    both = _with_side(_with_side(pairs, "a", keys, "keys", hot), "b", keys, "keys", hot)
+    close = both.where(F.size(F.array_intersect("a_keys", "b_keys")) >= MATCHES).select("a", "b")
+    full = _with_side(_with_side(close, "a", sets, "members", hot), "b", sets, "members", hot)
     common = F.size(F.array_intersect("a_members", "b_members")).cast("bigint")
     united = F.size("a_members") + F.size("b_members") - F.col("common")
     return (full.select("a", "b", "a_members", "b_members", common.alias("common"))
