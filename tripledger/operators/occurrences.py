@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 # An id is frequent when it holds more than 1/100,000 of all rows that have an id. Fewer than
 # 100,000 ids can satisfy that, whatever the data, so the frequent list is safe to broadcast.
 FREQUENT_SHARE = 100_000
-SPREAD = 4096
 
 
 def id_counts(rows: DataFrame) -> DataFrame:
@@ -16,41 +15,40 @@ def id_counts(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("id").isNotNull()).groupBy("id").agg(F.count("*").alias("n"))
 
 
-def with_id_occurrences(rows: DataFrame, frequent_share: int = FREQUENT_SHARE) -> DataFrame:
-    """Add ``id_occurrences``, the number of rows that share the row's id; NULL without an id.
-
-    Rows of frequent ids get their count from the broadcast list. The other repeated ids are
-    joined by shuffle, where rows without an id and rows of frequent ids cannot match anything
-    and are spread over many partitions instead of meeting in one.
-    """
+def _repeated(rows: DataFrame, frequent_share: int) -> tuple[DataFrame, DataFrame]:
+    """(id, n) of the repeated ids: the frequent ones, and the others."""
     counts = id_counts(rows)
     repeated = counts.where("n > 1")
     share = F.col("n").cast("decimal(38,0)") * frequent_share
     total = counts.agg(F.sum("n").cast("decimal(38,0)")).scalar()
-    frequent = (repeated.where(share > total)
-                .select(F.col("id").alias("frequent_id"), F.col("n").alias("frequent_n")))
-    other = (repeated.where(share <= total)
-             .select(F.col("id").alias("other_id"), F.lit(0).cast("bigint").alias("other_spread"),
-                     F.col("n").alias("other_n")))
-    marked = rows.join(F.broadcast(frequent), F.col("id") == F.col("frequent_id"), "left")
-    settled = F.col("id").isNull() | F.col("frequent_id").isNotNull()
-    marked = marked.withColumn(
-        "spread", F.when(settled, F.monotonically_increasing_id() % SPREAD + 1).otherwise(0))
-    joined = marked.join(other, (F.col("id") == F.col("other_id"))
-                         & (F.col("spread") == F.col("other_spread")), "left")
-    occurrences = F.when(F.col("id").isNotNull(),
-                         F.coalesce("frequent_n", "other_n", F.lit(1).cast("bigint")))
-    return joined.select(*rows.columns, occurrences.alias("id_occurrences"))
-
-
-def only_once(rows: DataFrame) -> DataFrame:
-    """The rows whose id occurs exactly once, in one shuffle and without a join.
-
-    Grouping by id keeps the smallest value of each column; where the count is 1 that is the
-    row itself. Copies of a frequent id collapse map-side to one row per task. Columns nobody
-    reads afterwards are pruned from the aggregate.
+    return repeated.where(share > total), repeated.where(share <= total)
+
+
+def with_id_occurrences(rows: DataFrame, frequent_share: int = FREQUENT_SHARE) -> DataFrame:
+    """Add ``id_occurrences``, the number of rows that share the row's id; NULL without an id.
+
+    Rows without an id and rows of frequent ids never take part in a shuffle: the first need no
+    count, the second meet the broadcast list. Only the rest is joined by id, at the price of a
+    second read of ``rows``.
+    """
+    frequent, other = _repeated(rows, frequent_share)
+    with_id = rows.where(F.col("id").isNotNull())
+    none = rows.where(F.col("id").isNull()).withColumn("n", F.lit(None).cast("bigint"))
+    near = with_id.join(F.broadcast(frequent), "id")
+    far = (with_id.join(F.broadcast(frequent.select("id")), "id", "left_anti")
+           .join(other, "id", "left").withColumn("n", F.coalesce("n", F.lit(1).cast("bigint"))))
+    joined = none.unionByName(near).unionByName(far)
+    return joined.select(*rows.columns, F.col("n").alias("id_occurrences"))
+
+
+def only_once(rows: DataFrame, frequent_share: int = FREQUENT_SHARE) -> DataFrame:
+    """The rows whose id occurs exactly once, with ``id_occurrences`` 1.
+
+    Rows of frequent ids are dropped by a broadcast list before the others are dealt out by id, and
+    rows are never aggregated: only the counting of ids groups, on the id alone.
     """
-    payload = [c for c in rows.columns if c != "id"]
-    return (rows.where(F.col("id").isNotNull()).groupBy("id")
-            .agg(*[F.min(c).alias(c) for c in payload], F.count("*").alias("id_occurrences"))
-            .where("id_occurrences = 1"))
+    frequent, other = _repeated(rows, frequent_share)
+    return (rows.where(F.col("id").isNotNull())
+            .join(F.broadcast(frequent.select("id")), "id", "left_anti")
+            .join(other.select("id"), "id", "left_anti")
+            .select(*rows.columns, F.lit(1).cast("bigint").alias("id_occurrences")))

@@ -19,6 +19,7 @@ DEFECT_PRIMES = {
     "same_point": 937, "far_pickup": 929, "dropoff_before": 919, "duration_mismatch": 911,
     "missing_dropoff_time": 907, "zero_passengers": 887, "far_dropoff": 883,
     "missing_flag": 881, "extreme_duration": 499,
+    "polar_pickup": 853, "past_date_line": 857,
     "bad_number_text": 877, "bad_time_text": 863, "padded_text": 859,
 }
 
@@ -44,19 +45,9 @@ def _plus(ts: Column, seconds: Column) -> Column:
     return F.timestamp_add("SECOND", seconds.cast("int"), ts)
 
 
-def use_all_cores(rows: DataFrame) -> DataFrame:
-    """Spread a table that arrives in fewer pieces than there are cores.
-
-    A file with one row group is one task however small the split size. Tables with many files
-    already have more pieces than cores and are left where they are.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
-
-
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed trips with their batch; column ``h`` is the mix number the defects hang on."""
-    items = use_all_cores(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     mix = (F.col("l_orderkey") * 7919 + F.col("l_partkey") * 104729
            + F.col("l_linenumber").cast("bigint") * 1299709) % 1000003
     rows = items.withColumn("h", mix.cast("bigint"))
@@ -77,7 +68,8 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
                   ("negative_duration", -45), ("extreme_duration", 90000))
         .cast("bigint").alias("trip_duration"),
         _first_of(_coordinate(40600001, 13, 150000), ("origin_pickup", 0.0),
-                  ("missing_pickup_lat", None), ("far_pickup", 42.0)).alias("pickup_latitude"),
+                  ("missing_pickup_lat", None), ("far_pickup", 42.0), ("polar_pickup", 95.0))
+        .alias("pickup_latitude"),
         _first_of(_coordinate(-74049999, 17, 125000), ("origin_pickup", 0.0))
         .alias("pickup_longitude"),
         batch.alias("source_hash"),
@@ -98,6 +90,7 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("passenger_count"),
         "pickup_longitude", "pickup_latitude",
         F.when(_hit("same_point"), F.col("pickup_longitude"))
+        .when(_hit("past_date_line"), -190.0)
         .otherwise(_coordinate(-74049999, 23, 125000)).alias("dropoff_longitude"),
         F.when(_hit("same_point"), F.col("pickup_latitude")).when(_hit("far_dropoff"), 42.0)
         .otherwise(_coordinate(40600001, 19, 150000)).alias("dropoff_latitude"),
