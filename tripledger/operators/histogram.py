@@ -24,9 +24,9 @@ def duration_cells(rows: DataFrame, keys: Sequence[str], low_speed: float | None
     return rows.groupBy(*keys, "trip_duration").agg(
         F.count("*").alias("n"),
         F.count("estimated_distance_km").alias("n_km"),
-        F.sum(km).alias("sum_km"),
+        wide_sum(km).alias("sum_km"),
         F.count("estimated_speed_kmh").alias("n_kmh"),
-        F.sum(kmh).alias("sum_kmh"),
+        wide_sum(kmh).alias("sum_kmh"),
         slow.alias("n_slow"),
         *[c.alias(name) for name, c in (keep or {}).items()],
     )
@@ -65,14 +65,15 @@ SHIFTS = (44, 22, 0)
 def exact_percentiles(values: DataFrame, points: Mapping[str, float]) -> DataFrame:
     """Exact percentiles of whole numbers, for any number of distinct values.
 
-    ``values`` has columns (name, v bigint). Equal values are counted first, then each wanted
-    rank is located from coarse to fine buckets of the value's leading bits. Only the buckets
+    ``values`` has columns (name, v bigint) and may have n, how often the value counts. Equal
+    values are counted first, then each wanted rank is located from coarse to fine buckets of the value's leading bits. Only the buckets
     around a wanted rank are ever ordered, so no task holds all distinct values.
 
     Returns (name, label, n, low, high, weight): the two neighbours of the position and the
     share of the upper one, as in linear interpolation.
     """
-    finest = values.where(F.col("v").isNotNull()).groupBy("name", "v").agg(F.count("*").alias("n"))
+    weight = F.sum("n") if "n" in values.columns else F.count("*")
+    finest = values.where(F.col("v").isNotNull()).groupBy("name", "v").agg(weight.alias("n"))
     levels = [finest.withColumnRenamed("v", "bucket")]
     for narrow, wide in zip(SHIFTS[::-1], SHIFTS[-2::-1]):
         levels.append(levels[-1]
@@ -84,7 +85,8 @@ def exact_percentiles(values: DataFrame, points: Mapping[str, float]) -> DataFra
                        for label, p in points.items()])
     sides = F.array(F.struct(F.lit("low").alias("side"), F.floor("position").alias("rank")),
                     F.struct(F.lit("high").alias("side"), F.ceil("position").alias("rank")))
-    # One row per (name, point, side): its size depends on the call, never on the data.
+    # One row per (name, point, side). Names may come from the data, so the planner decides how
+    # these rows meet the buckets.
     targets = (
         levels[-1].groupBy("name").agg(F.sum("n").alias("total"))
         .select("name", "total", F.inline(wanted))
@@ -101,7 +103,7 @@ def exact_percentiles(values: DataFrame, points: Mapping[str, float]) -> DataFra
             level = level.withColumn("parent", F.shiftright("bucket", parent_shift - shift))
             on.append("parent")
         located = (
-            level.join(F.broadcast(targets), on)
+            level.join(targets, on)
             .withColumn("upto", F.sum("n").over(per_target))
             .where((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n")))
         )
@@ -131,6 +133,34 @@ def percentile_columns(found: DataFrame, labels: Sequence[str], scale: int = 1,
         *[F.max(F.when(F.col("label") == label, value)).alias(label) for label in labels])
 
 
+ALL = "all"
+
+
+def cell_percentiles(cells: DataFrame, points: Mapping[str, float], key: str | None = None,
+                     value: str = "trip_duration") -> DataFrame:
+    """Percentiles of counted values (value, n), as columns by label, without one big buffer.
+
+    One row, or with ``key`` one row per key: (key, labels). A group without values has no row.
+    """
+    name = F.lit(ALL) if key is None else F.coalesce(
+        F.concat(F.lit("="), F.col(key).cast("string")), F.lit(""))
+    found = percentile_columns(exact_percentiles(
+        cells.select(name.alias("name"), F.col(value).alias("v"), "n"), points), list(points))
+    if key is None:
+        return found.drop("name")
+    kind = cells.schema[key].dataType
+    return found.select(F.when(F.col("name") != "", F.substring("name", 2, 2**31 - 1)).cast(kind)
+                        .alias(key), *points)
+
+
+def with_percentiles(groups: DataFrame, cells: DataFrame, points: Mapping[str, float],
+                     key: str) -> DataFrame:
+    """Add each group's percentiles of its cells' durations."""
+    found = cell_percentiles(cells, points, key).withColumnRenamed(key, "percentile_key")
+    return groups.join(found, F.col(key).eqNullSafe(F.col("percentile_key")), "left").drop(
+        "percentile_key")
+
+
 def as_units(rows: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
     """Long form (name, v) of several whole-number columns, read in one scan."""
     pairs = F.array(*[F.struct(F.lit(name).alias("name"), c.cast("bigint").alias("v"))

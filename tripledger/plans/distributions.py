@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from tripledger.config import Settings
 from tripledger.functions.rounding import MICRO, micro, pct, ratio, wide_sum
 from tripledger.operators.histogram import (
-    as_units, avg_duration, avg_km, avg_kmh, duration_cells, duration_percentiles,
-    exact_percentiles, n_trips, percentile_columns,
+    as_units, avg_duration, avg_km, avg_kmh, cell_percentiles, duration_cells,
+    duration_percentiles, exact_percentiles, interpolated, n_trips, percentile_columns,
+    with_percentiles,
 )
 from tripledger.plans.profile import NANO, nano, value_counts
 from tripledger.sources.contract import COLUMNS, SOURCE_COLUMNS
@@ -123,11 +124,15 @@ def duration_log_stats(trips: DataFrame) -> DataFrame:
     stats = counted.agg(
         n.alias("n"), F.round(F.min("x"), 6).alias("min"), F.round(F.max("x"), 6).alias("max"),
         F.round(mean, 6).alias("mean"),
-        F.round(F.sqrt((square - mean * mean * n) / (n - 1)), 6).alias("stddev"),
-        F.percentile("x", list(points.values()), F.col("n")).alias("p"))
-    return stats.select("n", "min", "max", "mean", "stddev",
-                        *[F.round(F.col("p")[i], 6).alias(label)
-                          for i, label in enumerate(points)])
+        F.round(F.sqrt((square - mean * mean * n) / (n - 1)), 6).alias("stddev"))
+    # The logarithm keeps the order, so the ranks are those of the durations.
+    low, high = (F.log1p(F.col(c).cast("double")) for c in ("low", "high"))
+    found = exact_percentiles(
+        counted.select(F.lit("x").alias("name"), F.col("trip_duration").alias("v"), "n"), points)
+    at = found.select("label", F.round(interpolated(low, high, F.col("weight")), 6).alias("x"))
+    row = at.agg(*[F.max(F.when(F.col("label") == p, F.col("x"))).alias(p) for p in points])
+    return stats.select("*", row.select(F.struct("*")).scalar().alias("p")).select(
+        "n", "min", "max", "mean", "stddev", "p.*")
 
 
 def duration_histogram(trips: DataFrame, width: int = 300) -> DataFrame:
@@ -140,8 +145,8 @@ def duration_histogram(trips: DataFrame, width: int = 300) -> DataFrame:
 def duration_boxplot(trips: DataFrame) -> DataFrame:
     """Quartiles, whiskers inside 1.5 quartile distances, and the rows beyond them."""
     counted = _counted_durations(trips)
-    box = counted.agg(duration_percentiles([0.25, 0.5, 0.75]).alias("p"))
-    boxed = counted.withColumn("p", box.scalar())
+    box = cell_percentiles(counted, {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    boxed = counted.withColumn("p", box.select(F.array("q1", "median", "q3")).scalar())
     reach = (F.col("p")[2] - F.col("p")[0]) * 1.5
     inside = F.col("trip_duration").between(F.col("p")[0] - reach, F.col("p")[2] + reach)
     return boxed.agg(
@@ -213,17 +218,22 @@ def coord_profile(trips: DataFrame) -> DataFrame:
     counted = (trips.select(F.inline(pairs)).groupBy("coordinate", "value")
                .agg(F.count("*").alias("n")))
     known = F.col("value").isNotNull()
-    common = F.min(F.when(known, F.struct((-F.col("n")).alias("minus_n"), "value")))
     base = counted.groupBy("coordinate").agg(
         F.coalesce(F.sum(F.when(~known, F.col("n"))), F.lit(0)).alias("null_count"),
         F.min("value").alias("min"), F.max("value").alias("max"),
-        F.count("value").alias("distinct_count"), common.alias("common"))
+        F.count("value").alias("distinct_count"),
+        F.max(F.when(known, F.col("n"))).alias("common_count"))
+    # The largest count first, then the smallest value that has it.
+    common = (counted.join(base.select("coordinate", F.col("common_count").alias("n")),
+                           ["coordinate", "n"])
+              .groupBy("coordinate").agg(F.min("value").alias("common_value")))
     points = {"p1": 0.01, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p99": 0.99}
     found = percentile_columns(exact_percentiles(
         as_units(trips, {c: nano(F.col(c)) for c in COORDINATES}), points), list(points), NANO)
-    return base.join(found.withColumnRenamed("name", "coordinate"), "coordinate", "left").select(
-        "coordinate", "null_count", "min", *points, "max", "distinct_count",
-        F.col("common.value").alias("common_value"), (-F.col("common.minus_n")).alias("common_count"))
+    return (base.join(found.withColumnRenamed("name", "coordinate"), "coordinate", "left")
+            .join(common, "coordinate", "left").select(
+                "coordinate", "null_count", "min", *points, "max", "distinct_count",
+                "common_value", "common_count"))
 
 
 def cross_field(valid: DataFrame) -> DataFrame:
@@ -232,11 +242,12 @@ def cross_field(valid: DataFrame) -> DataFrame:
     "Short" and "long" are the 5th and 95th percentiles of the same trips.
     """
     found = percentile_columns(exact_percentiles(as_units(valid, {
-        "duration": F.col("trip_duration") * MICRO,
+        "duration": F.col("trip_duration"),
         "distance": micro(F.col("estimated_distance_km"))}),
-        {"p5": 0.05, "p95": 0.95}), ["p5", "p95"], MICRO)
-    limits = found.agg(*[F.max(F.when(F.col("name") == n, F.col(p))).alias(f"{n}_{p}")
-                         for n in ("distance", "duration") for p in ("p5", "p95")])
+        {"p5": 0.05, "p95": 0.95}), ["p5", "p95"])
+    unit = {"distance": float(MICRO), "duration": 1.0}
+    limits = found.agg(*[F.max(F.when(F.col("name") == n, F.round(F.col(p) / unit[n], 9)))
+                         .alias(f"{n}_{p}") for n in ("distance", "duration") for p in ("p5", "p95")])
     rows = valid.select("estimated_distance_km", "trip_duration",
                         limits.select(F.struct("*")).scalar().alias("l"))
     km, seconds = F.col("estimated_distance_km"), F.col("trip_duration")
@@ -254,9 +265,9 @@ def cross_field(valid: DataFrame) -> DataFrame:
 
 def vendor_profile_full(valid: DataFrame, settings: Settings) -> DataFrame:
     long_limit = settings.require("long_trip_seconds")
-    cells = duration_cells(valid, ["vendor_id"]).groupBy("vendor_id").agg(
+    counted = duration_cells(valid, ["vendor_id"])
+    cells = counted.groupBy("vendor_id").agg(
         n_trips().alias("trip_count"), avg_duration(4).alias("avg_duration"),
-        duration_percentiles([0.5, 0.9, 0.95]).alias("p"),
         avg_km().alias("avg_distance"), avg_kmh().alias("avg_speed"),
         F.sum(F.when(F.col("trip_duration") > long_limit, F.col("n")).otherwise(0)).alias("n_long"))
     distances = valid.select(F.col("vendor_id").cast("string").alias("name"),
@@ -264,12 +275,11 @@ def vendor_profile_full(valid: DataFrame, settings: Settings) -> DataFrame:
     median = percentile_columns(exact_percentiles(distances, {"median_distance": 0.5}),
                                 ["median_distance"], MICRO)
     total = cells.agg(F.sum("trip_count")).scalar()
-    return (cells.withColumn("trip_share", pct(F.col("trip_count"), total))
+    points = {"median_duration": 0.5, "p90_duration": 0.9, "p95_duration": 0.95}
+    return (with_percentiles(cells, counted, points, "vendor_id").withColumn("trip_share", pct(F.col("trip_count"), total))
             .join(median, F.col("vendor_id").cast("string") == F.col("name"), "left")
             .select("vendor_id", "trip_count", "trip_share", "avg_duration",
-                    F.round(F.col("p")[0], 4).alias("median_duration"),
-                    F.round(F.col("p")[1], 4).alias("p90_duration"),
-                    F.round(F.col("p")[2], 4).alias("p95_duration"),
+                    *[F.round(label, 4).alias(label) for label in points],
                     "avg_distance", "median_distance", "avg_speed",
                     pct(F.col("n_long"), F.col("trip_count")).alias("long_trip_rate")))
 

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from tripledger.config import KPI_BY_ID, Settings
 from tripledger.operators.histogram import duration_cells
 from tripledger.plans.marts import (
-    TRIP_PERFORMANCE_KEYS, kpi_table, summarise_cells, top_areas,
+    TRIP_PERFORMANCE_KEYS, demand_metrics, kpi_table, summarise_cells, top_areas,
+    vendor_performance,
 )
 
 # Dimension names of the KPI contract and the columns that carry them.
@@ -18,7 +19,10 @@ DIMENSION_COLUMNS = {
     "date": "pickup_date", "day_of_week": "day_of_week", "hour": "pickup_hour",
     "time_of_day": "time_of_day", "vendor": "vendor_id", "pickup_area": "pickup_area",
     "dropoff_area": "dropoff_area", "route": "route_key",
+    "month": "pickup_month", "week": "pickup_week", "weekend": "is_weekend",
 }
+# Coarser parts of a date, allowed wherever the date is.
+_PARTS_OF_DATE = ("month", "week", "weekend")
 _TOP_DIMENSION = {"KPI-010": "pickup_area", "KPI-011": "dropoff_area", "KPI-012": "route"}
 
 
@@ -53,13 +57,26 @@ def from_data_quality(mart: DataFrame, kpi_id: str) -> DataFrame:
 
 def drill_down(valid: DataFrame, kpi_id: str, dimensions: Sequence[str],
                settings: Settings) -> DataFrame:
-    """One KPI by any of its allowed dimensions, recomputed from trips."""
+    """One KPI by any of its allowed dimensions, recomputed from trips.
+
+    A KPI of the vendor or area table has its own grain and no further dimension. The quality KPIs
+    count rejected rows too, which trips don't have: they come from ``from_data_quality``.
+    """
     kpi = KPI_BY_ID[kpi_id]
-    refused = [d for d in dimensions if d not in kpi.dimensions]
+    allowed = kpi.dimensions + (_PARTS_OF_DATE if "date" in kpi.dimensions else ())
+    refused = [d for d in dimensions if d not in allowed]
     if refused:
         raise ValueError(f"{kpi_id} has no dimension {', '.join(refused)}")
     if kpi.threshold:
         settings.require(kpi.threshold)
+    if kpi.mart == "data_quality":
+        raise ValueError(f"{kpi_id} is not a figure of valid trips: use from_data_quality")
+    if kpi.mart == "vendor_performance":
+        return from_vendor_performance(vendor_performance(valid), kpi_id)
+    if kpi.mart == "geographic_metrics":
+        return top_of_dimension(valid, kpi_id)
+    if kpi_id == "KPI-009":
+        return from_demand(demand_metrics(valid), kpi_id)
     keys = [DIMENSION_COLUMNS[d] for d in dimensions]
     grain = {"KPI-007": ["pickup_date"], "KPI-008": ["pickup_date", "pickup_hour"]}
     if kpi_id in grain:

@@ -14,7 +14,7 @@ from tripledger.functions.calendar import is_weekend
 from tripledger.functions.geo import route
 from tripledger.functions.rounding import pct
 from tripledger.operators.histogram import (
-    avg_duration, avg_km, avg_kmh, duration_cells, duration_percentiles, n_trips,
+    avg_duration, avg_km, avg_kmh, duration_cells, duration_percentiles, n_trips, with_percentiles,
 )
 from tripledger.operators.ranking import rank_by_count
 from tripledger.operators.rules import CHECKED, COMPONENTS, all_of
@@ -175,16 +175,17 @@ def top_areas(valid: DataFrame, limit: int) -> DataFrame:
 
 def vendor_performance(valid: DataFrame) -> DataFrame:
     """Share, durations, distance and speed per vendor; the total is a sum over vendors."""
-    per_vendor = duration_cells(valid, ["vendor_id"]).groupBy("vendor_id").agg(
+    cells = duration_cells(valid, ["vendor_id"])
+    per_vendor = cells.groupBy("vendor_id").agg(
         n_trips().alias("vendor_trips"),
         avg_duration(4).alias("kpi_014_avg_duration_seconds"),
         avg_duration(4, 60).alias("kpi_014_avg_duration_minutes"),
-        duration_percentiles([0.5, 0.9]).alias("p"),
         avg_km().alias("avg_estimated_distance_km"),
         avg_kmh().alias("avg_estimated_speed_kmh"),
     )
-    median, p90 = F.col("p")[0], F.col("p")[1]
-    totals = per_vendor.withColumn("total_trips",
+    median, p90 = F.col("median"), F.col("p90")
+    with_points = with_percentiles(per_vendor, cells, {"median": 0.5, "p90": 0.9}, "vendor_id")
+    totals = with_points.withColumn("total_trips",
                                    per_vendor.agg(F.sum("vendor_trips")).scalar())
     return totals.select(
         "vendor_id", "vendor_trips", "total_trips",

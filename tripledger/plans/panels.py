@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripledger.functions.rounding import pct, ratio
+from tripledger.functions.rounding import pct, ratio, wide_sum
 from tripledger.operators.histogram import (
-    avg_duration, avg_km, avg_kmh, duration_cells, duration_percentiles,
+    avg_duration, avg_km, avg_kmh, cell_percentiles, duration_cells,
 )
 
 
@@ -36,27 +36,29 @@ def exec_tiles(valid: DataFrame, performance: DataFrame, demand: DataFrame,
     trips = F.col("kpi_001_total_trips")
 
     def weighted(rate: str) -> Column:
-        units = F.rint(F.col(rate) * 10000.0).cast("bigint")
-        return ratio(F.sum(units * trips), F.sum(trips) * 10000, 2).alias(rate)
+        units = F.rint(F.col(rate) * 10000.0).cast("decimal(19,0)")
+        return ratio(F.sum(units * trips.cast("decimal(19,0)")), wide_sum(trips) * 10000,
+                     2).alias(rate)
 
     totals = performance.agg(F.sum(trips).alias("kpi_001_total_trips"),
                              weighted("kpi_016_long_trip_rate_pct"),
                              weighted("kpi_017_low_speed_rate_pct"))
-    overall = duration_cells(valid, []).agg(
-        avg_duration(1, 60).alias("avg_min"), duration_percentiles([0.5, 0.9]).alias("p"),
-        avg_km(2).alias("avg_km"), avg_kmh(1).alias("avg_kmh"))
+    cells = duration_cells(valid, [])
+    points = cell_percentiles(cells, {"median": 0.5, "p90": 0.9})
+    overall = cells.agg(
+        avg_duration(1, 60).alias("avg_min"), avg_km(2).alias("avg_km"), avg_kmh(1).alias("avg_kmh"))
     busiest = (demand.orderBy(F.col("kpi_009_peak_hour_trip_count").desc(), "pickup_date")
                .limit(1).select("kpi_009_peak_hour"))
     score = quality.agg(pct(F.sum("valid_records"), F.sum("total_records"), 2)
                         .alias("kpi_018_data_quality_pct"))
     tiles = valid.sparkSession.range(1).select(
         _one_value(totals).alias("t"), _one_value(overall).alias("o"),
-        _one_value(busiest).alias("b"), _one_value(score).alias("s"))
+        _one_value(points).alias("p"), _one_value(busiest).alias("b"), _one_value(score).alias("s"))
     return tiles.select(
         "t.kpi_001_total_trips",
         F.col("o.avg_min").alias("kpi_002_avg_duration_min"),
-        _shown(F.col("o.p")[0], 1, divisor=60).alias("kpi_003_median_duration_min"),
-        _shown(F.col("o.p")[1], 1, divisor=60).alias("kpi_004_p90_duration_min"),
+        _shown(F.col("p.median"), 1, divisor=60).alias("kpi_003_median_duration_min"),
+        _shown(F.col("p.p90"), 1, divisor=60).alias("kpi_004_p90_duration_min"),
         F.col("o.avg_km").alias("kpi_005_avg_estimated_distance_km"),
         F.col("o.avg_kmh").alias("kpi_006_avg_estimated_speed_kmh"),
         "b.kpi_009_peak_hour",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tripledger.functions.calendar import is_weekend, time_of_day
 from tripledger.functions.geo import route
+from tripledger.functions.rounding import wide_sum
 
 _LON_CELLS = 36001  # cells of 0.01 degree from -180 to 180
 _ROUTE_BASE = 10**9
@@ -84,11 +85,12 @@ def trips_by_month_and_area(fact: DataFrame, dates: DataFrame, times: DataFrame,
     """A join back through the keys.
 
     Trips are counted per key first, so the dimensions meet a few rows per key, not every trip.
+    Seconds are summed as decimals; a sum that no 64-bit number holds is missing.
     """
     counted = fact.groupBy("date_key", "time_key", "pickup_location_key").agg(
-        F.count("*").alias("trips"), F.sum("trip_duration").alias("seconds"))
+        F.count("*").alias("trips"), wide_sum(F.col("trip_duration")).alias("seconds"))
     joined = (counted.join(dates, "date_key").join(times, "time_key")
               .join(locations.select(F.col("location_key").alias("pickup_location_key"), "area"),
                     "pickup_location_key"))
     return joined.groupBy("year", "month", "time_of_day", F.col("area").alias("pickup_area")).agg(
-        F.sum("trips").alias("trips"), F.sum("seconds").alias("seconds"))
+        F.sum("trips").alias("trips"), F.sum("seconds").try_cast("bigint").alias("seconds"))
