@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
+from datetime import datetime
+from functools import cached_property, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripledger.config import PENDING, Settings
@@ -16,10 +17,11 @@ from tripledger.operators.typing import derived, typed, typed_feed
 from tripledger.plans import distributions as dist
 from tripledger.plans import expectations as ex
 from tripledger.plans import kpis, marts, panels, profile, star
-from tripledger.plans.pipeline import valid_rates
+from tripledger.plans.pipeline import GOLD, build, valid_rates, write_profile
 from tripledger.session import prepare, scratch_dir
 from tripledger.sources import feed, landing
 from tripledger.sources.contract import SOURCE_COLUMNS
+from tripledger.sources.tables import Store
 
 Query = Callable[[SparkSession, str], DataFrame]
 SETTINGS = Settings()
@@ -28,6 +30,7 @@ UNSET = Settings(vendor_domain=PENDING, passenger_count_domain=PENDING, nyc_boun
                  extreme_duration_seconds=PENDING, extreme_distance_km=PENDING)
 # A cutoff of the query, not an approved one: the contract has no upper speed limit.
 VERY_HIGH_KMH = 120.0
+BUILT = ("silver_trips", "silver_trips_quarantine", *GOLD)
 CALENDAR = ("pickup_date", "pickup_year", "pickup_month", "pickup_week", "pickup_day",
             "day_of_week", "pickup_hour", "is_weekend", "time_of_day")
 
@@ -105,7 +108,9 @@ class Frames:
 
 
 def _bronze_rows(f: Frames) -> DataFrame:
-    return landing.read_text_rows(f.spark, f.write_inbox()).select(*SOURCE_COLUMNS)
+    path = f.write_inbox()
+    heads = landing.headers(landing.list_files(f.spark, path))
+    return landing.read_text_rows(f.spark, path, heads).select(*SOURCE_COLUMNS)
 
 
 def _bronze_stamp(f: Frames) -> DataFrame:
@@ -133,50 +138,66 @@ def _ingest_log(f: Frames) -> DataFrame:
     inbox, store = f.write_inbox(by_batch=True), f.landing()
     loads = [(store.land(f"{inbox}/batch={b}"), b) for b in ("batch_a", "batch_b")]
     names = f.spark.createDataFrame(loads, "load_id string, batch string")
-    per_load = (store.log().groupBy("load_id")
-                .agg(F.sum("rows").alias("rows"), F.min("ingested_at").alias("at")))
-    earlier = per_load.select(F.col("at").alias("other_at"), F.col("rows").alias("other_rows"))
-    return (per_load.join(earlier, F.col("other_at") <= F.col("at"))
-            .groupBy("load_id", "rows").agg(F.sum("other_rows").alias("rows_in_total"))
-            .join(names, "load_id").select("batch", "rows", "rows_in_total"))
+    return (landing.running_totals(store.log()).join(names, "load_id")
+            .select("batch", "rows", "rows_in_total"))
 
 
-def _files(f: Frames) -> DataFrame:
-    return landing.list_files(f.spark, f.write_inbox(by_batch=True))
+def _batch() -> Column:
+    return F.regexp_extract("file_path", "batch=([a-z_]+)", 1).alias("batch")
+
+
+def _file_hash(f: Frames) -> DataFrame:
+    """Per batch: whether every hash has 64 digits and is that of the bytes Spark reads."""
+    files = landing.list_files(f.spark, f.write_inbox(by_batch=True))
+    read = files.select("file_path", F.sha2("content", 256).alias("of_bytes"))
+    return (landing.file_hashes(files).join(read, "file_path").groupBy(_batch()).agg(
+        F.bool_and(F.length("source_hash") == 64).alias("full_length"),
+        F.bool_and(F.col("source_hash") == F.col("of_bytes")).alias("of_the_bytes")))
+
+
+def _file_profile(f: Frames) -> DataFrame:
+    found = landing.file_profile(f.spark, f.write_inbox(by_batch=True))
+    return found.groupBy(_batch(), "format", "encoding", "compression").agg(
+        F.sum("rows").alias("rows"), F.max("columns").alias("columns"),
+        F.bool_and("header_present").alias("header_present"),
+        F.bool_and(F.col("bytes") > 0).alias("has_bytes"))
 
 
 def _schema_drift(f: Frames) -> DataFrame:
-    """Three folders of the same trips: as agreed, one column short, one column too many."""
-    agreed, short, wide = (scratch_dir(f.spark, "drift") for _ in range(3))
+    """Four folders of the same trips: as agreed, turned round, one column short, one too many."""
     rows = f.landed.select(*SOURCE_COLUMNS)
-    rows.write.option("header", True).csv(agreed)
-    rows.drop("trip_duration").write.option("header", True).csv(short)
-    rows.withColumn("tip", F.lit("0")).write.option("header", True).csv(wide)
-    found = [landing.schema_drift(landing.headers(landing.list_files(f.spark, path)))
-             .select(F.lit(name).alias("folder"), "profile_status",
-                     F.array_join("missing", ",").alias("missing"),
-                     F.array_join("unexpected", ",").alias("unexpected"))
-             for name, path in (("agreed", agreed), ("short", short), ("wide", wide))]
-    return found[0].unionAll(found[1]).unionAll(found[2]).distinct()
+    given = {"agreed": rows, "turned": rows.select(*SOURCE_COLUMNS[::-1]),
+             "short": rows.drop("trip_duration"), "wide": rows.withColumn("tip", F.lit("0"))}
+    found = []
+    for name, frame in given.items():
+        path = scratch_dir(f.spark, "drift")
+        frame.write.option("header", True).csv(path)
+        found.append(landing.schema_drift(landing.headers(landing.list_files(f.spark, path))).select(
+            F.lit(name).alias("folder"), "profile_status", "in_order",
+            F.array_join("missing", ",").alias("missing"),
+            F.array_join("unexpected", ",").alias("unexpected")))
+    return reduce(DataFrame.unionAll, found).distinct()
 
 
-def _gold_idempotent(f: Frames) -> DataFrame:
-    """Each mart from the rows as read and from the same rows in another order."""
-    shuffled = Frames(f.spark, f.sf_dir)
-    shuffled.feed = f.feed.repartition("pickup_longitude", "passenger_count")
+def _build(f: Frames, store: Store) -> dict[str, DataFrame]:
+    return build(f.landed, store, f.settings)
+
 
-    def builds(x: Frames) -> dict[str, DataFrame]:
-        return {"trip_performance": x.trip_performance, "demand_metrics": x.demand,
-                "geographic_metrics": marts.geographic_metrics(x.valid),
-                "vendor_performance": x.vendors, "data_quality": x.quality}
+def _built(name: str):
+    """A table of the whole build, from landing text to the store and read back."""
+    return lambda f: _build(f, Store(f.spark, scratch_dir(f.spark, "build")))[name]
 
-    once, again = builds(f), builds(shuffled)
-    counted = [ex.compare(once[name], again[name]).select(F.lit(name).alias("mart"), "*")
-               for name in once]
-    result = counted[0]
-    for other in counted[1:]:
-        result = result.unionAll(other)
-    return result
+
+def _gold_idempotent(f: Frames) -> DataFrame:
+    """Each mart of two builds into the same store, the second from the rows in another order."""
+    store = Store(f.spark, scratch_dir(f.spark, "build"))
+    once = _build(f, store)
+    shuffled = Frames(f.spark, f.sf_dir)
+    shuffled.landed = f.landed.repartition("pickup_longitude", "passenger_count")
+    again = _build(shuffled, store)
+    return reduce(DataFrame.unionAll, [
+        ex.compare(once[name], again[name]).select(F.lit(name).alias("mart"), "*")
+        for name in GOLD])
 
 
 def _calendar(f: Frames) -> DataFrame:
@@ -296,8 +317,8 @@ _QUERIES: dict[str, Callable[[Frames], DataFrame]] = {
     "trip_feed": lambda f: f.feed,
     "bronze_rows": _bronze_rows,
     "bronze_stamp": _bronze_stamp,
-    "file_hash": lambda f: landing.file_hashes(_files(f)).drop("file_path", "path"),
-    "file_profile": lambda f: landing.file_profile(_files(f)),
+    "file_hash": _file_hash,
+    "file_profile": _file_profile,
     "bronze_idempotent": lambda f: _landed_twice(f, force=False),
     "bronze_force_replay": lambda f: _landed_twice(f, force=True),
     "ingest_log": _ingest_log,
@@ -333,6 +354,7 @@ _QUERIES: dict[str, Callable[[Frames], DataFrame]] = {
     "data_quality": lambda f: f.quality,
     "dq_component_scores": lambda f: profile.component_scores(f.quality),
     "gold_idempotent": _gold_idempotent,
+    **{f"build_{name}": _built(name) for name in BUILT},
     **_KPI_QUERIES,
     "kpi_by_dims": _kpi_by_dims,
     "kpi_by_area": _kpi_by_area,
@@ -352,7 +374,7 @@ _QUERIES: dict[str, Callable[[Frames], DataFrame]] = {
         f.quarantine, f.typed.agg(F.count("*"))),
     "panel_agreement": lambda f: panels.panel_agreement(f.tiles, f.trend, f.valid),
     # profiling
-    "profile_run": lambda f: profile.profile_run(f.landed, "PROFILE_CHECK"),
+    "profile_run": lambda f: profile.profile_run(f.landed, "PROFILE_CHECK", datetime(2024, 1, 2)),
     "profile_schema": lambda f: profile.profile_schema(f.landed),
     "profile_uniqueness": lambda f: profile.profile_uniqueness(f.landed),
     "profile_exact_dups": lambda f: profile.exact_duplicates(f.landed),
@@ -402,6 +424,35 @@ _QUERIES: dict[str, Callable[[Frames], DataFrame]] = {
 }
 
 
+def _one_batch(f: Frames) -> DataFrame:
+    return f.valid.where(F.col("source_hash") == "batch_a")
+
+
+# The checks that find nothing on a sound build, over rows in which they have to find something.
+_QUERIES |= {
+    "can_fail_duration": lambda f: ex.assert_duration_positive(f.judged),
+    "can_fail_negative": lambda f: ex.assert_non_negative(f.valid.withColumn(
+        "estimated_distance_km", -F.col("estimated_distance_km"))),
+    "can_fail_reason": lambda f: ex.assert_has_reason(f.judged),
+    "can_fail_reconciliation": lambda f: ex.assert_reconciliation(
+        marts.data_quality(f.judged, _one_batch(f), f.quarantine)),
+    "can_fail_share": lambda f: ex.assert_share_100(f.vendors.where("vendor_id = 1")),
+    "can_fail_overlap": lambda f: ex.audit_overlap(f.typed, f.quarantine),
+    "profile_tables": lambda f: _profile_tables(f),
+}
+
+
+def _profile_tables(f: Frames) -> DataFrame:
+    """The six stored profile tables of two runs: every row carries its run."""
+    found = []
+    for run_id in ("RUN_1", "RUN_2"):
+        store = Store(f.spark, scratch_dir(f.spark, "profile"))
+        tables = write_profile(f.landed, f.judged, store, f.settings, run_id, datetime(2024, 1, 2))
+        found += [rows.groupBy(F.lit(name).alias("table"), "profiling_run_id").agg(
+            F.count("*").alias("rows")) for name, rows in tables.items()]
+    return reduce(DataFrame.unionAll, found)
+
+
 def _query(build: Callable[[Frames], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(Frames(spark, sf_dir))
 

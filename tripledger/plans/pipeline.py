@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +13,9 @@ from tripledger.operators.typing import typed
 from tripledger.plans import marts, profile
 from tripledger.sources.tables import Store
 
+GOLD = ("trip_performance", "demand_metrics", "geographic_metrics", "vendor_performance",
+        "data_quality")
+
 
 def build(landed: DataFrame, store: Store, settings: Settings,
           allow_withheld: bool = False) -> dict[str, DataFrame]:
@@ -37,17 +42,21 @@ def build(landed: DataFrame, store: Store, settings: Settings,
 
 
 def write_profile(landed: DataFrame, judged: DataFrame, store: Store, settings: Settings,
-                  run_id: str) -> dict[str, DataFrame]:
-    """The six profile tables, written straight from the frames that compute them."""
+                  run_id: str, at: datetime) -> dict[str, DataFrame]:
+    """The six profile tables, written from the frames that compute them, each row with its run.
+
+    ``judged`` is read several times: pass the stored table of a build.
+    """
     tables = {
-        "profile_run": profile.profile_run(landed, run_id),
+        "profile_run": profile.profile_run(landed, run_id, at),
         "profile_schema": profile.profile_schema(landed),
         "profile_numeric_stats": profile.profile_numeric_stats(judged),
         "profile_domain_stats": profile.profile_domain_stats(landed),
         "profile_quality": profile.profile_quality(judged, settings),
         "profile_anomalies": profile.profile_anomalies(judged),
     }
-    return {name: store.replace("profile", name, rows) for name, rows in tables.items()}
+    return {name: store.replace("profile", name, rows.withColumn("profiling_run_id", F.lit(run_id)))
+            for name, rows in tables.items()}
 
 
 def valid_rates(quality: DataFrame, run_number: int) -> DataFrame:

@@ -7,6 +7,7 @@ rows with their rule outcomes.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,8 +15,8 @@ from pyspark.sql import functions as F
 from tripledger.config import Settings
 from tripledger.functions.rounding import MICRO, micro, pct, ratio, wide_sum
 from tripledger.operators.histogram import (
-    as_units, avg_duration, avg_km, avg_kmh, duration_cells, duration_percentiles,
-    exact_percentiles, n_trips, percentile_columns,
+    as_units, avg_duration, avg_km, avg_kmh, cell_percentiles, duration_cells, exact_percentiles,
+    interpolated, n_trips, percentile_columns, with_percentiles,
 )
 from tripledger.operators.rules import COMPONENTS, FLAGGING, RULES, any_of
 from tripledger.sources.contract import SOURCE_COLUMNS
@@ -39,11 +40,12 @@ def _blank(name: str) -> Column:
     return F.col(name).isNull() | (F.trim(F.col(name)) == "")
 
 
-def profile_run(landed: DataFrame, run_id: str) -> DataFrame:
+def profile_run(landed: DataFrame, run_id: str, at: datetime) -> DataFrame:
     """What was profiled. The load id belongs to the landing folder, not to the trips."""
     columns = [c for c in landed.columns if c != "load_id"]
     return landed.agg(
         F.lit(run_id).alias("profiling_run_id"),
+        F.lit(at).cast("timestamp_ntz").alias("profiling_timestamp"),
         F.min("source_file").alias("source_file"),
         F.min("source_hash").alias("source_hash"),
         F.count("*").alias("row_count"),
@@ -115,8 +117,10 @@ def duration_consistency_stats(trips: DataFrame) -> DataFrame:
         F.coalesce(F.sum(F.when(diff == 0, F.col("n"))), F.lit(0)).alias("exact_match"),
         F.coalesce(F.sum(F.when(diff != 0, F.col("n"))), F.lit(0)).alias("mismatch"),
         F.min(diff).alias("min_diff"), F.max(diff).alias("max_diff"),
-        ratio(F.sum(diff * F.col("n")), known, 4).alias("mean_diff"),
-        F.round(F.percentile(diff, 0.5, F.col("n")), 4).alias("median_diff"))
+        ratio(F.sum(diff.cast("decimal(19,0)") * F.col("n").cast("decimal(19,0)")), known, 4)
+        .alias("mean_diff"))
+    middle = cell_percentiles(by_value, {"median_diff": 0.5}, value="duration_difference_seconds")
+    spread = spread.select("*", F.round(middle.scalar(), 4).alias("median_diff"))
     dates = (trips.groupBy("pickup_date").agg(F.count("*").alias("n"))
              .agg(F.min("pickup_date").alias("min_date"), F.max("pickup_date").alias("max_date"),
                   F.count("pickup_date").alias("dates")))
@@ -183,7 +187,8 @@ def measure_percentiles(trips: DataFrame, points: Mapping[str, float] = POINTS)
     found = exact_percentiles(
         as_units(trips, {name: _units(c, scale) for name, c, scale in MEASURES}), points)
     scale = F.when(F.col("name") == "duration", 1.0).otherwise(float(MICRO))
-    value = F.round((F.col("low") + (F.col("high") - F.col("low")) * F.col("weight")) / scale, 9)
+    value = F.round(interpolated(F.col("low").cast("double"), F.col("high").cast("double"),
+                                 F.col("weight")) / scale, 9)
     return found.groupBy(F.col("name").alias("column_name")).agg(
         *[F.max(F.when(F.col("label") == label, value)).alias(label) for label in points])
 
@@ -241,21 +246,21 @@ def duration_extras(trips: DataFrame) -> DataFrame:
 
 def duration_iqr(trips: DataFrame) -> DataFrame:
     """Quartile distance of the duration and the upper bound it suggests."""
-    quartiles = trips.groupBy("trip_duration").agg(F.count("*").alias("n")).agg(
-        duration_percentiles([0.25, 0.75]).alias("p"))
-    low, high = F.col("p")[0], F.col("p")[1]
+    counted = trips.groupBy("trip_duration").agg(F.count("*").alias("n"))
+    found = cell_percentiles(counted, {"p25": 0.25, "p75": 0.75})
+    quartiles = trips.sparkSession.range(1).select(found.select(F.struct("*")).scalar().alias("p"))
+    low, high = F.col("p.p25"), F.col("p.p75")
     return quartiles.select(F.round(low, 4).alias("p25"), F.round(high, 4).alias("p75"),
                             F.round(high - low, 4).alias("iqr"),
                             F.round(high + (high - low) * 1.5, 4).alias("upper"))
 
 
 def _by_group(trips: DataFrame, key: str, points: Mapping[str, float], *extra: Column) -> DataFrame:
-    grouped = duration_cells(trips, [key]).groupBy(key).agg(
-        n_trips().alias("n"), avg_duration(4).alias("avg_dur"),
-        duration_percentiles(list(points.values())).alias("p"), *extra)
-    found = [F.round(F.col("p")[i], 4).alias(label) for i, label in enumerate(points)]
-    rest = grouped.columns[4:]
-    return grouped.select(key, "n", "avg_dur", *found, *rest)
+    cells = duration_cells(trips, [key])
+    grouped = cells.groupBy(key).agg(n_trips().alias("n"), avg_duration(4).alias("avg_dur"), *extra)
+    rest = grouped.columns[3:]
+    found = [F.round(label, 4).alias(label) for label in points]
+    return with_percentiles(grouped, cells, points, key).select(key, "n", "avg_dur", *found, *rest)
 
 
 def profile_vendor(trips: DataFrame) -> DataFrame:

@@ -18,6 +18,3 @@ COLUMNS = (
 )
 SOURCE_COLUMNS = tuple(name for name, _, _ in COLUMNS)
 LINEAGE_COLUMNS = ("source_file", "source_hash", "ingested_at")
-
-# Every column lands as text; a value that does not parse is judged later, by its rule.
-LANDING_DDL = ", ".join(f"{name} STRING" for name in SOURCE_COLUMNS)

@@ -2,21 +2,57 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+VERSIONS = "name string, version string, number bigint"
 
 
 class Store:
+    """Each replacement is a new folder; the table is the version logged last.
+
+    A write that fails leaves the logged version as it was, and frames that read an older version
+    go on reading it.
+    """
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def path(self, layer: str, name: str) -> str:
-        return f"{self.root}/{layer}/{name}"
+    def path(self, layer: str, name: str, version: str) -> str:
+        return f"{self.root}/{layer}/{name}/{version}"
+
+    def versions(self) -> DataFrame:
+        """(name, version, number) of every finished write."""
+        try:
+            return self.spark.read.schema(VERSIONS).parquet(f"{self.root}/_versions")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], VERSIONS)
+
+    def _current(self, layer: str, name: str):
+        return (self.versions().where(F.col("name") == f"{layer}/{name}")
+                .agg(F.max(F.struct("number", "version")).alias("last")).first().last)
 
     def replace(self, layer: str, name: str, rows: DataFrame) -> DataFrame:
         """Write the table and return it as stored, with its real size known to the planner."""
-        rows.write.mode("overwrite").parquet(self.path(layer, name))
+        before = self._current(layer, name)
+        version = uuid.uuid4().hex
+        rows.write.parquet(self.path(layer, name, version))
+        entry = [(f"{layer}/{name}", version, before.number + 1 if before else 1)]
+        (self.spark.createDataFrame(entry, VERSIONS).coalesce(1)
+         .write.mode("append").parquet(f"{self.root}/_versions"))
         return self.read(layer, name)
 
     def read(self, layer: str, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(layer, name))
+        """The current version; also registered as the view ``layer_name`` for SQL."""
+        current = self._current(layer, name)
+        if current is None:
+            raise KeyError(f"no table {layer}/{name} below {self.root}")
+        table = self.spark.read.parquet(self.path(layer, name, current.version))
+        table.createOrReplaceTempView(f"{layer}_{name}")
+        return table
