@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from oracle.duck import (
-    _MEASURES, _PERFORMANCE_KEYS, _RULE_NAMES, SOURCE, at, avg_micro, avg_seconds, blank, cell,
+    _MEASURES, _PERFORMANCE_KEYS, _RULE_NAMES, SOURCE, at, avg_micro, avg_seconds, blank, built,
+    cell,
     kpi_values, pct, ratio, rule_counts, share, shown, statement, unpivot,
 )
 
@@ -27,8 +28,15 @@ SELECT source_hash AS batch, count(*) AS rows,
   CAST(sum(count(*)) OVER (ORDER BY source_hash) AS BIGINT) AS rows_in_total
 FROM feed GROUP BY source_hash"""
 FINAL["schema_drift"] = """
-SELECT * FROM (VALUES ('agreed', 'PASS', '', ''), ('short', 'FAIL', 'trip_duration', ''),
-  ('wide', 'WARNING', '', 'tip')) AS t(folder, profile_status, missing, unexpected)"""
+SELECT * FROM (VALUES ('agreed', 'PASS', true, '', ''), ('turned', 'WARNING', false, '', ''),
+  ('short', 'FAIL', false, 'trip_duration', ''), ('wide', 'WARNING', true, '', 'tip'))
+  AS t(folder, profile_status, in_order, missing, unexpected)"""
+FINAL["file_hash"] = """
+SELECT DISTINCT source_hash AS batch, true AS full_length, true AS of_the_bytes FROM feed"""
+FINAL["file_profile"] = """
+SELECT source_hash AS batch, 'csv' AS format, 'UTF-8' AS encoding, 'none' AS compression,
+  count(*) AS rows, CAST(11 AS BIGINT) AS columns, true AS header_present, true AS has_bytes
+FROM feed GROUP BY source_hash"""
 
 # typing and derivation ---------------------------------------------------------------------------
 _KINDS = {"vendor_id": "INTEGER", "pickup_datetime": "TIMESTAMP", "dropoff_datetime": "TIMESTAMP",
@@ -196,7 +204,8 @@ SELECT (SELECT kpi_001_total_trips FROM tiles) AS tile_trips,
 
 # profiling ---------------------------------------------------------------------------------------
 FINAL["profile_run"] = """
-SELECT 'PROFILE_CHECK' AS profiling_run_id, min(source_file) AS source_file,
+SELECT 'PROFILE_CHECK' AS profiling_run_id, TIMESTAMP '2024-01-02' AS profiling_timestamp,
+  min(source_file) AS source_file,
   min(source_hash) AS source_hash, count(*) AS row_count, CAST(13 AS INTEGER) AS column_count,
   count(DISTINCT source_hash) AS batches, 'PASS' AS profile_status FROM landed"""
 FINAL["profile_schema"] = unpivot([
@@ -492,4 +501,32 @@ SELECT (SELECT count(*) FROM judged WHERE is_valid_trip AND trip_duration > 8640
     AS extreme_before,
   (SELECT count(*) FROM valid WHERE is_duration_outlier) AS extreme_kept"""
 
-ANSWERS = {name: statement(final) for name, final in FINAL.items()}
+FINAL["can_fail_duration"] = """
+SELECT id, trip_duration FROM judged WHERE coalesce(trip_duration, 0) <= 0"""
+FINAL["can_fail_negative"] = """
+SELECT id, -estimated_distance_km AS estimated_distance_km, estimated_speed_kmh FROM valid
+WHERE estimated_distance_km > 0"""
+FINAL["can_fail_reason"] = """
+SELECT id, rule_id, quarantine_reason FROM judged WHERE rule_id IS NULL"""
+FINAL["can_fail_reconciliation"] = """
+SELECT source_hash, total_records, CAST(0 AS BIGINT) AS valid_records, quarantined_records
+FROM quality WHERE source_hash <> 'batch_a' AND valid_records > 0"""
+FINAL["can_fail_share"] = """
+SELECT round(sum(kpi_013_vendor_trip_share_pct), 4) AS total_share FROM vendors WHERE vendor_id = 1"""
+FINAL["can_fail_overlap"] = """
+SELECT id FROM feed WHERE id IN (SELECT id FROM rejected WHERE id IS NOT NULL)"""
+FINAL["profile_tables"] = """
+SELECT "table", profiling_run_id, CASE WHEN "table" = 'profile_domain_stats'
+    THEN (SELECT count(*) FROM (SELECT row_number() OVER (PARTITION BY column_name) AS place
+                                FROM domains) WHERE place <= 25) ELSE rows END AS rows
+FROM (VALUES ('profile_run', 1), ('profile_schema', 11), ('profile_numeric_stats', 3),
+  ('profile_domain_stats', 0), ('profile_quality', 15), ('profile_anomalies', 7)) AS t("table", rows),
+  (VALUES ('RUN_1'), ('RUN_2')) AS r(profiling_run_id)"""
+
+# The same tables from landing text: what the whole build stores.
+_BUILT = {"silver_trips": "silver_trips", "silver_trips_quarantine": "quarantine",
+          **{mart: mart for mart in ("trip_performance", "demand_metrics", "geographic_metrics",
+                                     "vendor_performance", "data_quality")}}
+ANSWERS = {name: built(final) if name == "gold_idempotent" else statement(final)
+           for name, final in FINAL.items()}
+ANSWERS |= {f"build_{table}": built(FINAL[query]) for table, query in _BUILT.items()}

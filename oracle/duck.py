@@ -56,7 +56,8 @@ SELECT h, l_linenumber, l_returnflag,
   CASE WHEN h % 977 <> 0 THEN l_shipdate + to_seconds(h % 86400) END AS pickup_datetime,
   CAST({first("60 + (h * 31) % 4200", (971, "0"), (967, "-45"), (499, "90000"))} AS BIGINT)
     AS trip_duration,
-  {first(point(40600001, 13, 150000), (953, "0.0"), (941, "NULL"), (929, "42.0"))}
+  {first(point(40600001, 13, 150000), (953, "0.0"), (941, "NULL"), (929, "42.0"),
+     (853, "95.0"))}
     AS pickup_latitude,
   {first(point(-74049999, 17, 125000), (953, "0.0"))} AS pickup_longitude,
   CASE WHEN l_orderkey % 2 = 0 THEN 'batch_a' ELSE 'batch_b' END AS source_hash
@@ -70,7 +71,8 @@ SELECT h, id, vendor_id, CAST(pickup_datetime AS TIMESTAMP) AS pickup_datetime,
     AS dropoff_datetime,
   CAST({first("l_linenumber", (887, "0"))} AS INTEGER) AS passenger_count,
   pickup_longitude, pickup_latitude,
-  {first(point(-74049999, 23, 125000), (937, "pickup_longitude"))} AS dropoff_longitude,
+  {first(point(-74049999, 23, 125000), (937, "pickup_longitude"), (857, "-190.0"))}
+    AS dropoff_longitude,
   {first(point(40600001, 19, 150000), (937, "pickup_latitude"), (883, "42.0"))}
     AS dropoff_latitude,
   {first("CASE WHEN l_returnflag = 'R' THEN 'Y' ELSE 'N' END", (881, "NULL"), (947, "'y'"))}
@@ -440,3 +442,22 @@ def statement(final: str) -> str:
         return final.strip()
     steps = ",\n".join(f"{name} AS ({STEPS[name].strip()})" for name in order)
     return f"WITH {steps}\n{final.strip()}"
+
+
+_READ = {"vendor_id": "INTEGER", "pickup_datetime": "TIMESTAMP", "dropoff_datetime": "TIMESTAMP",
+         "passenger_count": "INTEGER", "trip_duration": "BIGINT",
+         **{f"{end}_{axis}": "DOUBLE" for end in ("pickup", "dropoff")
+            for axis in ("latitude", "longitude")}}
+
+
+def built(final: str) -> str:
+    """The statement with its trips read back from landing text, as the build gets them."""
+    whole = statement(final)
+    cells = ", ".join(f"TRY_CAST({v} AS {_READ[c]}) AS {c}" if c in _READ else f"{v} AS {c}"
+                      for c in SOURCE for v in [f"nullif(trim({c}), '')"])
+    landed = STEPS["landed"].replace("FROM feed", "FROM given")
+    assert "\nfeed AS (" in whole and "landed AS (" not in whole
+    head, tail = whole.split("\nfeed AS (", 1)
+    feed, rest = tail[:len(STEPS["feed"].strip())], tail[len(STEPS["feed"].strip()):]
+    return (f"{head}\ngiven AS ({feed}),\nlanded AS ({landed}),\nfeed AS ("
+            f"SELECT {cells}, source_file, source_hash FROM landed{rest}")

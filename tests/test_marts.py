@@ -18,8 +18,8 @@ def valid(spark):
 
 
 def test_totals_agree_across_marts(valid):
-    assert marts.trip_performance(valid, SETTINGS).agg(F.sum("kpi_001_total_trips")).first()[0] == 416
-    assert marts.demand_metrics(valid).agg(F.sum("kpi_008_trips_per_hour")).first()[0] == 416
+    assert marts.trip_performance(valid, SETTINGS).agg(F.sum("kpi_001_total_trips")).first()[0] == planted.VALID
+    assert marts.demand_metrics(valid).agg(F.sum("kpi_008_trips_per_hour")).first()[0] == planted.VALID
     shares = marts.vendor_performance(valid).agg(F.sum("kpi_013_vendor_trip_share_pct")).first()[0]
     assert shares == pytest.approx(100, abs=0.01)
 
@@ -47,7 +47,7 @@ def test_ranks_are_complete_and_agree_with_the_top_rows(valid):
         rows.sort(key=lambda r: r.rank_in_dimension)
         assert [r.rank_in_dimension for r in rows] == list(range(1, len(rows) + 1))
         assert rows == sorted(rows, key=lambda r: (-r.trip_count, r.area_key))
-        assert sum(r.trip_count for r in rows) == 416
+        assert sum(r.trip_count for r in rows) == planted.VALID
     top = {(r.dimension, r.area_key, r.rank_in_dimension)
            for r in marts.top_areas(valid, 3).collect()}
     assert top == {(r.dimension, r.area_key, r.rank_in_dimension)
@@ -88,7 +88,7 @@ def test_drill_down_refuses_other_dimensions(valid):
     with pytest.raises(ValueError, match="no dimension"):
         kpis.drill_down(valid, "KPI-003", ["route"], SETTINGS)
     by_vendor = kpis.drill_down(valid, "KPI-001", ["vendor"], SETTINGS).collect()
-    assert sum(r.kpi_001_total_trips for r in by_vendor) == 416
+    assert sum(r.kpi_001_total_trips for r in by_vendor) == planted.VALID
 
 
 def test_presentation_rounds_decimal_ties_up(spark):

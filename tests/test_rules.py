@@ -18,10 +18,17 @@ def judged(spark):
     return rules.evaluate(typed(planted.landed(spark)), SETTINGS).cache()
 
 
-def test_planted_defects_end_under_their_rule(judged):
+def test_planted_cases_end_under_their_rule(judged):
     found = Counter(r.rule_id for r in judged.select("rule_id").collect())
-    assert found == {None: 416, "DQ-001": 3, "DQ-002": 4, "DQ-004": 2, "DQ-005": 2, "DQ-006": 4,
-                     "DQ-007": 5, "DQ-009": 5}
+    assert found == planted.expected_rules()
+
+
+def test_coordinate_classes(judged):
+    found = Counter(r.coordinate_anomaly for r in judged.collect())
+    want = Counter()
+    for case in planted.CASES:
+        want[case.geo] += case.times
+    assert {k: n for k, n in found.items() if k} == {k: n for k, n in want.items() if k}
 
 
 def test_rejections_carry_the_reason_of_their_rule(judged):
@@ -33,16 +40,18 @@ def test_rejections_carry_the_reason_of_their_rule(judged):
 def test_flags_and_outliers_stay_in_the_valid_table(judged):
     valid, _ = rules.split(judged, SETTINGS)
     data = valid.collect()
-    assert sum(r.is_passenger_count_anomaly for r in data) == 5
-    assert sum(r.is_store_fwd_flag_anomaly for r in data) == 3
-    assert sum(r.coordinate_anomaly == "GEO-005" for r in data) == 4
-    assert sum(r.trip_duration >= 72000 for r in data) == 2
+    assert sum(r.is_passenger_count_anomaly for r in data) == planted.n_of("bus load", "nobody aboard")
+    assert sum(r.is_store_fwd_flag_anomaly for r in data) == planted.n_of("flag lower case",
+                                                                          "flag not given")
+    assert sum(r.coordinate_anomaly == "GEO-005" for r in data) == planted.n_of("round trip")
+    assert sum(r.is_duration_outlier for r in data) == planted.n_of("takes two days")
 
 
 def test_profile_counts_each_rule_on_its_own(judged):
     failed = {r.rule_id: (r.failed_records, r.status)
               for r in profile.profile_quality(judged, SETTINGS).collect()}
-    assert failed["DQ-007"] == (9, "FAIL")
+    assert failed["DQ-007"] == (planted.expected_rules()["DQ-007"], "FAIL")
+    assert failed["DQ-008"][0] == planted.n_of("bus load", "nobody aboard")
     assert failed["DQ-012"] == (0, "PASS")
     assert failed["DQ-014"] == (None, "POLICY")
 
@@ -50,14 +59,17 @@ def test_profile_counts_each_rule_on_its_own(judged):
 def test_quality_mart_reconciles_and_counts_duplicates_before_rejection(judged):
     valid, rejected = rules.split(judged, SETTINGS)
     batch = marts.data_quality(judged, valid, rejected).first()
-    assert (batch.total_records, batch.valid_records, batch.quarantined_records) == (441, 416, 25)
-    assert batch.duplicate_records == 4 and batch.reconciles
-    assert batch.kpi_020_duplicate_rate_pct == 0.907
+    assert (batch.total_records, batch.valid_records, batch.quarantined_records) == (
+        planted.TOTAL, planted.VALID, planted.TOTAL - planted.VALID)
+    repeated = planted.expected_rules()["DQ-002"]
+    assert batch.duplicate_records == repeated and batch.reconciles
+    assert batch.kpi_020_duplicate_rate_pct == pytest.approx(100 * repeated / planted.TOTAL, abs=5e-5)
 
 
-def test_repeated_id_with_another_payload_is_a_conflict(spark):
-    kinds = duplicate_types(typed(planted.landed(spark))).collect()
-    assert [(k.duplicate_type, k.ids, k.rows) for k in kinds] == [("C", 1, 4)]
+def test_repeated_ids_by_kind(spark):
+    kinds = duplicate_types(typed(planted.landed_batches(spark))).collect()
+    assert {k.duplicate_type: (k.ids, k.rows) for k in kinds} == {
+        name: (1, here + there) for name, (here, there, _) in planted.REPEATED.items()}
 
 
 def test_same_trip_in_two_batches_and_in_one(spark):
@@ -82,16 +94,16 @@ def test_missing_vendor_and_flag_are_decided(spark):
               planted.row(3, store_and_fwd_flag="")]
     judged = {r.id: r for r in rules.evaluate(typed(planted.landed(spark, values)),
                                               SETTINGS).collect()}
-    assert judged["id0000001"].rule_id == judged["id0000002"].rule_id == "DQ-003"
-    assert judged["id0000003"].is_valid_trip and judged["id0000003"].is_store_fwd_flag_anomaly
+    assert judged["trip-1"].rule_id == judged["trip-2"].rule_id == "DQ-003"
+    assert judged["trip-3"].is_valid_trip and judged["trip-3"].is_store_fwd_flag_anomaly
 
 
 def test_very_long_duration_does_not_overflow(spark):
     values = [planted.row(1, trip_duration=str(2**63 - 1)), planted.row(2, trip_duration=str(-2**63))]
     judged = {r.id: r for r in rules.evaluate(typed(planted.landed(spark, values)),
                                               SETTINGS).collect()}
-    assert judged["id0000001"].estimated_speed_kmh == 0.0 and judged["id0000001"].is_valid_trip
-    assert judged["id0000002"].rule_id == "DQ-007"
+    assert judged["trip-1"].estimated_speed_kmh == 0.0 and judged["trip-1"].is_valid_trip
+    assert judged["trip-2"].rule_id == "DQ-007"
 
 
 def test_both_ways_to_the_valid_table_agree(spark, judged):
