@@ -454,7 +454,9 @@ def built(final: str) -> str:
     """The statement with its trips read back from landing text, as the build gets them."""
     whole = statement(final)
     cells = ", ".join(f"TRY_CAST({v} AS {_READ[c]}) AS {c}" if c in _READ else f"{v} AS {c}"
-                      for c in SOURCE for v in [f"nullif(trim({c}), '')"])
+                      for c in SOURCE for v in [
+                          # The flag keeps its text, a blank one too, as silver_typed has it.
+                          c if c == "store_and_fwd_flag" else f"nullif(trim({c}), '')"])
     landed = STEPS["landed"].replace("FROM feed", "FROM given")
     assert "\nfeed AS (" in whole and "landed AS (" not in whole
     head, tail = whole.split("\nfeed AS (", 1)
