@@ -76,7 +76,7 @@ def test_probabilities_of_all_outcomes_add_up_to_one():
     states[:, :-1] = np.random.default_rng(2).normal(0, 1, (5, gru.HIDDEN))
     total = np.zeros(5)
     for word in vocabulary.words:
-        _, kind, row, _, _ = vocabulary.describe(word)
+        _, kind, row, _, _ = (column[0] for column in vocabulary.lookup([word]))
         total += np.exp(network.output(states, np.full(5, kind), np.full(5, row))[0])
     for k in range(68):
         total += np.exp(network.output(states, np.full(5, vocabulary.head_classes + k),

@@ -38,7 +38,7 @@ LISTED = 131_072
 HEAD_CLASSES = 40
 FORMS = 17 * 4
 PASSES = 4
-BLOCK = 8_000_000
+BLOCK = 6_000_000
 REDUCERS = 8
 END = b""
 
@@ -96,19 +96,32 @@ class Vocabulary:
                                self.form_mass])
         return start(self.layout, mass / mass.sum(), self.counts[:self.head] + 1.0)
 
-    def describe(self, word: bytes) -> tuple[int, int, int, float, float]:
-        """(input, class, head row or -1, log10 of count + 1 or -1 if not listed, log10 share)."""
+    def _prepare(self) -> None:
+        """Tables over the listed words, built once in a task."""
+        self.known = {w: i for i, w in enumerate(self.words)}
+        n = len(self.words)
+        forms = np.zeros(n, np.int64)
+        forms[self.head:] = [form(w) for w in self.words[self.head:]]
+        self.weight = np.log10(self.counts + 1)
+        self.kind = self.head_classes + forms
+        self.kind[:self.head] = self.head_class
+        self.share = self.weight - np.log10(self.form_mass)[forms]
+        self.share[:self.head] = 0.0
+
+    def lookup(self, found: list[bytes]) -> list[np.ndarray]:
+        """Of each word: input, class, head row or -1, log10 of count + 1 or -1 if it isn't listed,
+        and log10 of its share in its class, without the count where that isn't known."""
         if not self.known:
-            self.known = {w: i for i, w in enumerate(self.words)}
-        i = self.known.get(word, -1)
-        weight = math.log10(self.counts[i] + 1) if i >= 0 else -1.0
-        if 0 <= i < self.head:
-            kind = int(self.head_class[i])
-            return i, kind, i, weight, 0.0
-        own = form(word)
-        kind = self.head_classes + own
-        share = max(weight, 0.0) - math.log10(self.form_mass[own])
-        return self.head + kind, kind, -1, weight, share
+            self._prepare()
+        at = np.fromiter(map(lambda w: self.known.get(w, -1), found), np.int64, len(found))
+        other = np.flatnonzero(at < 0)
+        forms = np.fromiter((form(found[i]) for i in other.tolist()), np.int64, len(other))
+        kind, weight, share = self.kind[at], self.weight[at], self.share[at]
+        kind[other], weight[other] = self.head_classes + forms, -1.0
+        share[other] = -np.log10(self.form_mass)[forms]
+        in_head = (at >= 0) & (at < self.head)
+        return [np.where(in_head, at, self.head + kind), kind, np.where(in_head, at, -1), weight,
+                share]
 
 
 @dataclass
@@ -125,18 +138,16 @@ class Block:
 def tokenised(data: np.ndarray, offsets: np.ndarray, vocabulary: Vocabulary) -> Block:
     found = words(data, offsets, lower=True)
     end = len(found.vocabulary)
-    known = [vocabulary.describe(w) for w in found.vocabulary.to_pylist()] + [
-        vocabulary.describe(END)]
-    table = np.array(known, np.float64).reshape(-1, 5)
+    table = vocabulary.lookup([*found.vocabulary.to_pylist(), END])
     rows = len(offsets) - 1
     first = found.first + np.arange(rows + 1)
     codes = np.full(first[-1], end, np.int64)
     inner = np.ones(len(codes), bool)
     inner[first[1:] - 1] = False
     codes[inner] = found.codes
-    ids = table[:, :3].astype(np.int64)[codes]
-    return Block(Tokens(ids[:, 0], ids[:, 1], ids[:, 2], first), table[:, 3][codes],
-                 table[:, 4][codes], codes, found.vocabulary)
+    inputs, classes, rows_of_words, weight, share = (column[codes] for column in table)
+    return Block(Tokens(inputs, classes, rows_of_words, first), weight, share, codes,
+                 found.vocabulary)
 
 
 def build_vocabulary(table: DataFrame) -> Vocabulary:
