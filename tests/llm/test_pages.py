@@ -38,9 +38,9 @@ def test_host():
 
 
 def site(n, lead="http://s.example.org/"):
-    return [(i, f"{lead}{i}", "<body><div class='x1'><div>Welcome to the site</div></div>"
-             f"<div class='x2'><p>Own text {i}</p><p>and {i * 7} more</p>{'<p>x</p>' * (i % 3)}</div>"
-             "<div class='x3'><p>All rights</p></div></body>") for i in range(n)]
+    return [(i, f"{lead}{i}", "<body><div class='intro'><div>Welcome to the site</div></div>"
+             f"<div class='body7'><p>Own text {i}</p><p>and {i * 7} more</p>{'<p>x</p>' * (i % 3)}</div>"
+             "<div class='end'><p>All rights</p></div></body>") for i in range(n)]
 
 
 def texts(frame):
@@ -54,7 +54,7 @@ def test_the_tree_of_a_site_gives_its_frame_away(spark):
     assert got[4] == "Own text 4\nand 28 more\nx"
     assert got[100] == "Welcome to the site\nOwn text 0\nand 0 more\nAll rights"  # one page tells nothing
     low = low_paths(style_tree(pages, "url", "html")).first().low
-    assert ">body>div.x#" in low or any(p.startswith(">body>div.x") for p in low)
+    assert ">body>div.intro" in low and ">body>div.end" in low and ">body>div.body#" not in low
 
 
 def test_copies_of_an_article_keep_their_text(spark):

@@ -14,7 +14,7 @@ A path's importance is a mixture of both; paths below LOW on a host of at least
 cut out of each page of that host with everything below them. Besides, elements that HTML or their
 class, id or role mark as navigation, header, footer, sidebar, notice, advert, form, script, style
 or comment are cut on every page. Where a page has article or main elements, its text is what they
-hold, and plain content elements in them (paragraphs, headings, lists, without a class) are never
+hold, and plain elements in them (paragraphs, headings, lists, divisions, without a class) are never
 cut, so that a site full of copies keeps its text.
 
 Paths on fewer than one in RARE of a host's pages are not judged, so a host has a bounded number of
@@ -60,7 +60,7 @@ CLOSED_BY = {"p": frozenset("address article aside blockquote div dl fieldset fo
              "tr": frozenset(["tr"]), "td": frozenset(["td", "th", "tr"]),
              "th": frozenset(["td", "th", "tr"]), "option": frozenset(["option"])}
 PLAIN = frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre table tbody thead tr td th "
-                  "section figure figcaption article main".split())
+                  "section figure figcaption article main header hgroup div".split())
 MARKED = re.compile(
     r"(?:^|[\s_-])(?:ad|ads|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu|breadcrumbs?|sidebar|"
     r"footer|header|masthead|cookies?|consent|gdpr|notices?|popup|modal|comments?|replies|disqus|"
