@@ -8,7 +8,8 @@ from tripledger.llm.mixing import MAX_MEAN, TEMPERATURE, mixed_rows, replicated
 
 
 def rows(n=3000):
-    return [(i, f"text {i}", "big" if i % 10 < 8 else "mid" if i % 100 else "rare") for i in range(n)]
+    return [(i, f"text {i}", "rare" if i % 100 == 99 else "big" if i % 10 < 8 else "mid")
+            for i in range(n)]
 
 
 def expected(data):

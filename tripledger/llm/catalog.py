@@ -86,8 +86,11 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(
             ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
     base = F.filter("spans", lambda s: s["base"])
-    counts = [F.size(F.filter(base, lambda s, kind=kind: s["kind"] == kind)).cast("bigint")
-              .alias(f"n_{kind}") for kind in pii.BASE]
+    kinds = F.transform(base, lambda s: s["kind"])
+
+    def number(kind: str):
+        return F.size(F.filter(kinds, lambda k: k == kind)).cast("bigint").alias(f"n_{kind}")
+    counts = [number(kind) for kind in pii.BASE]
     return found.select(F.col("id").alias("doc_id"), *counts,
                         F.sha2(joined(base), 256).alias("base_sha256"),
                         joined(F.col("spans")).alias("spans"))
