@@ -139,12 +139,13 @@ def place_of(terms: np.ndarray) -> np.ndarray:
 
 
 def scores(docs: DataFrame, score: Callable, key: str, text: str) -> DataFrame:
-    """(id, score): ``score(data, offsets)`` of each row's whole text."""
+    """(id, score): ``score(data, offsets)`` of each row's whole text, to nine digits, so that the order
+    of additions in a block doesn't tell equal texts apart."""
     kind = dict(docs.dtypes)[key]
 
     def run(batches):
         for rows, data, offsets in blocks(batches, "text"):
-            yield pa.RecordBatch.from_arrays(
-                [rows.column(0), pa.array(score(data, offsets).astype(np.float64))], ["id", "score"])
+            found = np.round(score(data, offsets).astype(np.float64), 9)
+            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(found)], ["id", "score"])
     return (docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text"))
             .mapInArrow(run, f"id {kind}, score double"))
