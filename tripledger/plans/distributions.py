@@ -136,8 +136,8 @@ def duration_log_stats(trips: DataFrame) -> DataFrame:
 
 
 def duration_histogram(trips: DataFrame, width: int = 300) -> DataFrame:
-    """Trips per duration bin; the bin is named by its first second."""
-    start = F.floor(F.col("trip_duration") / width).cast("bigint") * width
+    """Trips per duration bin; the bin is named by its first second, if 64 bits hold that."""
+    start = F.try_multiply(F.floor(F.col("trip_duration") / width).cast("bigint"), F.lit(width))
     return (trips.where(F.col("trip_duration").isNotNull()).groupBy(start.alias("bin_start"))
             .agg(F.count("*").alias("trips")))
 

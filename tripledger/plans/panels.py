@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripledger.functions.rounding import pct, ratio, wide_sum
+from tripledger.functions.rounding import WIDE, pct, ratio, wide_sum
 from tripledger.operators.histogram import (
     avg_duration, avg_km, avg_kmh, cell_percentiles, duration_cells,
 )
@@ -13,7 +13,7 @@ from tripledger.operators.histogram import (
 
 def _shown(value: Column, places: int, stored: int = 4, divisor: int = 1) -> Column:
     """A stored, already rounded number, divided and rounded again without a binary tie."""
-    units = F.rint(value * F.lit(float(10**stored))).cast("bigint")
+    units = F.rint(value * F.lit(float(10**stored))).cast(WIDE)
     return ratio(units, F.lit(divisor * 10**stored), places)
 
 
