@@ -135,3 +135,16 @@ def test_build_from_files_twice_gives_the_same_tables(spark, inbox, tmp_path):
     assert {n: t.count() for n, t in tables.items() if n != "profile_domain_stats"} == {
         "profile_run": 1, "profile_schema": 11, "profile_numeric_stats": 3,
         "profile_quality": 15, "profile_anomalies": 7}
+
+
+def test_a_failed_replacement_keeps_the_old_table(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "tables"))
+    old = store.replace("gold", "t", spark.range(3))
+    with pytest.raises(Exception, match="broken"):
+        store.replace("gold", "t", spark.range(5).selectExpr("raise_error('broken') AS id"))
+    assert store.read("gold", "t").count() == 3
+    store.replace("gold", "t", spark.range(7))
+    assert store.read("gold", "t").count() == spark.table("gold_t").count() == 7
+    assert old.count() == 3  # a reader of the old version is not disturbed
+    with pytest.raises(KeyError):
+        store.read("gold", "missing")

@@ -5,7 +5,8 @@ from tests import planted
 from tripledger.config import PENDING, Settings, UnapprovedThreshold, gate
 from tripledger.operators import rules
 from tripledger.operators.typing import typed
-from tripledger.plans import kpis, marts, panels
+from tripledger.plans import distributions as dist
+from tripledger.plans import kpis, marts, panels, profile, star
 from tripledger.plans.expectations import compare
 
 SETTINGS = Settings()
@@ -101,3 +102,34 @@ def test_presentation_rounds_decimal_ties_up(spark):
     row = panels.vendor_comparison(vendors).first()
     assert (row.trip_share_pct, row.avg_duration_min) == (50.13, 40.1)
     assert (row.avg_estimated_distance_km, row.avg_estimated_speed_kmh) == (1.01, 1.3)
+
+
+def test_absurd_durations_stop_no_mart_and_no_profile(spark):
+    values = [planted.row(i, trip_duration=str(d), **({} if i % 2 else {"vendor_id": "1"}))
+              for i, d in enumerate([10**13, 2**63 - 1, 2**63 - 1, -2**63, 600, 700])]
+    text = planted.landed(spark, values)
+    judged = rules.evaluate(typed(text), SETTINGS)
+    valid, rejected = rules.split(judged, SETTINGS)
+    quality = marts.data_quality(judged, valid, rejected)
+    performance, demand = marts.trip_performance(valid, SETTINGS), marts.demand_metrics(valid)
+    fact, places = star.fact_trip(valid), star.dim_location(valid)
+    frames = [
+        performance, demand, marts.geographic_metrics(valid), marts.vendor_performance(valid), quality,
+        panels.exec_tiles(valid, performance, demand, quality), kpis.rollup(valid, SETTINGS),
+        profile.profile_numeric_stats(judged), profile.duration_consistency_stats(judged),
+        profile.duration_iqr(judged), profile.profile_vendor(judged), profile.profile_saf(judged),
+        profile.threshold_candidates(judged), dist.duration_log_stats(judged),
+        dist.duration_boxplot(judged), dist.duration_histogram(judged), dist.duration_by_dim(valid),
+        dist.cross_field(valid), dist.vendor_profile_full(valid, SETTINGS),
+        star.trips_by_month_and_area(fact, star.dim_date(valid), star.dim_time(valid), places)]
+    assert all(frame.collect() for frame in frames)
+
+
+def test_drill_down_of_every_kpi(valid):
+    months = kpis.drill_down(valid, "KPI-002", ["month", "weekend"], SETTINGS)
+    assert {"pickup_month", "is_weekend"} <= set(months.columns) and months.count() >= 1
+    for kpi_id in [f"KPI-{n:03}" for n in range(1, 18)]:
+        assert kpis.drill_down(valid, kpi_id, [], SETTINGS).count() >= 1
+    for kpi_id in ("KPI-018", "KPI-019", "KPI-020"):
+        with pytest.raises(ValueError, match="from_data_quality"):
+            kpis.drill_down(valid, kpi_id, [], SETTINGS)

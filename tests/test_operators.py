@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from tripledger.functions.geo import great_circle_km
 from tripledger.functions.motion import speed_kmh
 from tripledger.functions.rounding import ratio
-from tripledger.operators.histogram import exact_percentiles, percentile_columns
+from tripledger.operators.histogram import (
+    cell_percentiles, exact_percentiles, percentile_columns,
+)
 from tripledger.operators.occurrences import only_once, with_id_occurrences
 from tripledger.operators.ranking import rank_by_count
 
@@ -96,3 +98,35 @@ def test_distance_and_speed(spark):
 
     assert kmh(1.5, 7) == 771.428571
     assert kmh(1.5, 0) is None and kmh(1.5, -3) is None and kmh(None, 7) is None
+
+
+def test_rows_without_id_and_of_a_hot_id_are_not_dealt_out_by_id(spark):
+    rows = spark.range(40_000, numPartitions=8).select(
+        F.when(F.col("id") % 2 == 0, None).when(F.col("id") % 4 == 1, "hot")
+        .otherwise(F.concat(F.lit("i"), F.floor(F.col("id") / 8).cast("string"))).alias("id"), "id")
+    rows = rows.toDF("id", "k")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled",
+                                             "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        found = with_id_occurrences(rows, 1000)
+        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+        hot = found.where("id = 'hot'").select("id_occurrences").distinct().collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert [r.id_occurrences for r in hot] == [10_000]
+    assert max(sizes) <= 5_000  # no task holds more than what its own read gave it
+
+
+def test_percentiles_of_cells_equal_one_buffer(spark):
+    cells = spark.range(1, 400).select(
+        F.when(F.col("id") % 5 != 0, (F.col("id") % 3).cast("int")).alias("g"),
+        (F.col("id") * 7919 % 1000 - 300).alias("trip_duration"), (F.col("id") % 4 + 1).alias("n"))
+    found = cell_percentiles(cells, {"p50": 0.5, "p90": 0.9}, "g").collect()
+    want = cells.groupBy("g").agg(F.percentile("trip_duration", [0.5, 0.9], F.col("n")).alias("p"))
+    assert {r.g: (r.p50, r.p90) for r in found} == {
+        r.g: tuple(pytest.approx(x) for x in r.p) for r in want.collect()}
+    whole = cell_percentiles(cells, {"p90": 0.9}).first().p90
+    assert whole == pytest.approx(cells.agg(F.percentile("trip_duration", 0.9, F.col("n"))).first()[0])
