@@ -10,7 +10,9 @@ import pytest
 spm = pytest.importorskip("sentencepiece")
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
-from tripledger.llm.pieces import CharacterMap, Codec, decode, digests, encode  # noqa: E402
+from tripledger.llm.pieces import (  # noqa: E402
+    STRETCH, CharacterMap, Codec, decode, digests, encode,
+)
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 TEXTS = ["", " ", "  a", "a  ", "Hello world", "a\tb\nc\r\n d", "▁a ▁▁ b", "  double  spaces   here",
@@ -32,17 +34,18 @@ def codec():
 
 def test_ids_and_text_equal_the_library(codec):
     library = spm.SentencePieceProcessor(model_file=MODEL)
-    for text in sample():
-        found, spans = codec.encode(text.encode())
-        ids = [i for f in found for i in f[0]]
+    texts = sample()
+    for text, (ids, written, spans) in zip(texts, codec.encode([t.encode() for t in texts])):
+        ids = ids.tolist()
         assert ids == library.encode(text), text
+        assert written == " ".join(map(str, ids))
         assert codec.decode([*ids, 2]) == library.decode([*ids, 2]), text
         assert len(spans) == len(ids)
 
 
 def test_spans_cover_the_source_in_order(codec):
-    for text in sample(2):
-        _, spans = codec.encode(text.encode())
+    texts = sample(2)
+    for text, (_, _, spans) in zip(texts, codec.encode([t.encode() for t in texts])):
         if len(spans):
             assert spans[0, 0] == 0 and spans[-1, 1] == len(text.encode())
             assert (spans[1:, 0] >= spans[:-1, 0]).all() and (spans[:, 0] <= spans[:, 1]).all()
@@ -89,6 +92,13 @@ def test_frames(spark):
 def test_whole_documents_equal_the_library(codec):
     import pyarrow.parquet as pq
     library = spm.SentencePieceProcessor(model_file=MODEL)
-    for text in pq.read_table("/root/testdata/sf0.001/documents.parquet")["text"].to_pylist():
-        found, _ = codec.encode(text.encode())
-        assert [i for f in found for i in f[0]] == library.encode(text)
+    texts = pq.read_table("/root/testdata/sf0.001/documents.parquet")["text"].to_pylist()
+    for text, (ids, _, _) in zip(texts, codec.encode([t.encode() for t in texts])):
+        assert ids.tolist() == library.encode(text)
+
+
+def test_own_merges_equal_the_library(codec):
+    library = spm.SentencePieceProcessor(model_file=MODEL)
+    for text in sample(3):
+        stretches = STRETCH.findall(codec.normalise(text.encode())[0])
+        assert [i for s in stretches for i in codec.piece_ids(s)] == library.encode(text)
