@@ -16,11 +16,11 @@ from dataclasses import dataclass
 
 import numpy as np
 
-HIDDEN = 24
+HIDDEN = 16
 TRAIN_LANES, TRAIN_WINDOW = 256, 16
-SCORE_LANES, SCORE_WINDOW = 512, 32
-RATE = 0.01
-LOSS_EVERY = 3  # the state is carried through every window, the loss is taken in each third one
+SCORE_LANES, SCORE_WINDOW = 1024, 32
+RATE = 0.015
+LOSS_EVERY = 6  # the state is carried through every window, the loss is taken in each sixth one
 CHUNK = 2048
 
 

@@ -35,7 +35,7 @@ from .store import stored
 
 HEAD = 2048
 LISTED = 131_072
-HEAD_CLASSES = 40
+HEAD_CLASSES = 32
 FORMS = 17 * 4
 PASSES = 4
 BLOCK = 6_000_000
