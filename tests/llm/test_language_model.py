@@ -134,3 +134,18 @@ def test_training_lowers_the_loss():
     for _ in range(60):
         trainer.learn(tokens)
     assert log_likelihood(trainer.network, tokens).sum() > 0.8 * before
+
+
+def test_every_training_token_is_learned_from():
+    vocabulary = small()
+    raw = [b"w1 w2 w3 " * 40, b"w30 " * 20]  # one lane could hide the short one between two losses
+    data = np.frombuffer(b"".join(raw), np.uint8)
+    tokens = tokenised(data, np.cumsum([0, *map(len, raw)]), vocabulary).tokens
+    trainer = Trainer(vocabulary.layout, vocabulary.initial())
+    row = vocabulary.lookup([b"w30"])[0][0]
+    before = trainer.network.by_input[row].copy()
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(gru, "TRAIN_LANES", 1)
+        trainer.learn(tokens)
+    assert trainer.seen == len(tokens.inputs)
+    assert not np.allclose(trainer.network.by_input[row], before)

@@ -2,7 +2,8 @@
 
 Documents are laid end to end in lanes that run side by side; a lane's state is cleared where a
 document begins and carried from window to window otherwise, so a document's likelihood is over its
-whole text. Training is truncated back-propagation: gradients stop at a window's first token.
+whole text. Training is truncated back-propagation: the loss is taken at every token of every window,
+and gradients stop at a window's first token.
 
 Outcomes are factored: a class, then a member. Head words (the most frequent) are in classes of
 similar weight and have a softmax over their class that depends on the state; all other words are
@@ -16,11 +17,11 @@ from dataclasses import dataclass
 
 import numpy as np
 
-HIDDEN = 16
+HIDDEN = 24
 TRAIN_LANES, TRAIN_WINDOW = 256, 16
 SCORE_LANES, SCORE_WINDOW = 1024, 32
-RATE = 0.015
-LOSS_EVERY = 6  # the state is carried through every window, the loss is taken in each sixth one
+LEAST_LANES, LEAST_STEPS = 4, 64
+RATE = 0.01
 CHUNK = 2048
 
 
@@ -197,6 +198,7 @@ class Network:
         before = before[:, :, :h]
         d_state = np.zeros_like(before[0])
         d_fed = np.empty((*inputs.shape, 3 * h), np.float32)
+        carried = np.empty_like(d_fed)
         for t in range(len(inputs) - 1, -1, -1):
             update, reset, inner, fresh = kept[t]
             d_fresh = d_state * (1 - update)
@@ -204,11 +206,11 @@ class Network:
             d_sum = d_fresh * (1 - fresh * fresh)
             d_reset = d_sum * inner * reset * (1 - reset)
             d_fed[t, :, :h], d_fed[t, :, h:2 * h], d_fed[t, :, 2 * h:] = d_update, d_reset, d_sum
-            d_carried = np.concatenate([d_update, d_reset, d_sum * reset], 1)
-            gradient[1] += before[t].T @ d_carried
+            d_carried = np.concatenate([d_update, d_reset, d_sum * reset], 1, out=carried[t])
             d_state = d_state * update + d_carried @ self.recurrent.T + d_before[t]
             if begins[t].any():
                 d_state[begins[t]] = 0
+        gradient[1] += before.reshape(-1, h).T @ carried.reshape(-1, 3 * h)
         flat = inputs.ravel()
         order = np.argsort(flat, kind="stable")
         rows, first = np.unique(flat[order], return_index=True)
@@ -241,11 +243,10 @@ class Trainer:
     def learn(self, tokens: Tokens) -> None:
         network, layout = self.network, self.network.layout
         state = np.zeros((0, HIDDEN), np.float32)
-        for k, (grid, begins, running) in enumerate(windows(tokens, TRAIN_LANES, TRAIN_WINDOW)):
+        # Few tokens run in fewer lanes, so that they make enough steps too.
+        most = min(TRAIN_LANES, max(LEAST_LANES, len(tokens.inputs) // (TRAIN_WINDOW * LEAST_STEPS)))
+        for grid, begins, running in windows(tokens, most, TRAIN_WINDOW):
             state = state[:running] if len(state) else np.zeros((running, HIDDEN), np.float32)
-            if k % LOSS_EVERY:
-                state = network.run(tokens.inputs[grid], begins, state, False)[1]
-                continue
             flat = np.zeros_like(network.flat)
             gradient = layout.split(flat)
             inputs = tokens.inputs[grid]
@@ -256,7 +257,7 @@ class Trainer:
             d_before[real] = network.output(before[real], tokens.classes[number],
                                             tokens.words[number], gradient, 1 / len(number))[1]
             network.backward(inputs, begins, before, kept, d_before, gradient)
-            self._step(flat, len(number) / (TRAIN_LANES * TRAIN_WINDOW))
+            self._step(flat, len(number) / (most * TRAIN_WINDOW))
             self.seen += len(number)
 
     def _step(self, gradient: np.ndarray, share: float) -> None:

@@ -3,7 +3,7 @@
 Counts of all tokens of all training documents are taken in Spark. The most frequent words make the
 network's head and a list that travels with the tasks, both of bounded size; every other word keeps
 its exact count in a table that texts are joined with. The network is trained in PASSES passes, each
-over its own part of the training documents, so that every training document is run once: each task
+over its own part of the training documents, so that every token is learned from once: each task
 does truncated back-propagation over its documents from the common weights, and the tasks' weights
 are averaged, by the number of their tokens, in a tree of tasks. Scores are then taken in one pass.
 
@@ -35,7 +35,7 @@ from .store import stored
 
 HEAD = 2048
 LISTED = 131_072
-HEAD_CLASSES = 32
+HEAD_CLASSES = 40
 FORMS = 17 * 4
 PASSES = 4
 BLOCK = 6_000_000
