@@ -149,3 +149,21 @@ def test_every_training_token_is_learned_from():
         trainer.learn(tokens)
     assert trainer.seen == len(tokens.inputs)
     assert not np.allclose(trainer.network.by_input[row], before)
+
+
+def test_context_tells_listed_words_beyond_the_most_frequent_apart():
+    names = [b"", *(f"w{i}".encode() for i in range(4000))]
+    vocabulary = Vocabulary(names, np.arange(4001, 0, -1).astype(float), np.ones(68), 9000, 4001)
+    inputs, _, rows, _, _ = vocabulary.lookup([b"w3990", b"w3991", b"unseen"])
+    assert inputs[0] != inputs[1] and rows[0] != rows[1] and min(rows[:2]) >= 0 and rows[2] == -1
+    raw = [b"w3990 w3992 " * 30, b"w3991 w3993 " * 30] * 20
+    data = np.frombuffer(b"".join(raw), np.uint8)
+    tokens = tokenised(data, np.cumsum([0, *map(len, raw)]), vocabulary).tokens
+    trainer = Trainer(vocabulary.layout, vocabulary.initial())
+    for _ in range(12):
+        trainer.learn(tokens)
+    raw = [b"w3990 w3992", b"w3990 w3993"]
+    data = np.frombuffer(b"".join(raw), np.uint8)
+    right, wrong = log_likelihood(trainer.network, tokenised(
+        data, np.cumsum([0, *map(len, raw)]), vocabulary).tokens)
+    assert right > wrong + 1

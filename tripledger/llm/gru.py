@@ -5,9 +5,10 @@ document begins and carried from window to window otherwise, so a document's lik
 whole text. Training is truncated back-propagation: the loss is taken at every token of every window,
 and gradients stop at a window's first token.
 
-Outcomes are factored: a class, then a member. Head words (the most frequent) are in classes of
+Outcomes are factored: a class, then a member. Head words (all listed ones) are in classes of
 similar weight and have a softmax over their class that depends on the state; all other words are
-in classes by their form, with fixed shares inside their class.
+in classes by their form, with fixed shares inside their class. Rows of inputs that a window lacks
+are left alone by its step.
 """
 
 from __future__ import annotations
@@ -22,7 +23,9 @@ TRAIN_LANES, TRAIN_WINDOW = 256, 16
 SCORE_LANES, SCORE_WINDOW = 1024, 32
 LEAST_LANES, LEAST_STEPS = 4, 64
 RATE = 0.01
+FLOOR = 1e-5  # below it a gradient counts as noise: rare words would drift at full rate
 CHUNK = 2048
+STRIDE = 1 << 15  # numbers of a step's part that stays in the cache
 
 
 @dataclass
@@ -192,8 +195,8 @@ class Network:
         gradient += logits.T @ states
         return value - np.log(total), logits @ weights
 
-    def backward(self, inputs, begins, before, kept, d_before, gradient) -> None:
-        """Carry the states' gradients back through the window's steps."""
+    def backward(self, inputs, begins, before, kept, d_before, gradient) -> np.ndarray:
+        """Carry the states' gradients back through the window's steps; the rows of its inputs."""
         h = HIDDEN
         before = before[:, :, :h]
         d_state = np.zeros_like(before[0])
@@ -215,6 +218,7 @@ class Network:
         order = np.argsort(flat, kind="stable")
         rows, first = np.unique(flat[order], return_index=True)
         gradient[0][rows] += np.add.reduceat(d_fed.reshape(-1, 3 * h)[order], first, axis=0)
+        return rows
 
 
 def log_likelihood(network: Network, tokens: Tokens) -> np.ndarray:
@@ -237,18 +241,16 @@ class Trainer:
 
     def __init__(self, layout: Layout, flat: np.ndarray, rate: float = RATE):
         self.network, self.rate = Network(layout, flat.copy()), rate
-        self.moments = [np.zeros_like(flat) for _ in range(2)]
+        self.gradient, *self.moments = [np.zeros_like(flat) for _ in range(3)]
         self.steps = self.seen = 0
 
     def learn(self, tokens: Tokens) -> None:
-        network, layout = self.network, self.network.layout
+        network, gradient = self.network, self.network.layout.split(self.gradient)
         state = np.zeros((0, HIDDEN), np.float32)
         # Few tokens run in fewer lanes, so that they make enough steps too.
         most = min(TRAIN_LANES, max(LEAST_LANES, len(tokens.inputs) // (TRAIN_WINDOW * LEAST_STEPS)))
         for grid, begins, running in windows(tokens, most, TRAIN_WINDOW):
             state = state[:running] if len(state) else np.zeros((running, HIDDEN), np.float32)
-            flat = np.zeros_like(network.flat)
-            gradient = layout.split(flat)
             inputs = tokens.inputs[grid]
             before, state, kept = network.run(inputs, begins, state, True)
             real = grid >= 0
@@ -256,18 +258,42 @@ class Trainer:
             d_before = np.zeros((*grid.shape, HIDDEN), np.float32)
             d_before[real] = network.output(before[real], tokens.classes[number],
                                             tokens.words[number], gradient, 1 / len(number))[1]
-            network.backward(inputs, begins, before, kept, d_before, gradient)
-            self._step(flat, len(number) / (most * TRAIN_WINDOW))
+            rows = network.backward(inputs, begins, before, kept, d_before, gradient)
+            self._step(rows, len(number) / (most * TRAIN_WINDOW))
             self.seen += len(number)
 
-    def _step(self, gradient: np.ndarray, share: float) -> None:
+    def _step(self, rows: np.ndarray, share: float) -> None:
         """A step in proportion to the window's tokens: few lanes run in a long document's end."""
         self.steps += 1
-        norm = float(np.sqrt((gradient ** 2).sum()))
-        if norm > 1:
-            gradient /= norm
-        first, second = self.moments
-        first += 0.1 * (gradient - first)
-        second += 0.01 * (gradient * gradient - second)
+        split, flat = self.network.layout.split, self.network.flat
+        at = self.network.by_input.size
+        inputs, rest = split(self.gradient)[0], self.gradient[at:]
+        own = inputs[rows]
+        norm = float(np.sqrt(np.vdot(own, own) + np.vdot(rest, rest)))
         rate = share * self.rate * np.sqrt(1 - 0.99 ** self.steps) / (1 - 0.9 ** self.steps)
-        self.network.flat -= rate * first / (np.sqrt(second) + 1e-8)
+        scale = np.float32(1 / max(norm, 1.0))
+        by_input, moments = split(flat)[0], [split(m)[0] for m in self.moments]
+        first, second = (m[rows] for m in moments)
+        by_input[rows] -= self._change(own, first, second, scale, np.float32(rate))
+        moments[0][rows], moments[1][rows] = first, second
+        inputs[rows] = 0
+        for begin in range(at, len(flat), STRIDE):
+            part = slice(begin, begin + STRIDE)
+            flat[part] -= self._change(self.gradient[part], self.moments[0][part],
+                                       self.moments[1][part], scale, np.float32(rate))
+        rest[:] = 0
+
+    @staticmethod
+    def _change(gradient, first, second, scale, rate) -> np.ndarray:
+        """What Adam takes off; the moments are brought up to date in place."""
+        gradient *= scale
+        first += np.float32(0.1) * (gradient - first)
+        gradient *= gradient
+        gradient -= second
+        gradient *= np.float32(0.01)
+        second += gradient
+        out = np.sqrt(second)
+        out += np.float32(FLOOR)
+        np.divide(first, out, out=out)
+        out *= rate
+        return out

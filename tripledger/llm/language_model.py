@@ -1,13 +1,15 @@
 """Language-model scores of whole documents by a gated recurrent network trained on the corpus.
 
-Counts of all tokens of all training documents are taken in Spark. The most frequent words make the
-network's head and a list that travels with the tasks, both of bounded size; every other word keeps
-its exact count in a table that texts are joined with. The network is trained in PASSES passes, each
+Counts of all tokens of all training documents are taken in Spark. The LISTED most frequent words
+travel with the tasks; each has an input row of its own and a learned place in the softmax over its
+class, and the classes go by frequency. Every other word keeps its exact count in a table that texts
+are joined with. The network is trained in PASSES passes, each
 over its own part of the training documents, so that every token is learned from once: each task
 does truncated back-propagation over its documents from the common weights, and the tasks' weights
 are averaged, by the number of their tokens, in a tree of tasks. Scores are then taken in one pass.
 
-A word outside the head has the probability of its class, by its form, times its share in the class,
+A documented cut: a word beyond the list is fed in as its form (FORMS of them), and the context tells
+such words apart by form only. It has the probability of its form times its share in it,
 (count + 1) / (sum over the class of (count + 1) + 1), where the last 1 stands for all words of the
 class that the training documents don't have. So probabilities add up to one.
 
@@ -31,15 +33,15 @@ from pyspark.sql import functions as F
 from .blocks import blocks, words
 from .gru import RATE, Layout, Network, Tokens, Trainer, log_likelihood, start
 from .labelled import held_out
-from .store import stored
+from .store import settings, stored
 
-HEAD = 2048
 LISTED = 131_072
-HEAD_CLASSES = 40
+HEAD_CLASSES = 256
 FORMS = 17 * 4
 PASSES = 4
 BLOCK = 6_000_000
 REDUCERS = 8
+PIECE = 1 << 20  # weights travel in pieces of so many numbers
 END = b""
 
 
@@ -75,14 +77,14 @@ class Vocabulary:
 
     words: list[bytes]
     counts: np.ndarray
-    form_mass: np.ndarray  # sum of (count + 1) over the words outside the head, and 1
+    form_mass: np.ndarray  # sum of (count + 1) over the words beyond the list, and 1
     total: int
     distinct: int
     known: dict = field(default_factory=dict)
 
     def __post_init__(self):
-        self.head = min(HEAD, len(self.words))
-        weight = np.sqrt(self.counts[:self.head] + 1.0)
+        self.head = len(self.words)
+        weight = np.sqrt(self.counts + 1.0)
         at = np.minimum((np.cumsum(weight) - weight) / weight.sum() * HEAD_CLASSES,
                         HEAD_CLASSES - 1).astype(np.int64)
         kinds, self.head_class = np.unique(at, return_inverse=True)
@@ -92,21 +94,13 @@ class Vocabulary:
         self.layout = Layout(self.head + classes, self.head, classes, ends)
 
     def initial(self) -> np.ndarray:
-        mass = np.concatenate([np.bincount(self.head_class, self.counts[:self.head] + 1.0),
-                               self.form_mass])
-        return start(self.layout, mass / mass.sum(), self.counts[:self.head] + 1.0)
+        mass = np.concatenate([np.bincount(self.head_class, self.counts + 1.0), self.form_mass])
+        return start(self.layout, mass / mass.sum(), self.counts + 1.0)
 
     def _prepare(self) -> None:
         """Tables over the listed words, built once in a task."""
         self.known = {w: i for i, w in enumerate(self.words)}
-        n = len(self.words)
-        forms = np.zeros(n, np.int64)
-        forms[self.head:] = [form(w) for w in self.words[self.head:]]
         self.weight = np.log10(self.counts + 1)
-        self.kind = self.head_classes + forms
-        self.kind[:self.head] = self.head_class
-        self.share = self.weight - np.log10(self.form_mass)[forms]
-        self.share[:self.head] = 0.0
 
     def lookup(self, found: list[bytes]) -> list[np.ndarray]:
         """Of each word: input, class, head row or -1, log10 of count + 1 or -1 if it isn't listed,
@@ -116,12 +110,10 @@ class Vocabulary:
         at = np.fromiter(map(lambda w: self.known.get(w, -1), found), np.int64, len(found))
         other = np.flatnonzero(at < 0)
         forms = np.fromiter((form(found[i]) for i in other.tolist()), np.int64, len(other))
-        kind, weight, share = self.kind[at], self.weight[at], self.share[at]
+        kind, weight, share = self.head_class[at], self.weight[at], np.zeros(len(found))
         kind[other], weight[other] = self.head_classes + forms, -1.0
         share[other] = -np.log10(self.form_mass)[forms]
-        in_head = (at >= 0) & (at < self.head)
-        return [np.where(in_head, at, self.head + kind), kind, np.where(in_head, at, -1), weight,
-                share]
+        return [np.where(at >= 0, at, self.head + kind), kind, at, weight, share]
 
 
 @dataclass
@@ -162,7 +154,7 @@ def build_vocabulary(table: DataFrame) -> Vocabulary:
     for row in table.where("word <> ''").groupBy("form").agg(
             F.sum(F.col("c") + 1).alias("m")).collect():  # at most FORMS rows
         mass[row.form] += row.m
-    for word, c in zip(names[1:HEAD], numbers[1:HEAD]):
+    for word, c in zip(names[1:], numbers[1:]):
         mass[form(word)] -= c + 1
     return Vocabulary(names, numbers, mass, int(sums[0] or 0), int(sums[1]))
 
@@ -172,39 +164,50 @@ def _trained(batches, vocabulary: Vocabulary, flat: np.ndarray, rate: float):
     for _, data, offsets in blocks(batches, "text", BLOCK):
         trainer.learn(tokenised(data, offsets, vocabulary).tokens)
     if trainer.seen:
+        yield from _pieces(trainer.seen, trainer.network.flat)
+
+
+KIND = "piece int, seen bigint, weights binary"
+
+
+def _pieces(seen: int, flat: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for k, at in enumerate(range(0, len(flat), PIECE)):
         yield pa.RecordBatch.from_arrays(
-            [pa.array([trainer.seen], pa.int64()),
-             pa.array([trainer.network.flat.tobytes()], pa.binary())], ["seen", "weights"])
+            [pa.array([k], pa.int32()), pa.array([seen], pa.int64()),
+             pa.array([flat[at:at + PIECE].astype(np.float32).tobytes()], pa.binary())],
+            ["piece", "seen", "weights"])
 
 
-def _averaged(batches, size: int):
-    total, seen = np.zeros(size, np.float64), 0
+def _averaged(batches):
+    """The mean of each piece, weighted by tokens."""
+    found: dict[int, tuple[int, np.ndarray]] = {}
     for batch in batches:
-        for n, weights in zip(*[c.to_pylist() for c in batch.columns]):
-            seen += n
-            total += (np.frombuffer(weights, np.float32) - total) * (n / seen)
-    if seen:
+        for k, n, weights in zip(*batch.columns):
+            part = np.frombuffer(weights.as_buffer(), np.float32)
+            seen, mean = found.get(k.as_py(), (0, np.zeros(len(part))))
+            seen += n.as_py()
+            found[k.as_py()] = seen, mean + (part - mean) * (n.as_py() / seen)
+    for k, (seen, mean) in sorted(found.items()):
         yield pa.RecordBatch.from_arrays(
-            [pa.array([seen], pa.int64()), pa.array([total.astype(np.float32).tobytes()],
-                                                    pa.binary())], ["seen", "weights"])
+            [pa.array([k], pa.int32()), pa.array([seen], pa.int64()),
+             pa.array([mean.astype(np.float32).tobytes()], pa.binary())], ["piece", "seen", "weights"])
 
 
 def train(training: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
     """Weights after PASSES passes, each over the documents whose text's hash names it."""
-    flat, kind = vocabulary.initial(), "seen bigint, weights binary"
-    size = len(flat)
-    for turn in range(PASSES):
-        part = training.where(F.pmod(F.xxhash64("text"), F.lit(PASSES)) == turn).select("text")
-        # The partial averages are few, and each reducer holds one sum whatever it reads.
-        found = stored(part.mapInArrow(
-            lambda batches, flat=flat, rate=RATE / (1 + turn): _trained(
-                batches, vocabulary, flat, rate), kind), "weights")
-        few = found.repartition(REDUCERS).mapInArrow(
-            lambda batches: _averaged(batches, size), kind).collect()
-        if few:
-            seen = sum(r.seen for r in few)
-            flat = sum(np.frombuffer(r.weights, np.float32) * np.float32(r.seen / seen)
-                       for r in few)
+    flat = vocabulary.initial()
+    # Rows are pieces of some megabytes, so few go into an Arrow batch.
+    with settings(training.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": "64"}):
+        for turn in range(PASSES):
+            part = training.where(F.pmod(F.xxhash64("text"), F.lit(PASSES)) == turn).select("text")
+            found = part.mapInArrow(lambda batches, flat=flat, rate=RATE / (1 + turn): _trained(
+                batches, vocabulary, flat, rate), KIND)
+            # First REDUCERS partial averages of everything, then each piece's average of those.
+            few = (found.repartition(REDUCERS).mapInArrow(_averaged, KIND)
+                   .repartition("piece").mapInArrow(_averaged, KIND).collect())
+            if few:
+                flat = np.concatenate([np.frombuffer(r.weights, np.float32)
+                                       for r in sorted(few, key=lambda r: r.piece)])
     return flat
 
 
