@@ -71,3 +71,21 @@ def test_nulls_empty_table_and_clashing_columns(spark):
     assert got == sorted([(None, None, ""), (1, None, "a"), (2, "u", ""), (2, "u", ""), (3, "u", "")],
                          key=str)
     assert extracted(pages.limit(0)).count() == 0
+
+
+def test_the_tree_judges_inside_and_outside_of_articles(spark):
+    rows = [(i, f"http://t.org/{i}", "<body><article><h2>Teaser of the day</h2></article><div class='body'>"
+             f"<p>Long body {i}</p><p>of page {i * 3}</p></div></body>") for i in range(12)]
+    rows += [(100 + i, f"http://n.org/{i}", f"<body><article><h1>Head {i}</h1><p>Own {i}</p><p>Please accept"
+              f" our terms</p><div>Own end {i}</div></article></body>") for i in range(12)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = texts(extracted(pages))
+    assert got[3] == "Long body 3\nof page 9"
+    assert got[103] == "Head 3\nOwn 3\nOwn end 3"
+
+
+def test_copies_count_once_whatever_their_marked_parts(spark):
+    rows = [(i, f"http://c.org/{i}", f"<body><nav>{i}</nav><article><p>Same</p></article></body>")
+            for i in range(20)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert set(texts(extracted(pages)).values()) == {"Same"}

@@ -10,12 +10,15 @@ number of pages:
 * content: a text block found on one page alone is important, one found on every page is not. The
   content importance of a path is the mean over the blocks at it and below it.
 
-A path's importance is a mixture of both; paths below LOW on a host of at least MIN_PAGES pages are
-cut out of each page of that host with everything below them. Besides, elements that HTML or their
-class, id or role mark as navigation, header, footer, sidebar, notice, advert, form, script, style
-or comment are cut on every page. Where a page has article or main elements, its text is what they
-hold, and plain elements in them (paragraphs, headings, lists, divisions, without a class) are never
-cut, so that a site full of copies keeps its text.
+A path's importance is a mixture of both. A text block at its place has one too: DECAY of what it
+shows by itself, which is little where most pages have it, and the rest from its path. An article or
+main element around a node adds PRIOR to its importance, and is no more than that. What is below LOW on
+a host of at least MIN_PAGES pages is cut out of each page of that host: a path with everything below
+it, a block alone. Pages of a host with the same text count once, so a site full of copies keeps it.
+
+Besides, elements that HTML or their class, id or role mark as navigation, header, footer, sidebar,
+notice, advert, form, script, style or comment are cut on every page, and so are blocks outside of
+articles that are links as a whole.
 
 Paths on fewer than one in RARE of a host's pages are not judged, so a host has a bounded number of
 low paths. Counts are reduced in each task before they are dealt out, by host and path and value, so
@@ -44,7 +47,9 @@ MIN_PAGES = 8
 RARE = 10
 LOW = 0.15
 DECAY = 0.9
+PRIOR = 0.04  # at most; too little to keep a block that every page of a host has
 SLICE_ROWS = 500
+MARK = "\x00"
 
 # Fixed lists: elements without content of their own, elements that stay within a line, elements
 # whose content is no main text, and words that mark a class, id or role as such.
@@ -59,8 +64,6 @@ CLOSED_BY = {"p": frozenset("address article aside blockquote div dl fieldset fo
              "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]),
              "tr": frozenset(["tr"]), "td": frozenset(["td", "th", "tr"]),
              "th": frozenset(["td", "th", "tr"]), "option": frozenset(["option"])}
-PLAIN = frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre table tbody thead tr td th "
-                  "section figure figcaption article main header hgroup div".split())
 MARKED = re.compile(
     r"(?:^|[\s_-])(?:ad|ads|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu|breadcrumbs?|sidebar|"
     r"footer|header|masthead|cookies?|consent|gdpr|notices?|popup|modal|comments?|replies|disqus|"
@@ -76,16 +79,16 @@ NUMBER = re.compile(r"\d+")
 
 
 class Element:
-    __slots__ = ("tag", "path", "cut", "plain", "main", "children")
+    __slots__ = ("tag", "path", "cut", "main", "children")
 
-    def __init__(self, tag: str, path: str, cut: bool, plain: bool, main: bool):
-        self.tag, self.path, self.cut, self.plain, self.main = tag, path, cut, plain, main
+    def __init__(self, tag: str, path: str, cut: bool, main: bool):
+        self.tag, self.path, self.cut, self.main = tag, path, cut, main
         self.children: list[str] = []
 
 
 def parse(page: str) -> tuple[list[tuple[Element, str, bool]], list[Element]]:
     """Text blocks in page order (innermost block element, text, all of it linked), and elements."""
-    stack = [Element("", "", False, False, False)]
+    stack = [Element("", "", False, False)]
     every, blocks_found = [], []
     buffer: list[str] = []
     linked, free, links, at = False, False, 0, 0
@@ -135,7 +138,7 @@ def parse(page: str) -> tuple[list[tuple[Element, str, bool]], list[Element]]:
         cut = (top.cut or tag in CUT or tag == "header" and not main
                or any(MARKED.search(v) for v in names) and tag not in ("html", "body"))
         new = Element(tag, f"{top.path}>{tag}.{mark}" if mark else f"{top.path}>{tag}", cut,
-                      (main and tag in PLAIN and not mark) and (top.plain or not top.main), main)
+                      main)
         top.children.append(tag)
         every.append(new)
         if tag in RAW:
@@ -162,14 +165,26 @@ def _number(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
+def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(host, digest, html) of each page; the digest is of the text that no mark cuts."""
+    for batch in batches:
+        for start in range(0, len(batch), SLICE_ROWS):
+            part = batch.slice(start, SLICE_ROWS)
+            sites = [host(url) for url in part.column(0).to_pylist()]
+            texts = [main_text(page or "", frozenset()) for page in part.column(1).to_pylist()]
+            digests = [xxhash.xxh3_128_digest(t.encode("utf-8", "surrogatepass")) for t in texts]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(sites, pa.string()), pa.array(digests, pa.binary()), part.column(1)],
+                ["host", "digest", "html"])
+
+
 def _observed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(host, path, kind, value, n): how many pages of this part show a path with a presentation
     (kind s), a text block (kind t), or at all (kind p)."""
     for batch in batches:
         for start in range(0, len(batch), SLICE_ROWS):
             part, seen = batch.slice(start, SLICE_ROWS), Counter()
-            for url, page in zip(*[c.to_pylist() for c in part.columns]):
-                site = host(url)
+            for site, page in zip(*[c.to_pylist() for c in part.columns]):
                 found, every = parse(page or "")
                 own = {("", "p", 0)}
                 for e in every:
@@ -186,20 +201,40 @@ def _observed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ["host", "path", "kind", "value", "n"])
 
 
-def style_tree(pages: DataFrame, url: str, page: str) -> DataFrame:
-    """(host, path, pages, importance): the merged trees, with importance from 0 to 1."""
-    seen = (pages.select(F.col(f"`{url}`").alias("url"), F.col(f"`{page}`").alias("html"))
+def page_values(pages: DataFrame, url: str, page: str) -> DataFrame:
+    """(host, path, kind, value, n): what the distinct pages of each host show, and where."""
+    single = (pages.select(F.col(f"`{url}`").alias("url"), F.col(f"`{page}`").alias("html"))
+              .mapInArrow(_fingerprints, "host string, digest binary, html string")
+              .groupBy("host", "digest").agg(F.min("html").alias("html")))
+    seen = (single.select("host", "html")
             .mapInArrow(_observed, "host string, path string, kind string, value bigint, n bigint")
             .groupBy("host", "path", "kind", "value").agg(F.sum("n").alias("n")))
-    seen = stored(seen, "page-values")
+    return stored(seen, "page-values")
+
+
+def style_tree(pages: DataFrame, url: str, page: str) -> DataFrame:
+    """(host, path, pages, host_pages, importance): the merged trees, importance from 0 to 1."""
+    return _tree(page_values(pages, url, page))
+
+
+def _prior():
+    """What an article or main element at or around a path adds to its importance."""
+    return F.when(F.col("path").rlike(r">(article|main)(\.|>|$)"), PRIOR).otherwise(0.0)
+
+
+def _judged(seen: DataFrame) -> DataFrame:
+    """(host, path, pages, host_pages) of the paths that have evidence enough."""
     sizes = seen.where("path = '' AND kind = 'p'").select("host", F.col("n").alias("host_pages"))
-    able = sizes.where(F.col("host_pages") >= MIN_PAGES)
-    known = seen.where("path <> ''").join(able, "host")
+    return (seen.where("path <> '' AND kind = 'p'").select("host", "path", F.col("n").alias("pages"))
+            .join(sizes.where(F.col("host_pages") >= MIN_PAGES), "host"))
+
+
+def _tree(seen: DataFrame) -> DataFrame:
+    paths = _judged(seen)
     base = F.log(F.col("host_pages"))
-    paths = known.where("kind = 'p'").select("host", "path", F.col("n").alias("pages"))
-    part = known.where("kind = 's'").join(paths, ["host", "path"])
+    known = seen.where("path <> ''").join(paths, ["host", "path"])
     share = F.col("n") / F.col("pages")
-    shown = part.groupBy("host", "path").agg(
+    shown = known.where("kind = 's'").groupBy("host", "path").agg(
         F.least(F.lit(1.0), F.sum(-share * F.log(share) / base)).alias("presentation"))
     texts = known.where("kind = 't'").groupBy("host", "path").agg(
         F.sum(1 - F.log("n") / base).alias("worth"), F.count("*").alias("blocks"))
@@ -211,26 +246,34 @@ def style_tree(pages: DataFrame, url: str, page: str) -> DataFrame:
         (F.sum("worth") / F.sum("blocks")).alias("content"))
     mixture = F.lit(1 - DECAY) * F.coalesce("presentation", F.lit(0.0)) + DECAY * F.col("content")
     return (paths.join(content, ["host", "path"]).join(shown, ["host", "path"], "left")
-            .join(able, "host").select("host", "path", "pages", "host_pages",
-                                       mixture.alias("importance")))
+            .select("host", "path", "pages", "host_pages",
+                    F.least(F.lit(1.0), mixture + _prior()).alias("importance")))
+
+
+def low_blocks(seen: DataFrame, tree: DataFrame) -> DataFrame:
+    """(host, path, pages, host_pages, importance): text blocks of low importance at their places,
+    with the block's number after the path."""
+    worth = 1 - F.log("n") / F.log("host_pages")
+    each = (seen.where("kind = 't' AND path <> ''").join(tree, ["host", "path"])
+            .withColumn("importance", DECAY * worth + (1 - DECAY) * F.col("importance") + _prior()))
+    return each.where(F.col("importance") < LOW).select(
+        "host", F.concat_ws(MARK, "path", F.col("value").cast("string")).alias("path"),
+        F.col("n").alias("pages"), "host_pages", "importance")
 
 
 def low_paths(tree: DataFrame) -> DataFrame:
-    """(host, low): each host's paths of low importance, those below another left out."""
+    """(host, low): each host's paths and blocks of low importance."""
     low = tree.where((F.col("importance") < LOW) & (F.col("pages") * RARE >= F.col("host_pages")))
     return low.groupBy("host").agg(F.sort_array(F.collect_set("path")).alias("low"))
 
 
 def main_text(page: str, low: frozenset[str]) -> str:
     """The page's blocks that are left, one to a line."""
-    found, _ = parse(page)
-    found = [(e, text, linked) for e, text, linked in found if not e.cut]
-    inside = [f for f in found if f[0].main]
     kept = []
-    for element, text, linked in inside or found:
-        if not element.plain and low and _below(element.path, low):
+    for element, text, linked in parse(page)[0]:
+        if element.cut or linked and not element.main:
             continue
-        if linked and not inside:
+        if low and (_below(element.path, low) or f"{element.path}{MARK}{_number(text)}" in low):
             continue
         kept.append(text)
     return "\n".join(kept)
@@ -261,13 +304,15 @@ def extracted(pages: DataFrame, key: str = "page_id", url: str = "url",
     """(id, url, text): the main text of every page."""
     rows = pages.select(F.col(f"`{key}`").alias("id"), F.col(f"`{url}`").alias("url"),
                         F.col(f"`{page}`").alias("html"))
-    tree = stored(style_tree(pages, url, page), "style-tree")
-    sizes = tree.groupBy("host").agg(F.max("host_pages").alias("n"))
-    lists = stored(low_paths(tree).join(sizes, "host"), "low-paths")
-    total = sizes.agg(F.sum("n")).first()[0] or 0
+    seen = page_values(pages, url, page)
+    tree = stored(_tree(seen), "style-tree")
+    low = low_paths(tree.unionByName(low_blocks(seen, tree)))
     site = F.coalesce(F.concat(F.lit("="), F.lower(F.regexp_extract(
         "url", r"^(?:(?s:.*?)://)?(?:[^/?#]*@)?([^/?#]*)", 1))), F.lit(""))
-    joined = join_counted(rows.withColumn("host", site), lists, "host", "n", total)
+    placed = rows.withColumn("host", site)
+    sizes = stored(placed.groupBy("host").agg(F.count("*").alias("n")).join(low, "host"), "low-paths")
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    joined = join_counted(placed, sizes, "host", "n", total)
     kind = dict(pages.dtypes)[key]
     return joined.select("id", "url", "html", "low").mapInArrow(
         _extracted, f"id {kind}, url string, text string")
