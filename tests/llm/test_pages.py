@@ -89,3 +89,12 @@ def test_copies_count_once_whatever_their_marked_parts(spark):
             for i in range(20)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     assert set(texts(extracted(pages)).values()) == {"Same"}
+
+
+def test_a_section_is_judged_by_its_own_pages(spark):
+    rows = [(i, f"http://big.org/{i}", f"<body><article><p>Own {i}</p></article>"
+             + ("<section><p>Read our offers</p></section>" if i < 12 else "") + "</body>")
+            for i in range(200)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = texts(extracted(pages))
+    assert all(got[i] == f"Own {i}" for i in range(200))

@@ -2,7 +2,7 @@
 
 The pages of a host are merged into one tree of element paths (tags with their classes). For every
 path the tree knows on how many pages it occurs, in which presentations (sequences of children) and
-with which contents (text blocks). Importance follows from two entropies to the base of the host's
+with which contents (text blocks). Importance follows from two entropies to the base of the path's
 number of pages:
 
 * presentation: a path that looks different from page to page is important, one that always looks
@@ -13,19 +13,21 @@ number of pages:
 A path's importance is a mixture of both. A text block at its place has one too: DECAY of what it
 shows by itself, which is little where most pages have it, and the rest from its path. An article or
 main element around a node adds PRIOR to its importance, and is no more than that. What is below LOW on
-a host of at least MIN_PAGES pages is cut out of each page of that host: a path with everything below
+at least MIN_PAGES pages of a host is cut out of each page of that host: a path with everything below
 it, a block alone. Pages of a host with the same text count once, so a site full of copies keeps it.
 
 Besides, elements that HTML or their class, id or role mark as navigation, header, footer, sidebar,
 notice, advert, form, script, style or comment are cut on every page, and so are blocks outside of
 articles that are links as a whole.
 
-Paths on fewer than one in RARE of a host's pages are not judged, so a host has a bounded number of
-low paths. Counts are reduced in each task before they are dealt out, by host and path and value, so
-a host with a third of all pages is no load; its list of low paths reaches its pages by broadcast.
+Every path on at least MIN_PAGES pages is judged, with its own number of pages as the entropies' base.
+Counts are reduced in each task before they are dealt out, by host and path and value, so a host with a
+third of all pages is no load. What is low on at least one in RARE of a host's pages makes a list of
+bounded size, which reaches the host's pages by broadcast; all other low paths and blocks are found by
+a join of the pages' paths, salted, and reach their pages by the page's digest.
 
 Defined results: a null or empty page, or one without text, gives an empty text; equal pages of a
-host give equal texts; a null url makes a host of its own; repeated rows are counted as pages; an
+host give equal texts; a null url makes a host of its own; repeated rows are counted once; an
 empty table gives an empty result; pages are parsed whole; only key, url and html are read.
 """
 
@@ -45,6 +47,7 @@ from .store import join_counted, stored
 
 MIN_PAGES = 8
 RARE = 10
+SALTS = 64
 LOW = 0.15
 DECAY = 0.9
 PRIOR = 0.04  # at most; too little to keep a block that every page of a host has
@@ -226,25 +229,25 @@ def _judged(seen: DataFrame) -> DataFrame:
     """(host, path, pages, host_pages) of the paths that have evidence enough."""
     sizes = seen.where("path = '' AND kind = 'p'").select("host", F.col("n").alias("host_pages"))
     return (seen.where("path <> '' AND kind = 'p'").select("host", "path", F.col("n").alias("pages"))
-            .join(sizes.where(F.col("host_pages") >= MIN_PAGES), "host"))
+            .where(F.col("pages") >= MIN_PAGES).join(sizes, "host"))
 
 
 def _tree(seen: DataFrame) -> DataFrame:
     paths = _judged(seen)
-    base = F.log(F.col("host_pages"))
+    base = F.log(F.col("pages"))
     known = seen.where("path <> ''").join(paths, ["host", "path"])
     share = F.col("n") / F.col("pages")
     shown = known.where("kind = 's'").groupBy("host", "path").agg(
         F.least(F.lit(1.0), F.sum(-share * F.log(share) / base)).alias("presentation"))
-    texts = known.where("kind = 't'").groupBy("host", "path").agg(
-        F.sum(1 - F.log("n") / base).alias("worth"), F.count("*").alias("blocks"))
+    texts = seen.where("kind = 't' AND path <> ''").groupBy("host", "path").agg(
+        F.sum(F.log("n")).alias("logs"), F.count("*").alias("blocks"))
     steps = F.split("path", ">")
-    above = texts.select("host", "worth", "blocks", F.explode(F.transform(
+    above = texts.select("host", "logs", "blocks", F.explode(F.transform(
         F.sequence(F.lit(2), F.size(steps)),
         lambda k: F.concat_ws(">", F.slice(steps, F.lit(1), k)))).alias("path"))
     content = above.groupBy("host", "path").agg(
-        (F.sum("worth") / F.sum("blocks")).alias("content"))
-    mixture = F.lit(1 - DECAY) * F.coalesce("presentation", F.lit(0.0)) + DECAY * F.col("content")
+        (F.sum("logs") / F.sum("blocks")).alias("spread"))
+    mixture = F.lit(1 - DECAY) * F.coalesce("presentation", F.lit(0.0)) + DECAY * (1 - F.col("spread") / base)
     return (paths.join(content, ["host", "path"]).join(shown, ["host", "path"], "left")
             .select("host", "path", "pages", "host_pages",
                     F.least(F.lit(1.0), mixture + _prior()).alias("importance")))
@@ -253,7 +256,7 @@ def _tree(seen: DataFrame) -> DataFrame:
 def low_blocks(seen: DataFrame, tree: DataFrame) -> DataFrame:
     """(host, path, pages, host_pages, importance): text blocks of low importance at their places,
     with the block's number after the path."""
-    worth = 1 - F.log("n") / F.log("host_pages")
+    worth = 1 - F.log("n") / F.log("pages")
     each = (seen.where("kind = 't' AND path <> ''").join(tree, ["host", "path"])
             .withColumn("importance", DECAY * worth + (1 - DECAY) * F.col("importance") + _prior()))
     return each.where(F.col("importance") < LOW).select(
@@ -262,11 +265,49 @@ def low_blocks(seen: DataFrame, tree: DataFrame) -> DataFrame:
 
 
 def low_paths(tree: DataFrame) -> DataFrame:
-    """(host, low): each host's paths and blocks of low importance."""
+    """(host, low): each host's paths and blocks of low importance on one in RARE of its pages or more."""
     low = tree.where((F.col("importance") < LOW) & (F.col("pages") * RARE >= F.col("host_pages")))
     return low.groupBy("host").agg(F.sort_array(F.collect_set("path")).alias("low"))
 
 
+def _shown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(host, digest, path): the paths and blocks of each page that may be cut."""
+    for batch in batches:
+        for start in range(0, len(batch), SLICE_ROWS):
+            out = []
+            for site, digest, page in zip(*[c.to_pylist()
+                                            for c in batch.slice(start, SLICE_ROWS).columns]):
+                own = set()
+                for e, text, _ in parse(page or "")[0]:
+                    if e.cut or not e.path:
+                        continue
+                    own.add(f"{e.path}{MARK}{_number(text)}")
+                    path = e.path
+                    while path and path not in own:
+                        own.add(path)
+                        path = path.rpartition(">")[0]
+                out += [(site, digest, path) for path in own]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.string()) for c in (list(zip(*out)) or [[]] * 3)],
+                ["host", "digest", "path"])
+
+
+def rare_low(placed: DataFrame, judged: DataFrame) -> DataFrame:
+    """(digest, own, n): what is low on fewer than one in RARE of a host's pages, for each page that
+    has such, with the number of its copies."""
+    rare = stored(judged.where((F.col("importance") < LOW)
+                               & (F.col("pages") * RARE < F.col("host_pages")))
+                  .select("host", "path"), "rare-paths")
+    salts = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))
+    shown = (placed.select("host", "digest", "html")
+             .mapInArrow(_shown, "host string, digest string, path string")
+             .withColumn("salt", F.pmod(F.xxhash64("digest"), F.lit(SALTS))))
+    found = (shown.join(rare.withColumn("salt", F.explode(salts)), ["host", "path", "salt"])
+             .groupBy("digest").agg(F.collect_set("path").alias("own")))
+    copies = placed.groupBy("digest").agg(F.count("*").alias("n"))
+    return stored(stored(found, "page-rare-paths").join(copies, "digest"), "page-low-paths")
+
+
 def main_text(page: str, low: frozenset[str]) -> str:
     """The page's blocks that are left, one to a line."""
     kept = []
@@ -291,9 +332,8 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start in range(0, len(batch), SLICE_ROWS):
             part = batch.slice(start, SLICE_ROWS)
-            lists = part.column(3).to_pylist()
-            texts = [main_text(page or "", frozenset(low or ()))
-                     for page, low in zip(part.column(2).to_pylist(), lists)]
+            texts = [main_text(page or "", frozenset([*(low or ()), *(own or ())]))
+                     for page, low, own in zip(*[part.column(k).to_pylist() for k in (2, 3, 4)])]
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(1), pa.array(texts, pa.string())],
                 ["id", "url", "text"])
@@ -306,13 +346,17 @@ def extracted(pages: DataFrame, key: str = "page_id", url: str = "url",
                         F.col(f"`{page}`").alias("html"))
     seen = page_values(pages, url, page)
     tree = stored(_tree(seen), "style-tree")
-    low = low_paths(tree.unionByName(low_blocks(seen, tree)))
+    judged = stored(tree.unionByName(low_blocks(seen, tree)), "judged-paths")
+    low = low_paths(judged)
     site = F.coalesce(F.concat(F.lit("="), F.lower(F.regexp_extract(
         "url", r"^(?:(?s:.*?)://)?(?:[^/?#]*@)?([^/?#]*)", 1))), F.lit(""))
-    placed = rows.withColumn("host", site)
+    placed = rows.withColumn("host", site).withColumn("digest", F.sha2(F.concat_ws(
+        MARK, "host", F.coalesce("html", F.lit(""))), 256))
     sizes = stored(placed.groupBy("host").agg(F.count("*").alias("n")).join(low, "host"), "low-paths")
     total = sizes.agg(F.sum("n")).first()[0] or 0
-    joined = join_counted(placed, sizes, "host", "n", total)
+    joined = join_counted(placed, sizes, "host", "n", total).drop("n")
+    few = rare_low(placed, judged)
+    joined = join_counted(joined, few, "digest", "n", few.agg(F.sum("n")).first()[0] or 0)
     kind = dict(pages.dtypes)[key]
-    return joined.select("id", "url", "html", "low").mapInArrow(
+    return joined.select("id", "url", "html", "low", "own").mapInArrow(
         _extracted, f"id {kind}, url string, text string")
