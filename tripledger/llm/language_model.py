@@ -196,15 +196,21 @@ def _averaged(batches):
 def train(training: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
     """Weights after PASSES passes, each over the documents whose text's hash names it."""
     flat = vocabulary.initial()
+    spark = training.sparkSession
+    slots = spark.sparkContext.defaultParallelism
     # Rows are pieces of some megabytes, so few go into an Arrow batch.
-    with settings(training.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": "64"}):
+    with settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "64"}):
         for turn in range(PASSES):
             part = training.where(F.pmod(F.xxhash64("text"), F.lit(PASSES)) == turn).select("text")
-            found = part.mapInArrow(lambda batches, flat=flat, rate=RATE / (1 + turn): _trained(
-                batches, vocabulary, flat, rate), KIND)
-            # First REDUCERS partial averages of everything, then each piece's average of those.
-            few = (found.repartition(REDUCERS).mapInArrow(_averaged, KIND)
-                   .repartition("piece").mapInArrow(_averaged, KIND).collect())
+            sent = spark.sparkContext.broadcast(flat)
+            # As many tasks as can run at once: each of them writes all weights.
+            found = part.coalesce(slots).mapInArrow(
+                lambda batches, sent=sent, rate=RATE / (1 + turn): _trained(
+                    batches, vocabulary, sent.value, rate), KIND)
+            if slots > REDUCERS:  # first REDUCERS partial averages of everything
+                found = found.repartition(REDUCERS).mapInArrow(_averaged, KIND)
+            few = found.repartition("piece").mapInArrow(_averaged, KIND).collect()
+            sent.destroy()
             if few:
                 flat = np.concatenate([np.frombuffer(r.weights, np.float32)
                                        for r in sorted(few, key=lambda r: r.piece)])
