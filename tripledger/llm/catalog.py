@@ -23,6 +23,7 @@ from . import (
     pii,
     quality,
     repetition,
+    spelling,
     toxicity,
 )
 from .sources import table, tokenizer
@@ -96,6 +97,10 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
                         joined(F.col("spans")).alias("spans"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_exact_dedup": op2_exact_dedup,
@@ -107,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dedup": op8_near_dedup,
     "op9_pieces": op9_pieces,
     "op10_personal_data": op10_personal_data,
+    "op13_spelling_variants": op13_spelling_variants,
     "pipeline": corpus_pipeline.run,
 }
 
