@@ -16,6 +16,7 @@ import corpus_pipeline
 from . import (
     exact_dedup,
     language_model,
+    licences,
     mixing,
     near_dedup,
     pages,
@@ -25,6 +26,7 @@ from . import (
     repetition,
     spelling,
     toxicity,
+    whitening,
 )
 from .sources import table, tokenizer
 
@@ -97,6 +99,27 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
                         joined(F.col("spans")).alias("spans"))
 
 
+def licence_digest(found: DataFrame) -> DataFrame:
+    """The contract's columns of scanned documents."""
+    def labels(places):
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(
+            places, lambda p: p["label"]))), ",")
+    base = F.filter("places", lambda p: p["base"])
+    starts = F.transform(base, lambda p: p["first"])
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", F.size(base).cast("bigint").alias("n_base"),
+        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        labels(base).alias("base_labels"), labels(F.col("places")).alias("labels"), "score")
+
+
+def op11_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licence_digest(licences.licences(table(spark, sf_dir, "documents")))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
@@ -112,6 +135,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dedup": op8_near_dedup,
     "op9_pieces": op9_pieces,
     "op10_personal_data": op10_personal_data,
+    "op11_licences": op11_licences,
+    "op12_whitening": op12_whitening,
     "op13_spelling_variants": op13_spelling_variants,
     "pipeline": corpus_pipeline.run,
 }
