@@ -84,6 +84,34 @@ def test_rows_are_read_by_name_and_short_files_are_refused(spark, inbox, tmp_pat
     assert "short.csv" not in {r.source_file for r in store.log().collect()}
 
 
+@pytest.mark.parametrize("near", [0, 10_000])
+def test_only_the_first_line_is_a_header(spark, inbox, near):
+    """A later line that repeats the header is a row, whether files are broadcast or met in parts."""
+    with open(inbox / "a.csv", "a", newline="") as out:
+        csv.writer(out).writerow(SOURCE_COLUMNS)
+    with open(inbox / "empty.csv", "w") as out:
+        out.write("")
+    heads = landing.headers(landing.list_files(spark, str(inbox)))
+    rows = landing.read_text_rows(spark, str(inbox), heads, near)
+    found = rows.groupBy("file_path").count().collect()
+    assert {r.file_path.rsplit("/", 1)[1]: r["count"] for r in found} == {
+        "a.csv": len(planted.batches()[0]) + 1, "b.csv": len(planted.batches()[1])}
+    assert rows.where("id = 'id' AND vendor_id = 'vendor_id'").count() == 1
+
+
+def test_running_totals_of_many_days(spark):
+    log = spark.range(300).selectExpr(
+        "concat('l', id) AS load_id", "id % 7 AS rows",
+        "timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, cast(id % 11 AS int), cast(id % 5 AS int)) "
+        "AS ingested_at")
+    got = landing.running_totals(log).orderBy("at", "load_id").collect()
+    total = 0
+    for r in got:
+        total += r.rows
+        assert r.rows_in_total == total
+    assert len(got) == 300
+
+
 def test_only_a_missing_folder_is_an_empty_log(spark, tmp_path):
     store = landing.Landing(spark, str(tmp_path / "lake"))
     assert store.log().count() == 0 and store.refused().count() == 0

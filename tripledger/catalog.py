@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tripledger.config import PENDING, Settings
 from tripledger.functions.geo import cell, route
 from tripledger.operators import rules
-from tripledger.operators.occurrences import with_id_occurrences
+from tripledger.operators.occurrences import repeated_ids, with_id_occurrences
 from tripledger.operators.typing import derived, typed, typed_feed
 from tripledger.plans import distributions as dist
 from tripledger.plans import expectations as ex
@@ -21,6 +21,7 @@ from tripledger.plans.pipeline import GOLD, build, valid_rates, write_profile
 from tripledger.session import prepare, scratch_dir
 from tripledger.sources import feed, landing
 from tripledger.sources.contract import SOURCE_COLUMNS
+from tripledger.sources.stages import Stages
 from tripledger.sources.tables import Store
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,11 +37,13 @@ CALENDAR = ("pickup_date", "pickup_year", "pickup_month", "pickup_week", "pickup
 
 
 class Frames:
-    """The lazy frames the queries share; nothing runs until a query's result is used."""
+    """The frames the queries share. They are lazy but for the table of repeated ids, and for stage
+    tables of what a query reads several times."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, settings: Settings = SETTINGS):
         prepare(spark)
         self.spark, self.sf_dir, self.settings = spark, sf_dir, settings
+        self.stages = Stages(spark)
 
     @cached_property
     def feed(self) -> DataFrame:
@@ -58,9 +61,13 @@ class Frames:
     def trips(self) -> DataFrame:
         return derived(self.typed)
 
+    @cached_property
+    def repeated(self) -> DataFrame:
+        return repeated_ids(self.typed)
+
     @cached_property
     def judged(self) -> DataFrame:
-        return rules.evaluate(self.typed, self.settings)
+        return rules.evaluate(self.typed, self.settings, self.repeated)
 
     @cached_property
     def quarantine(self) -> DataFrame:
@@ -68,7 +75,12 @@ class Frames:
 
     @cached_property
     def valid(self) -> DataFrame:
-        return rules.valid_trips(self.typed, self.settings)
+        return rules.valid_trips(self.typed, self.settings, self.repeated)
+
+    @cached_property
+    def cells(self) -> DataFrame:
+        """The valid trips as counted cells, a stage table."""
+        return self.stages.table(marts.trip_cells(self.valid, self.settings), "trip-cells")
 
     @cached_property
     def trip_performance(self) -> DataFrame:
@@ -92,7 +104,8 @@ class Frames:
 
     @cached_property
     def tiles(self) -> DataFrame:
-        return panels.exec_tiles(self.valid, self.trip_performance, self.demand, self.quality)
+        return panels.exec_tiles(self.cells, marts.trip_performance_of(self.cells, self.settings),
+                                 marts.demand_of(self.cells), self.quality)
 
     def write_inbox(self, by_batch: bool = False) -> str:
         """The landing text as CSV files in a fresh shared folder."""
@@ -266,16 +279,21 @@ def _kpi_per_day_by_part(f: Frames) -> DataFrame:
     return kpis.drill_down(f.valid, "KPI-007", ["time_of_day", "vendor"], f.settings)
 
 
+def _star_rows(f: Frames) -> DataFrame:
+    return f.stages.table(f.valid.select(*star.SOURCE), "star-rows")
+
+
 def _star_schema(f: Frames) -> DataFrame:
-    fact, places = star.fact_trip(f.valid), star.dim_location(f.valid)
-    return star.trips_by_month_and_area(fact, star.dim_date(f.valid), star.dim_time(f.valid),
-                                        places)
+    rows = _star_rows(f)
+    fact, places = star.fact_trip(rows), star.dim_location(rows)
+    return star.trips_by_month_and_area(fact, star.dim_date(rows), star.dim_time(rows), places)
 
 
 def _star_sizes(f: Frames) -> DataFrame:
-    fact, places = star.fact_trip(f.valid), star.dim_location(f.valid)
-    tables = {"fact_trip": fact, "dim_date": star.dim_date(f.valid),
-              "dim_time": star.dim_time(f.valid), "dim_vendor": star.dim_vendor(f.valid),
+    rows = _star_rows(f)
+    fact, places = star.fact_trip(rows), star.dim_location(rows)
+    tables = {"fact_trip": fact, "dim_date": star.dim_date(rows),
+              "dim_time": star.dim_time(rows), "dim_vendor": star.dim_vendor(rows),
               "dim_location": places, "dim_route": star.dim_route(fact, places)}
     return ex.offences(tables).withColumnsRenamed({"check": "table", "offending_rows": "rows"})
 

@@ -9,10 +9,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripledger.functions.rounding import MICRO, micro, ratio, wide_sum
+from tripledger.operators.rank_index import RankIndex, interpolated
+from tripledger.sources.stages import stored
+
+
+# Columns of a cell that are added up when cells are merged.
+CELL_SUMS = ("n", "n_km", "sum_km", "n_kmh", "sum_kmh", "n_slow")
 
 
 def duration_cells(rows: DataFrame, keys: Sequence[str], low_speed: float | None = None,
@@ -58,67 +64,21 @@ def duration_percentiles(points: Sequence[float]) -> Column:
     return F.percentile("trip_duration", list(points), F.col("n"))
 
 
-# Bits dropped at each step of the search: no step orders more than 2**22 buckets of a parent.
-SHIFTS = (44, 22, 0)
-
-
 def exact_percentiles(values: DataFrame, points: Mapping[str, float]) -> DataFrame:
     """Exact percentiles of whole numbers, for any number of distinct values.
 
-    ``values`` has columns (name, v bigint) and may have n, how often the value counts. Equal
-    values are counted first, then each wanted rank is located from coarse to fine buckets of the value's leading bits. Only the buckets
-    around a wanted rank are ever ordered, so no task holds all distinct values.
+    ``values`` has columns (name, v bigint) and may have n, how often the value counts. Equal values are
+    counted into a stored table, and a `RankIndex` over it gives the ranks.
 
     Returns (name, label, n, low, high, weight): the two neighbours of the position and the
     share of the upper one, as in linear interpolation.
     """
     weight = F.sum("n") if "n" in values.columns else F.count("*")
-    finest = values.where(F.col("v").isNotNull()).groupBy("name", "v").agg(weight.alias("n"))
-    levels = [finest.withColumnRenamed("v", "bucket")]
-    for narrow, wide in zip(SHIFTS[::-1], SHIFTS[-2::-1]):
-        levels.append(levels[-1]
-                      .groupBy("name", F.shiftright("bucket", wide - narrow).alias("bucket"))
-                      .agg(F.sum("n").alias("n")))
-
-    position = (F.col("total") - 1) * F.col("point")
-    wanted = F.array(*[F.struct(F.lit(label).alias("label"), F.lit(float(p)).alias("point"))
-                       for label, p in points.items()])
-    sides = F.array(F.struct(F.lit("low").alias("side"), F.floor("position").alias("rank")),
-                    F.struct(F.lit("high").alias("side"), F.ceil("position").alias("rank")))
-    # One row per (name, point, side). Names may come from the data, so the planner decides how
-    # these rows meet the buckets.
-    targets = (
-        levels[-1].groupBy("name").agg(F.sum("n").alias("total"))
-        .select("name", "total", F.inline(wanted))
-        .withColumn("position", position)
-        .select("name", "label", "total", (F.col("position") - F.floor("position")).alias("weight"),
-                F.inline(sides))
-    )
-    keys = ["name", "label", "total", "weight", "side"]
-    per_target = Window.partitionBy("name", "label", "side").orderBy("bucket")
-    parent_shift = None
-    for level, shift in zip(levels[::-1], SHIFTS):
-        on = ["name"]
-        if parent_shift is not None:
-            level = level.withColumn("parent", F.shiftright("bucket", parent_shift - shift))
-            on.append("parent")
-        located = (
-            level.join(targets, on)
-            .withColumn("upto", F.sum("n").over(per_target))
-            .where((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n")))
-        )
-        targets = located.select(*keys, (F.col("rank") - F.col("upto") + F.col("n")).alias("rank"),
-                                 F.col("bucket").alias("parent"))
-        parent_shift = shift
-    value = F.col("parent")
-    return targets.groupBy("name", "label", F.col("total").alias("n"), "weight").agg(
-        F.max(F.when(F.col("side") == "low", value)).alias("low"),
-        F.max(F.when(F.col("side") == "high", value)).alias("high"),
-    )
-
-
-def interpolated(low: Column, high: Column, weight: Column) -> Column:
-    return low + (high - low) * weight
+    cells = stored(values.where(F.col("v").isNotNull()).groupBy("name", "v").agg(weight.alias("n")),
+                   "counted-values")
+    found = RankIndex(cells, ["name"]).located(points)
+    return found.select(F.col("group")["name"].alias("name"), "label", F.col("total").alias("n"),
+                        "low", "high", "weight")
 
 
 def percentile_columns(found: DataFrame, labels: Sequence[str], scale: int = 1,
@@ -133,32 +93,23 @@ def percentile_columns(found: DataFrame, labels: Sequence[str], scale: int = 1,
         *[F.max(F.when(F.col("label") == label, value)).alias(label) for label in labels])
 
 
-ALL = "all"
-
-
 def cell_percentiles(cells: DataFrame, points: Mapping[str, float], key: str | None = None,
                      value: str = "trip_duration") -> DataFrame:
     """Percentiles of counted values (value, n), as columns by label, without one big buffer.
 
     One row, or with ``key`` one row per key: (key, labels). A group without values has no row.
     """
-    name = F.lit(ALL) if key is None else F.coalesce(
-        F.concat(F.lit("="), F.col(key).cast("string")), F.lit(""))
-    found = percentile_columns(exact_percentiles(
-        cells.select(name.alias("name"), F.col(value).alias("v"), "n"), points), list(points))
-    if key is None:
-        return found.drop("name")
-    kind = cells.schema[key].dataType
-    return found.select(F.when(F.col("name") != "", F.substring("name", 2, 2**31 - 1)).cast(kind)
-                        .alias(key), *points)
+    keys = [] if key is None else [key]
+    counted = stored(cells.groupBy(*keys, value).agg(F.sum("n").alias("n")), "counted-values")
+    return RankIndex(counted, keys, value).percentiles(points, places=9)
 
 
 def with_percentiles(groups: DataFrame, cells: DataFrame, points: Mapping[str, float],
-                     key: str) -> DataFrame:
-    """Add each group's percentiles of its cells' durations."""
-    found = cell_percentiles(cells, points, key).withColumnRenamed(key, "percentile_key")
-    return groups.join(found, F.col(key).eqNullSafe(F.col("percentile_key")), "left").drop(
-        "percentile_key")
+                     keys: str | Sequence[str]) -> DataFrame:
+    """Add each group's percentiles of its cells' durations. ``cells`` is read several times: pass a
+    stored table with one row for each group and duration."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    return RankIndex(cells, keys, "trip_duration").added_to(groups, points, places=9)
 
 
 def as_units(rows: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
@@ -166,5 +117,3 @@ def as_units(rows: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
     pairs = F.array(*[F.struct(F.lit(name).alias("name"), c.cast("bigint").alias("v"))
                       for name, c in columns.items()])
     return rows.select(F.inline(pairs))
-
-

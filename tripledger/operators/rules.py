@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tripledger.config import Settings
 from tripledger.functions.geo import cell, route
 from tripledger.operators.occurrences import only_once, with_id_occurrences
+from tripledger.operators.once import computed_once, settled
 from tripledger.operators.typing import derived
 
 Predicate = Callable[[Settings], Column]
@@ -108,6 +109,7 @@ RULES = (
     Rule("DQ-015", "rejections_are_auditable", "policy"),
 )
 CHECKED = tuple(r for r in RULES if r.predicate)
+UNIQUE = next(r for r in CHECKED if r.name == "id_unique")
 REJECTING = tuple(r for r in CHECKED if r.action == "reject")
 FLAGGING = tuple(r for r in CHECKED if r.action == "flag")
 COMPONENTS = ("completeness", "uniqueness", "validity", "consistency", "geographic_validity")
@@ -121,13 +123,41 @@ def any_of(conditions) -> Column:
     return reduce(operator.or_, conditions)
 
 
-def _first_failure() -> Column:
-    """Position of the first rejecting rule a row fails, from 1; NULL when it passes all."""
-    return F.coalesce(*[F.when(~F.col(r.column), i) for i, r in enumerate(REJECTING, 1)])
+# Column with a row's failed rules: a bit for each checked rule, in order of precedence.
+FAILED = "failed_rules"
+_BIT = {r.rule_id: 1 << i for i, r in enumerate(CHECKED)}
 
 
-def _by_position(values: list[str]) -> Column:
-    return F.get(F.array(*[F.lit(v) for v in values]), F.col("first_failure") - 1)
+def bits(found) -> int:
+    return sum(_BIT[r.rule_id] for r in found)
+
+
+_REJECTING_BITS = bits(REJECTING)
+
+
+def failed_rules(settings: Settings) -> Column:
+    """The bits of the rules a row fails; a rule that cannot decide fails."""
+    return reduce(lambda a, b: a.bitwiseOR(b), [
+        F.when(r.predicate(settings), 0).otherwise(_BIT[r.rule_id]) for r in CHECKED])
+
+
+def passes(*found: Rule) -> Column:
+    """Whether a row passes all of these rules."""
+    return F.col(FAILED).bitwiseAND(bits(found)) == 0
+
+
+def failures_of(rule: Rule) -> Column:
+    """1 where a row fails the rule, else 0."""
+    return F.shiftright(F.col(FAILED), CHECKED.index(rule)).bitwiseAND(F.lit(1))
+
+
+def _first_failure(values: list[str | None]) -> Column:
+    """The value, one for each checked rule, of the first rejecting rule a row fails, else NULL: the
+    place of the lowest bit is the number of bits below it."""
+    failed = F.col(FAILED).bitwiseAND(_REJECTING_BITS)
+    below = F.bit_count(failed.bitwiseAND(-failed) - 1)
+    listed = F.array(*[F.lit(v).cast("string") for v in values])
+    return F.when(failed != 0, F.get(listed, below))
 
 
 def coordinate_class() -> Column:
@@ -138,32 +168,31 @@ def coordinate_class() -> Column:
         F.when(any_of(c.isNull() for c in lats + lons), "GEO-001")
         .when(any_of(F.abs(c) > 90 for c in lats), "GEO-002")
         .when(any_of(F.abs(c) > 180 for c in lons), "GEO-003")
-        .when(~(F.col("pass_dq_009") & F.col("pass_dq_010")), "GEO-004")
+        .when(~passes(*[r for r in CHECKED if r.component == "geographic_validity"]), "GEO-004")
         .when((lats[0] == lats[1]) & (lons[0] == lons[1]), "GEO-005")
     )
 
 
 def judge(rows: DataFrame, settings: Settings) -> DataFrame:
-    """Add one pass column per rule, the flags, the coordinate class and the verdict.
+    """Add the failed rules as a bitmask, and what follows from its bits: one pass column per rule, the
+    flags, the coordinate class and the verdict.
 
-    Needs the derived columns and ``id_occurrences``.
+    Needs the derived columns and ``id_occurrences``. Predicates are evaluated once per row.
     """
-    passed = rows.withColumns(
-        {r.column: F.coalesce(r.predicate(settings), F.lit(False)) for r in CHECKED})
-    return passed.withColumns({
-        **{r.outcome: ~F.col(r.column) for r in FLAGGING},
+    masked = computed_once(rows, {FAILED: failed_rules(settings)})
+    return masked.withColumns({
+        **{r.column: passes(r) for r in CHECKED},
+        **{r.outcome: ~passes(r) for r in FLAGGING},
         "coordinate_anomaly": coordinate_class(),
-        "first_failure": _first_failure(),
-    }).withColumns({
-        "rule_id": _by_position([r.rule_id for r in REJECTING]),
-        "quarantine_reason": _by_position([r.outcome for r in REJECTING]),
-        "is_valid_trip": F.col("first_failure").isNull(),
-    }).drop("first_failure")
+        "rule_id": _first_failure([r.rule_id for r in CHECKED]),
+        "quarantine_reason": _first_failure([r.outcome for r in CHECKED]),
+        "is_valid_trip": passes(*REJECTING),
+    })
 
 
-def evaluate(trips: DataFrame, settings: Settings) -> DataFrame:
+def evaluate(trips: DataFrame, settings: Settings, repeated: DataFrame | None = None) -> DataFrame:
     """Every typed row with its derived values and rule outcomes."""
-    return judge(derived(with_id_occurrences(trips)), settings)
+    return judge(derived(settled(with_id_occurrences(trips, repeated=repeated)), once=True), settings)
 
 
 def _trusted(judged: DataFrame, settings: Settings) -> DataFrame:
@@ -214,10 +243,11 @@ def split(judged: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
     return _trusted(judged, settings), quarantined(judged)
 
 
-def valid_trips(trips: DataFrame, settings: Settings) -> DataFrame:
+def valid_trips(trips: DataFrame, settings: Settings, repeated: DataFrame | None = None) -> DataFrame:
     """The valid table straight from typed rows.
 
-    Same rows as ``split(evaluate(trips))[0]``, for callers who do not need the rejected rows:
-    one shuffle by id in place of a count and a join, and derivations only for rows that stay.
+    Same rows as ``split(evaluate(trips))[0]``, for callers who do not need the rejected rows: rows of
+    repeated ids go first, and derivations are only for rows that stay.
     """
-    return _trusted(judge(derived(only_once(trips)), settings), settings)
+    return _trusted(judge(derived(settled(only_once(trips, repeated=repeated)), once=True), settings),
+                    settings)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tripledger.functions.calendar import calendar_fields
 from tripledger.functions.geo import great_circle_km
 from tripledger.functions.motion import seconds_between, speed_kmh
+from tripledger.operators.once import computed_once
 from tripledger.sources.contract import COLUMNS, LINEAGE_COLUMNS
 
 
@@ -40,18 +41,19 @@ def typed_feed(trips: DataFrame) -> DataFrame:
     )
 
 
-def derived(trips: DataFrame) -> DataFrame:
-    """Add calendar fields, distance, speed and the two duration measures."""
+def derived(trips: DataFrame, once: bool = False) -> DataFrame:
+    """Add calendar fields, distance, speed and the two duration measures.
+
+    With ``once`` the distance, which the speed and several rules need, is computed once per row."""
     observed = seconds_between(F.col("pickup_datetime"), F.col("dropoff_datetime"))
     distance = great_circle_km(F.col("pickup_latitude"), F.col("pickup_longitude"),
                                F.col("dropoff_latitude"), F.col("dropoff_longitude"))
-    with_measures = trips.withColumns({
-        "trip_duration_minutes": F.col("trip_duration").cast("double") / 60,
-        **calendar_fields(F.col("pickup_datetime")),
-        "estimated_distance_km": distance,
-        "observed_duration_seconds": observed,
-    })
-    return with_measures.withColumns({
+    measured = {"trip_duration_minutes": F.col("trip_duration").cast("double") / 60,
+                **calendar_fields(F.col("pickup_datetime"))}
+    distances = {"estimated_distance_km": distance}
+    with_measures = (computed_once(trips.withColumns(measured), distances) if once
+                     else trips.withColumns(measured | distances))
+    return with_measures.withColumn("observed_duration_seconds", observed).withColumns({
         "estimated_speed_kmh": speed_kmh(F.col("estimated_distance_km"), F.col("trip_duration")),
         "duration_difference_seconds": F.try_subtract(F.col("observed_duration_seconds"),
                                                       F.col("trip_duration")),

@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 from tripledger.config import Settings
 from tripledger.functions.rounding import MICRO, micro, pct, ratio, wide_sum
 from tripledger.operators.histogram import (
-    as_units, avg_duration, avg_km, avg_kmh, cell_percentiles, duration_cells,
-    duration_percentiles, exact_percentiles, interpolated, n_trips, percentile_columns,
-    with_percentiles,
+    as_units, avg_duration, avg_km, avg_kmh, duration_cells, exact_percentiles, n_trips,
+    percentile_columns, with_percentiles,
 )
+from tripledger.operators.moments import correlation
+from tripledger.operators.rank_index import RankIndex, interpolated
 from tripledger.plans.profile import NANO, nano, value_counts
 from tripledger.sources.contract import COLUMNS, SOURCE_COLUMNS
+from tripledger.sources.stages import stored
 
 
 def profile_schema_full(landed: DataFrame) -> DataFrame:
@@ -116,7 +118,7 @@ def _counted_durations(trips: DataFrame) -> DataFrame:
 
 def duration_log_stats(trips: DataFrame) -> DataFrame:
     """log(1 + duration) of positive durations, from one row per distinct duration."""
-    counted = _counted_durations(trips).withColumn("x", F.log1p(F.col("trip_duration").cast("double")))
+    counted = stored(_counted_durations(trips), "durations").withColumn("x", F.log1p(F.col("trip_duration").cast("double")))
     n = F.sum("n")
     mean = F.sum(F.col("x") * F.col("n")) / n
     square = F.sum(F.col("x") * F.col("x") * F.col("n"))
@@ -144,8 +146,9 @@ def duration_histogram(trips: DataFrame, width: int = 300) -> DataFrame:
 
 def duration_boxplot(trips: DataFrame) -> DataFrame:
     """Quartiles, whiskers inside 1.5 quartile distances, and the rows beyond them."""
-    counted = _counted_durations(trips)
-    box = cell_percentiles(counted, {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    counted = stored(_counted_durations(trips), "durations")
+    box = RankIndex(counted, [], "trip_duration").percentiles(
+        {"q1": 0.25, "median": 0.5, "q3": 0.75}, places=9)
     boxed = counted.withColumn("p", box.select(F.array("q1", "median", "q3")).scalar())
     reach = (F.col("p")[2] - F.col("p")[0]) * 1.5
     inside = F.col("trip_duration").between(F.col("p")[0] - reach, F.col("p")[2] + reach)
@@ -177,12 +180,15 @@ def duration_by_dim(trips: DataFrame) -> DataFrame:
     by_dim = cells.select("trip_duration", "n", _dimension_values({
         "hour": F.col("pickup_hour"), "weekday": _weekday_name(F.col("weekday")),
         "time_of_day": F.col("time_of_day"), "vendor": F.col("vendor_id")}))
-    grouped = by_dim.groupBy("dimension", "value").agg(
-        n_trips().alias("trips"), avg_duration(4).alias("avg_duration_seconds"),
-        duration_percentiles([0.5, 0.9, 0.95]).alias("p"))
-    return grouped.select("dimension", "value", "trips", "avg_duration_seconds",
-                          *[F.round(F.col("p")[i], 4).alias(f"{label}_duration_seconds")
-                            for i, label in enumerate(("p50", "p90", "p95"))])
+    keys = ["dimension", "value"]
+    counted = stored(by_dim.groupBy(*keys, "trip_duration").agg(F.sum("n").alias("n")),
+                     "duration-cells")
+    grouped = counted.groupBy(*keys).agg(
+        n_trips().alias("trips"), avg_duration(4).alias("avg_duration_seconds"))
+    points = {"p50": 0.5, "p90": 0.9, "p95": 0.95}
+    return with_percentiles(grouped, counted, points, keys).select(
+        *keys, "trips", "avg_duration_seconds",
+        *[F.round(label, 4).alias(f"{label}_duration_seconds") for label in points])
 
 
 def demand_profile(valid: DataFrame) -> DataFrame:
@@ -253,7 +259,7 @@ def cross_field(valid: DataFrame) -> DataFrame:
     km, seconds = F.col("estimated_distance_km"), F.col("trip_duration")
     return rows.agg(
         F.count("*").alias("trips"),
-        F.round(F.corr(km, seconds.cast("double")), 6).alias("correlation"),
+        F.round(correlation(micro(km), seconds), 6).alias("correlation"),
         F.max("l").alias("l"),
         F.count_if((km <= F.col("l.distance_p5")) & (seconds >= F.col("l.duration_p95")))
         .alias("short_distance_long_duration"),
@@ -265,19 +271,19 @@ def cross_field(valid: DataFrame) -> DataFrame:
 
 def vendor_profile_full(valid: DataFrame, settings: Settings) -> DataFrame:
     long_limit = settings.require("long_trip_seconds")
-    counted = duration_cells(valid, ["vendor_id"])
+    counted = stored(duration_cells(valid, ["vendor_id"]), "duration-cells")
     cells = counted.groupBy("vendor_id").agg(
         n_trips().alias("trip_count"), avg_duration(4).alias("avg_duration"),
         avg_km().alias("avg_distance"), avg_kmh().alias("avg_speed"),
         F.sum(F.when(F.col("trip_duration") > long_limit, F.col("n")).otherwise(0)).alias("n_long"))
-    distances = valid.select(F.col("vendor_id").cast("string").alias("name"),
-                             micro(F.col("estimated_distance_km")).alias("v"))
-    median = percentile_columns(exact_percentiles(distances, {"median_distance": 0.5}),
-                                ["median_distance"], MICRO)
+    distances = stored(valid.groupBy("vendor_id", micro(F.col("estimated_distance_km")).alias("v"))
+                       .agg(F.count("*").alias("n")), "distance-cells")
     total = cells.agg(F.sum("trip_count")).scalar()
     points = {"median_duration": 0.5, "p90_duration": 0.9, "p95_duration": 0.95}
-    return (with_percentiles(cells, counted, points, "vendor_id").withColumn("trip_share", pct(F.col("trip_count"), total))
-            .join(median, F.col("vendor_id").cast("string") == F.col("name"), "left")
+    median = F.round(F.col("median_distance") / F.lit(float(MICRO)), 9)
+    both = RankIndex(distances, ["vendor_id"]).added_to(
+        with_percentiles(cells, counted, points, "vendor_id"), {"median_distance": 0.5})
+    return (both.withColumns({"trip_share": pct(F.col("trip_count"), total), "median_distance": median})
             .select("vendor_id", "trip_count", "trip_share", "avg_duration",
                     *[F.round(label, 4).alias(label) for label in points],
                     "avg_distance", "median_distance", "avg_speed",
@@ -285,18 +291,20 @@ def vendor_profile_full(valid: DataFrame, settings: Settings) -> DataFrame:
 
 
 def passenger_profile(trips: DataFrame) -> DataFrame:
-    counted = trips.groupBy("passenger_count").agg(F.count("*").alias("n"))
+    counted = stored(trips.groupBy("passenger_count").agg(F.count("*").alias("n")), "seats")
+    median = RankIndex(counted, [], "passenger_count").percentiles({"median": 0.5})
     seats = F.col("passenger_count")
     zero = F.lit(0).cast("bigint")
     return counted.agg(
         F.min(seats).alias("min"), F.max(seats).alias("max"),
         ratio(wide_sum(seats.cast("bigint") * F.col("n")),
               F.sum(F.when(seats.isNotNull(), F.col("n"))), 6).alias("mean"),
-        F.round(F.percentile(seats, 0.5, F.col("n")), 4).alias("median"),
+        F.lit(0).alias("median"),
         F.count(seats).alias("distinct_count"),
         F.coalesce(F.sum(F.when(seats == 0, F.col("n"))), zero).alias("zero_count"),
         F.coalesce(F.sum(F.when(seats < 0, F.col("n"))), zero).alias("negative_count"),
-        F.coalesce(F.sum(F.when(seats.isNull(), F.col("n"))), zero).alias("null_count"))
+        F.coalesce(F.sum(F.when(seats.isNull(), F.col("n"))), zero).alias("null_count")
+    ).withColumn("median", F.round(median.scalar(), 4))
 
 
 def distance_rates(trips: DataFrame, settings: Settings) -> DataFrame:

@@ -16,8 +16,10 @@ from tripledger.functions.rounding import pct
 from tripledger.operators.histogram import (
     avg_duration, avg_km, avg_kmh, duration_cells, duration_percentiles, n_trips, with_percentiles,
 )
+from tripledger.operators.rank_index import RankIndex
 from tripledger.operators.ranking import rank_by_count
-from tripledger.operators.rules import CHECKED, COMPONENTS, all_of
+from tripledger.operators.rules import CHECKED, COMPONENTS, REJECTING, UNIQUE, passes
+from tripledger.sources.stages import stored
 
 TRIP_PERFORMANCE_KEYS = ("pickup_date", "vendor_id", "time_of_day", "day_of_week", "is_weekend")
 
@@ -51,38 +53,60 @@ def _kpi_values(settings: Settings) -> list:
     ]
 
 
+def trip_cells(valid: DataFrame, settings: Settings) -> DataFrame:
+    """Trips counted by date, hour, part of day, vendor and duration: what all figures of a dashboard
+    can be added up from, at a few rows a group whatever the number of trips."""
+    return duration_cells(valid, ["pickup_date", "pickup_hour", "time_of_day", "vendor_id"],
+                          settings.get("low_speed_kmh"))
+
+
 def kpi_table(valid: DataFrame, keys: list[str], settings: Settings) -> DataFrame:
-    """The trip-performance KPIs for any list of grouping columns."""
-    cells = duration_cells(valid, keys, settings.get("low_speed_kmh"))
-    return summarise_cells(cells.groupBy(*keys), keys, settings)
+    """The trip-performance KPIs for any list of grouping columns.
+
+    A group may be anything up to all trips, so percentiles come from an index of ranks."""
+    cells = stored(duration_cells(valid, keys, settings.get("low_speed_kmh")), "duration-cells")
+    sums = RankIndex(cells, keys, "trip_duration").added_to(
+        _sums(cells.groupBy(*keys), settings), {"median": 0.5, "p90": 0.9})
+    return sums.withColumn("p", F.array("median", "p90")).select(*keys, *_kpi_values(settings))
 
 
 def summarise_cells(groups: GroupedData, keys: list[str], settings: Settings,
                     *extra: Column) -> DataFrame:
-    """KPI values of grouped duration cells."""
+    """KPI values of grouped duration cells, for many groups of a bounded number of durations."""
+    grouped = _sums(groups, settings, *extra, duration_percentiles([0.5, 0.9]).alias("p"))
+    named = grouped.columns[len(keys):len(keys) + len(extra)]
+    return grouped.select(*keys, *named, *_kpi_values(settings))
+
+
+def _sums(groups: GroupedData, settings: Settings, *extra: Column) -> DataFrame:
     long_limit = settings.get("long_trip_seconds")
     over = F.lit(False) if long_limit is None else F.col("trip_duration") > long_limit
-    grouped = groups.agg(
+    return groups.agg(
         *extra,
         n_trips().alias("row_count"),
         avg_duration(4).alias("kpi_002_avg_duration_seconds"),
         avg_duration(4, 60).alias("kpi_002_avg_duration_minutes"),
-        duration_percentiles([0.5, 0.9]).alias("p"),
         avg_km().alias("kpi_005_avg_estimated_distance_km"),
         avg_kmh().alias("kpi_006_avg_estimated_speed_kmh"),
         F.sum(F.when(over, F.col("n")).otherwise(0)).alias("n_long"),
         F.sum("n_slow").alias("n_slow"),
         F.sum("n_kmh").alias("n_kmh"),
     )
-    named = grouped.columns[len(keys):len(keys) + len(extra)]
-    return grouped.select(*keys, *named, *_kpi_values(settings))
 
 
 def trip_performance(valid: DataFrame, settings: Settings,
                      allow_withheld: bool = False) -> DataFrame:
     """One row per date, vendor, part of day, weekday and weekend flag."""
+    return trip_performance_of(duration_cells(
+        valid, ["pickup_date", "vendor_id", "time_of_day"], settings.get("low_speed_kmh")),
+        settings, allow_withheld)
+
+
+def trip_performance_of(cells: DataFrame, settings: Settings, allow_withheld: bool = False) -> DataFrame:
+    """The same from duration cells that have at least date, vendor and part of day."""
     gate(settings, allow_withheld)
-    by_date = kpi_table(valid, ["pickup_date", "vendor_id", "time_of_day"], settings)
+    keys = ["pickup_date", "vendor_id", "time_of_day"]
+    by_date = summarise_cells(cells.groupBy(*keys), keys, settings)
     values = [c for c in by_date.columns if c not in TRIP_PERFORMANCE_KEYS]
     return (by_date.withColumns(_weekday_of("pickup_date"))
             .select(*TRIP_PERFORMANCE_KEYS, *values))
@@ -94,8 +118,17 @@ def demand_metrics(valid: DataFrame) -> DataFrame:
     The peak counts all vendors; among equal hours the earliest wins. The windows run over
     counted hours, at most 24 per date and vendor.
     """
-    hours = (valid.groupBy("pickup_date", "pickup_hour", "vendor_id")
-             .agg(F.count("id").alias("kpi_008_trips_per_hour")))
+    return _demand(valid.groupBy("pickup_date", "pickup_hour", "vendor_id")
+                   .agg(F.count("id").alias("kpi_008_trips_per_hour")))
+
+
+def demand_of(cells: DataFrame) -> DataFrame:
+    """The same from duration cells that have at least date, hour and vendor."""
+    return _demand(cells.groupBy("pickup_date", "pickup_hour", "vendor_id")
+                   .agg(F.sum("n").alias("kpi_008_trips_per_hour")))
+
+
+def _demand(hours: DataFrame) -> DataFrame:
     day = Window.partitionBy("pickup_date")
     hour_total = F.sum("kpi_008_trips_per_hour").over(
         Window.partitionBy("pickup_date", "pickup_hour"))
@@ -109,7 +142,7 @@ def demand_metrics(valid: DataFrame) -> DataFrame:
     )
 
 
-_CELL_KEYS = ("pickup_lat_cell", "pickup_lon_cell", "dropoff_lat_cell", "dropoff_lon_cell")
+ROUTE_KEYS = ("pickup_lat_cell", "pickup_lon_cell", "dropoff_lat_cell", "dropoff_lon_cell")
 
 
 def _cell_text(end: str):
@@ -117,19 +150,29 @@ def _cell_text(end: str):
                     F.col(f"{end}_lon_cell").cast("string"))
 
 
-def area_counts(valid: DataFrame) -> DataFrame:
-    """Unranked rows of the geographic mart.
-
-    Trips are grouped once, by route; both area counts are sums over routes. Cells stay numbers
-    until the counting is done.
-    """
+def route_cells(valid: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Trips counted by route and duration, and by further ``keys``. Areas stay numbers until the
+    counting is done."""
     cells = valid.withColumns({
         "pickup_lat_cell": F.round("pickup_latitude", 2),
         "pickup_lon_cell": F.round("pickup_longitude", 2),
         "dropoff_lat_cell": F.round("dropoff_latitude", 2),
         "dropoff_lon_cell": F.round("dropoff_longitude", 2),
     })
-    routes = duration_cells(cells, _CELL_KEYS).groupBy(*_CELL_KEYS).agg(
+    return duration_cells(cells, [*keys, *ROUTE_KEYS])
+
+
+def area_counts(valid: DataFrame) -> DataFrame:
+    """Unranked rows of the geographic mart.
+
+    Trips are grouped once, by route; both area counts are sums over routes.
+    """
+    return area_counts_of(route_cells(valid))
+
+
+def area_counts_of(cells: DataFrame) -> DataFrame:
+    """The same from route cells."""
+    routes = cells.groupBy(*ROUTE_KEYS).agg(
         n_trips().alias("trip_count"),
         avg_duration(4).alias("avg_duration_seconds"),
         duration_percentiles([0.5, 0.9]).alias("p"),
@@ -160,7 +203,12 @@ def area_counts(valid: DataFrame) -> DataFrame:
 
 def geographic_metrics(valid: DataFrame) -> DataFrame:
     """Pickup areas, drop-off areas and routes, ranked by trips inside each dimension."""
-    ranked = rank_by_count(area_counts(valid), "dimension", "trip_count", "head", "area_key",
+    return geographic_metrics_of(route_cells(valid))
+
+
+def geographic_metrics_of(cells: DataFrame) -> DataFrame:
+    """The same from route cells."""
+    ranked = rank_by_count(stored(area_counts_of(cells), "area-counts"), "dimension", "trip_count", "head", "area_key",
                            "rank_in_dimension")
     return ranked.drop("head")
 
@@ -175,7 +223,11 @@ def top_areas(valid: DataFrame, limit: int) -> DataFrame:
 
 def vendor_performance(valid: DataFrame) -> DataFrame:
     """Share, durations, distance and speed per vendor; the total is a sum over vendors."""
-    cells = duration_cells(valid, ["vendor_id"])
+    return vendor_performance_of(stored(duration_cells(valid, ["vendor_id"]), "duration-cells"))
+
+
+def vendor_performance_of(cells: DataFrame) -> DataFrame:
+    """The same from a stored table of cells by vendor and duration."""
     per_vendor = cells.groupBy("vendor_id").agg(
         n_trips().alias("vendor_trips"),
         avg_duration(4).alias("kpi_014_avg_duration_seconds"),
@@ -201,7 +253,7 @@ def vendor_performance(valid: DataFrame) -> DataFrame:
 def component_counts() -> dict:
     """Rows that pass every rule of a component, one count per component."""
     return {
-        component: F.count_if(all_of(F.col(r.column) for r in CHECKED if r.component == component))
+        component: F.count_if(passes(*[r for r in CHECKED if r.component == component]))
         for component in COMPONENTS
     }
 
@@ -221,9 +273,27 @@ def data_quality(judged: DataFrame, valid: DataFrame, quarantine: DataFrame) ->
     kept = valid.groupBy("source_hash").agg(F.count("*").alias("kept"))
     sent_away = quarantine.groupBy("source_hash").agg(F.count("*").alias("sent_away"))
     zero = F.lit(0).cast("bigint")
-    counted = (everything.join(kept, "source_hash", "left").join(sent_away, "source_hash", "left")
+    return _quality(everything.join(kept, "source_hash", "left").join(sent_away, "source_hash", "left")
                .withColumns({"valid_records": F.coalesce("kept", zero),
                              "quarantined_records": F.coalesce("sent_away", zero)}))
+
+
+def data_quality_of(counts: DataFrame) -> DataFrame:
+    """The same from (source_hash, source_file, failed_rules, n): rows counted by the rules they fail.
+    A row is valid or quarantined by its own rules here."""
+    n, zero = F.col("n"), F.lit(0).cast("bigint")
+
+    def rows_that(passed: Column) -> Column:
+        return F.coalesce(F.sum(F.when(passed, n)), zero)
+    return _quality(counts.groupBy("source_hash").agg(
+        F.min("source_file").alias("source_file"), F.sum("n").alias("total_records"),
+        rows_that(~passes(UNIQUE)).alias("duplicate_records"),
+        *[rows_that(passes(*[r for r in CHECKED if r.component == c])).alias(c) for c in COMPONENTS],
+        rows_that(passes(*REJECTING)).alias("valid_records"),
+        rows_that(~passes(*REJECTING)).alias("quarantined_records")))
+
+
+def _quality(counted: DataFrame) -> DataFrame:
     total = F.col("total_records")
     scores = [pct(F.col(c), total).alias(f"{c}_score_pct") for c in COMPONENTS]
     return counted.select(

@@ -9,6 +9,7 @@ from tripledger.functions.rounding import WIDE, pct, ratio, wide_sum
 from tripledger.operators.histogram import (
     avg_duration, avg_km, avg_kmh, cell_percentiles, duration_cells,
 )
+from tripledger.sources.stages import stored
 
 
 def _shown(value: Column, places: int, stored: int = 4, divisor: int = 1) -> Column:
@@ -31,7 +32,8 @@ def exec_tiles(valid: DataFrame, performance: DataFrame, demand: DataFrame,
     """One row of headline numbers.
 
     Averages and percentiles are recomputed from trips; stored rates are weighted by trips,
-    because a mean of group rates would give a quiet day the weight of a busy one.
+    because a mean of group rates would give a quiet day the weight of a busy one. ``valid`` is the
+    trips, or stored cells of them with a row for each group and duration.
     """
     trips = F.col("kpi_001_total_trips")
 
@@ -43,7 +45,7 @@ def exec_tiles(valid: DataFrame, performance: DataFrame, demand: DataFrame,
     totals = performance.agg(F.sum(trips).alias("kpi_001_total_trips"),
                              weighted("kpi_016_long_trip_rate_pct"),
                              weighted("kpi_017_low_speed_rate_pct"))
-    cells = duration_cells(valid, [])
+    cells = valid if "sum_km" in valid.columns else stored(duration_cells(valid, []), "duration-cells")
     points = cell_percentiles(cells, {"median": 0.5, "p90": 0.9})
     overall = cells.agg(
         avg_duration(1, 60).alias("avg_min"), avg_km(2).alias("avg_km"), avg_kmh(1).alias("avg_kmh"))

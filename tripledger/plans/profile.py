@@ -18,8 +18,12 @@ from tripledger.operators.histogram import (
     as_units, avg_duration, avg_km, avg_kmh, cell_percentiles, duration_cells, exact_percentiles,
     interpolated, n_trips, percentile_columns, with_percentiles,
 )
-from tripledger.operators.rules import COMPONENTS, FLAGGING, RULES, any_of
+from tripledger.operators.moments import deviation
+from tripledger.operators.rules import (
+    CHECKED, COMPONENTS, FAILED, FLAGGING, RULES, Rule, any_of, failures_of,
+)
 from tripledger.sources.contract import SOURCE_COLUMNS
+from tripledger.sources.stages import stored
 
 # Percentile labels and points of the numeric profile.
 POINTS = {"p25": 0.25, "p50": 0.5, "p75": 0.75, "p90": 0.9,
@@ -111,7 +115,8 @@ def profile_domain_stats(landed: DataFrame, limit: int = 25) -> DataFrame:
 def duration_consistency_stats(trips: DataFrame) -> DataFrame:
     """How far the recorded duration is from the two time stamps."""
     diff = F.col("duration_difference_seconds")
-    by_value = trips.groupBy("duration_difference_seconds").agg(F.count("*").alias("n"))
+    by_value = stored(trips.groupBy("duration_difference_seconds").agg(F.count("*").alias("n")),
+                      "differences")
     known = F.sum(F.when(diff.isNotNull(), F.col("n")))
     spread = by_value.agg(
         F.coalesce(F.sum(F.when(diff == 0, F.col("n"))), F.lit(0)).alias("exact_match"),
@@ -200,7 +205,7 @@ def profile_numeric_stats(trips: DataFrame) -> DataFrame:
             F.count(c).alias("n"), F.min(c).cast("double").alias("min"),
             F.max(c).cast("double").alias("max"),
             ratio(wide_sum(_units(c, scale)), F.count(c) * scale, 6).alias("mean"),
-            F.round(F.stddev(c), 6).alias("stddev")).alias(name)
+            F.round(deviation(_units(c, scale), scale), 6).alias("stddev")).alias(name)
         for name, c, scale in MEASURES])
     moments = _long(wide, [
         F.struct(F.lit(name).alias("column_name"),
@@ -256,7 +261,7 @@ def duration_iqr(trips: DataFrame) -> DataFrame:
 
 
 def _by_group(trips: DataFrame, key: str, points: Mapping[str, float], *extra: Column) -> DataFrame:
-    cells = duration_cells(trips, [key])
+    cells = stored(duration_cells(trips, [key]), "duration-cells")
     grouped = cells.groupBy(key).agg(n_trips().alias("n"), avg_duration(4).alias("avg_dur"), *extra)
     rest = grouped.columns[3:]
     found = [F.round(label, 4).alias(label) for label in points]
@@ -276,11 +281,20 @@ def profile_saf(trips: DataFrame) -> DataFrame:
     return by_flag.withColumn("percentage", _share(F.col("n"), total))
 
 
+def _failures(judged: DataFrame, named: dict[str, Rule]) -> DataFrame:
+    """One row: ``total`` and the failed rows of each rule. Rows are counted by their failed rules first,
+    so the bits are looked at once per combination."""
+    combinations = judged.groupBy(FAILED).agg(F.count("*").alias("n"))
+    none = F.lit(0).cast("bigint")
+    return combinations.agg(
+        F.coalesce(F.sum("n"), none).alias("total"),
+        *[F.coalesce(F.sum(failures_of(r) * F.col("n")), none).alias(name)
+          for name, r in named.items()])
+
+
 def rule_counts(judged: DataFrame) -> DataFrame:
     """Passed and failed rows per rule, each rule on its own, in one pass."""
-    counts = judged.agg(F.count("*").alias("total"),
-                        *[F.count_if(~F.col(r.column)).alias(r.rule_id)
-                          for r in RULES if r.predicate])
+    counts = _failures(judged, {r.rule_id: r for r in CHECKED})
     return _long(counts, [
         F.struct(F.lit(r.rule_id).alias("rule_id"), F.lit(r.action).alias("action"),
                  (F.col("total") - F.col(f"`{r.rule_id}`")).alias("passed"),
@@ -290,9 +304,7 @@ def rule_counts(judged: DataFrame) -> DataFrame:
 
 def profile_quality(judged: DataFrame, settings: Settings) -> DataFrame:
     """Failures per rule. A rule whose parameter is missing is reported as blocked."""
-    counts = judged.agg(F.count("*").alias("total"),
-                        *[F.count_if(~F.col(r.column)).alias(r.column)
-                          for r in RULES if r.predicate])
+    counts = _failures(judged, {r.column: r for r in CHECKED})
     unknown, no_rate = F.lit(None).cast("bigint"), F.lit(None).cast("double")
 
     def entry(rule) -> Column:

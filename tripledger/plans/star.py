@@ -11,6 +11,10 @@ from tripledger.functions.rounding import wide_sum
 
 _LON_CELLS = 36001  # cells of 0.01 degree from -180 to 180
 _ROUTE_BASE = 10**9
+# Columns of valid trips that the star is made of.
+SOURCE = ("id", "pickup_date", "pickup_hour", "vendor_id", "pickup_latitude", "pickup_longitude",
+          "dropoff_latitude", "dropoff_longitude", "trip_duration", "estimated_distance_km",
+          "estimated_speed_kmh", "is_duration_outlier", "is_speed_outlier")
 
 
 def location_key(lat: Column, lon: Column) -> Column:

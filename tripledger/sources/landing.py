@@ -108,23 +108,37 @@ def file_hashes(files: DataFrame) -> DataFrame:
         *columns, F.sha2("content", 256).alias("source_hash")))
 
 
-def read_text_rows(spark: SparkSession, path: str, heads: DataFrame) -> DataFrame:
+# So many files are a broadcast list; beyond, a file's rows meet their header in so many parts.
+NEAR_FILES = 10_000
+FILE_PARTS = 64
+
+
+def read_text_rows(spark: SparkSession, path: str, heads: DataFrame,
+                   near_files: int = NEAR_FILES) -> DataFrame:
     """Rows of the CSV files below a folder, every source column as text, and the file's path.
 
     ``heads`` has (file_path, columns) of the files to read. Cells are taken by the name their file
-    gives them; a line that repeats its file's header is the header.
+    gives them. The first line of a file is its header; a later line that repeats it is a row.
+
+    Up to NEAR_FILES files are a broadcast list. With more, rows meet the list by their file and a part
+    of it, so the blocks of a large file are spread over FILE_PARTS tasks.
     """
     width = heads.agg(F.max(F.size("columns"))).first()[0] or 1
     cells = [f"_c{i}" for i in range(max(width, len(SOURCE_COLUMNS)))]
+    # With a schema given, ``header`` does no more than skip the first line of each file.
     rows = (spark.read.option("mode", "PERMISSIVE").option("pathGlobFilter", "*.csv")
-            .option("recursiveFileLookup", "true")
+            .option("recursiveFileLookup", "true").option("header", "true")
             .schema(", ".join(f"{c} STRING" for c in cells)).csv(path))
-    found = rows.select(F.array(*cells).alias("cells"), F.col("_metadata.file_path").alias("file_path"))
-    named = found.join(heads, "file_path")
-    is_header = F.transform(F.slice("cells", 1, F.size("columns")),
-                            lambda c: F.trim(c)).eqNullSafe(F.col("columns"))
+    part = F.pmod(F.xxhash64(F.col("_metadata.file_block_start")), F.lit(FILE_PARTS))
+    found = rows.select(F.array(*cells).alias("cells"), F.col("_metadata.file_path").alias("file_path"),
+                        part.alias("part"))
+    if heads.count() <= near_files:
+        named = found.drop("part").join(F.broadcast(heads), "file_path")
+    else:
+        parts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(FILE_PARTS - 1).cast("bigint")))
+        named = found.join(heads.withColumn("part", parts), ["file_path", "part"]).drop("part")
     place = {c: F.array_position("columns", c).cast("int") for c in SOURCE_COLUMNS}
-    return named.where(~is_header).select(
+    return named.select(
         *[F.when(place[c] > 0, F.try_element_at("cells", place[c])).alias(c)
           for c in SOURCE_COLUMNS],
         *[c for c in named.columns if c not in ("cells", "columns")])
@@ -202,11 +216,21 @@ class Landing:
 
 
 def running_totals(log: DataFrame) -> DataFrame:
-    """(load_id, rows, at, rows_in_total): one row per load, in order of time and load id."""
+    """(load_id, rows, at, rows_in_total): one row per load, in order of time and load id.
+
+    A total is that of the days before, whose number is the calendar's, and that of the loads before
+    on the same day. Only days are ever ordered in one task, never all loads.
+    """
     per_load = log.groupBy("load_id").agg(F.sum("rows").alias("rows"),
-                                          F.min("ingested_at").alias("at"))
-    before = Window.orderBy("at", "load_id").rowsBetween(Window.unboundedPreceding, 0)
-    return per_load.withColumn("rows_in_total", F.sum("rows").over(before))
+                                          F.min("ingested_at").alias("at")).withColumn(
+        "day", F.to_date("at"))
+    earlier = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    days = per_load.groupBy("day").agg(F.sum("rows").alias("on_day")).select(
+        F.col("day").alias("of"), F.coalesce(F.sum("on_day").over(earlier), F.lit(0)).alias("before"))
+    on_day = Window.partitionBy("day").orderBy("at", "load_id").rowsBetween(Window.unboundedPreceding, 0)
+    return (per_load.join(days, F.col("day").eqNullSafe(F.col("of")))
+            .select("load_id", "rows", "at",
+                    (F.col("before") + F.sum("rows").over(on_day)).alias("rows_in_total")))
 
 
 def file_profile(spark: SparkSession, path: str) -> DataFrame:
