@@ -4,7 +4,9 @@ import hashlib
 import math
 from collections import Counter
 
-from tripledger.llm.mixing import MAX_MEAN, TEMPERATURE, mixed_rows, replicated
+import pytest
+
+from tripledger.llm.mixing import MAX_MEAN, TEMPERATURE, mixed_rows, most_copies, replicated, shares
 
 
 def rows(n=3000):
@@ -12,13 +14,26 @@ def rows(n=3000):
             for i in range(n)]
 
 
+def plain_means(sizes, cap=MAX_MEAN):
+    """Means by taking sources to the limit one after the other."""
+    at_limit = set()
+    while True:
+        rows = sum(sizes.values()) - cap * sum(sizes[s] for s in at_limit)
+        mass = sum(n ** TEMPERATURE for s, n in sizes.items() if s not in at_limit)
+        means = {s: cap if s in at_limit else n ** TEMPERATURE / mass * rows / n
+                 for s, n in sizes.items()}
+        worst = max(means, key=means.get)
+        if means[worst] <= cap:
+            return means
+        at_limit.add(worst)
+
+
 def expected(data):
     sizes = Counter(s for _, _, s in data)
-    mass = sum(n ** TEMPERATURE for n in sizes.values())
+    means = plain_means(sizes) if data else {}
     out = Counter()
     for i, text, source in data:
-        n = sizes[source]
-        mean = min(n ** TEMPERATURE / mass * len(data) / n, MAX_MEAN)
+        mean = means[source]
         whole = f"7:{'' if i is None else i}:{text or ''}"
         number = int(hashlib.md5(whole.encode()).hexdigest()[:13], 16) / 2 ** 52
         k, reached = 0, math.exp(-mean)
@@ -38,6 +53,27 @@ def test_counts_equal_plain_inversion_and_shares_move_to_the_target(spark):
     assert got["rare"] / sizes["rare"] > 2 > got["big"] / sizes["big"]
 
 
+@pytest.mark.parametrize("cap", [MAX_MEAN, 1.5, 60.0])
+def test_targets_hold_with_a_limit_of_the_mean(spark, cap):
+    """Tiny sources reach the limit; what it takes from them goes to the others."""
+    data = [(i, f"text {i}", "big" if i < 20_000 else f"s{i % 7}" if i < 20_400 else f"t{i % 40}")
+            for i in range(20_600)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string")
+    sizes = Counter(s for *_, s in data)
+    want = plain_means(sizes, cap)
+    found = {r.source: r for r in shares(docs, max_mean=cap).collect()}
+    assert {s: r.rows for s, r in found.items()} == sizes
+    for source, r in found.items():
+        assert r.mean == pytest.approx(want[source], rel=1e-9)
+        assert r.target == pytest.approx(want[source] * r.rows / len(data), rel=1e-9)
+        assert abs(r.reached - r.target) < 0.01 + 0.2 * r.target
+    assert sum(r.target for r in found.values()) == pytest.approx(1)
+    assert sum(r.copies for r in found.values()) == pytest.approx(len(data), rel=0.05)
+    mean, limit = max(want.values()), most_copies(cap)
+    tail = 1 - sum(math.exp(-mean + k * math.log(mean) - math.lgamma(k + 1)) for k in range(limit))
+    assert tail < 1e-12
+
+
 def test_order_is_a_hash_order(spark):
     docs = spark.createDataFrame(rows(500), "doc_id long, text string, source string")
     found = replicated(docs).collect()

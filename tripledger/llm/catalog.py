@@ -62,7 +62,7 @@ def op5_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixing.replicated(table(spark, sf_dir, "documents"))
     return found.select("row.doc_id", "row.source", F.length("row.text").cast("bigint").alias("n_chars"),
-                        "copies", "copy", "place")
+                        "copies", "copy", "place", F.round("target", 9).alias("target_share"))
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,6 +94,10 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     def number(kind: str):
         return F.size(F.filter(kinds, lambda k: k == kind)).cast("bigint").alias(f"n_{kind}")
     counts = [number(kind) for kind in pii.BASE]
+    added = F.transform(F.filter("spans", lambda s: ~s["base"]), lambda s: s["kind"])
+    counts.append(F.size(added).cast("bigint").alias("n_added"))
+    counts += [F.size(F.filter(added, lambda k, kind=kind: k == kind)).cast("bigint")
+               .alias(f"n_added_{kind}") for kind in pii.KINDS]
     return found.select(F.col("id").alias("doc_id"), *counts,
                         F.sha2(joined(base), 256).alias("base_sha256"),
                         joined(F.col("spans")).alias("spans"))
@@ -149,19 +153,29 @@ ORACLE_SQL: dict[str, str] = {
         FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)""",
     "op6_poisson_mixing": """
         WITH sizes AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
-        total AS (SELECT sum(n) AS all_rows, sum(pow(n, 0.7)) AS mass FROM sizes),
-        means AS (SELECT source, least(pow(n, 0.7) / mass * all_rows / n, 4.0) AS mean
-                  FROM sizes, total),
+        total AS (SELECT sum(n) AS all_rows FROM sizes),
+        by_size AS (SELECT n, sum(n) AS part, sum(pow(n, 0.7)) AS mass, pow(n, 0.7) / n AS pull
+                    FROM sizes GROUP BY n),
+        tried AS (SELECT part, mass, (all_rows - 4.0 * coalesce(sum(part) OVER (
+                      ORDER BY pull DESC, n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                  / sum(mass) OVER (ORDER BY pull DESC, n ROWS BETWEEN CURRENT ROW
+                                    AND UNBOUNDED FOLLOWING) * pull > 4.0 AS over
+                  FROM by_size, total),
+        rest AS (SELECT (any_value(all_rows) - 4.0 * coalesce(sum(part) FILTER (over), 0))
+                        / sum(mass) FILTER (NOT over) AS factor FROM tried, total),
+        means AS (SELECT source, n, least(factor * (pow(n, 0.7) / n), 4.0) AS mean FROM sizes, rest),
+        targets AS (SELECT source, n * mean / (SELECT sum(n * mean) FROM means) AS target FROM means),
         steps AS (SELECT source, k, sum(exp(-mean + k * ln(mean) - lgamma(k + 1)))
                          OVER (PARTITION BY source ORDER BY k) AS reached
                   FROM means, (SELECT unnest(range(0, 32)) AS k)),
         rows AS (SELECT doc_id, text, source, ('0x' || substr(md5('7:' || coalesce(doc_id::VARCHAR, '')
                         || ':' || coalesce(text, '')), 1, 13))::BIGINT / 4503599627370496.0 AS number
                  FROM documents),
-        copies AS (SELECT doc_id, text, r.source, (k + 1)::INTEGER AS copy
+        copies AS (SELECT doc_id, text, r.source, target, (k + 1)::INTEGER AS copy
                    FROM rows r JOIN steps s ON r.source IS NOT DISTINCT FROM s.source
-                   AND r.number >= s.reached)
-        SELECT doc_id, source, length(text) AS n_chars,
+                   AND r.number >= s.reached
+                   JOIN targets t ON r.source IS NOT DISTINCT FROM t.source)
+        SELECT doc_id, source, length(text) AS n_chars, round(target, 9) AS target_share,
                (count(*) OVER (PARTITION BY doc_id, text))::INTEGER AS copies, copy,
                md5('7 place:' || copy || ':' || coalesce(doc_id::VARCHAR, '') || ':'
                    || coalesce(text, '')) AS place
