@@ -57,6 +57,57 @@ def test_held_out_rows(tables, operator, which, modulus, value, least):
     assert len(twins) == 2 and twins[0] == twins[1]
 
 
+def test_a_label_that_only_a_pair_explains(spark):
+    """Toxic texts have exactly one of two words, each of which is as common in the others."""
+    draw = random.Random(6)
+    rows, labels = [], []
+    for i in range(3000):
+        words = [draw.choice(WORDS) for _ in range(25)]
+        a, b = draw.random() < 0.5, draw.random() < 0.5
+        words[:0] = ["gruppe"] * a + ["vermin"] * b
+        draw.shuffle(words)
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(a != b)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    held = [(r.score >= 0.5) == bool(labels[r.id][1]) for r in toxicity(docs, marks).collect()
+            if r.held_out]
+    assert len(held) > 400 and np.mean(held) > 0.9
+
+
+def test_margin_and_gradient_equal_plain_sums():
+    """The margin by all pairs, and one step down by differences of the loss."""
+    from tripledger.llm.toxicity import L2, Machine, Slope, interplay, logistic
+    draw = np.random.default_rng(3)
+    terms, factors = 7, draw.normal(size=(7, 8))
+    machine = Machine(np.arange(terms), 0.3, draw.normal(size=terms), factors)
+    rows = [[0, 2, 5], [], [1], [0, 1, 2, 3, 4, 5, 6]]
+    first = np.cumsum([0, *map(len, rows)])
+    index = np.array([i for r in rows for i in r])
+    plain = [0.3 + sum(machine.weights[i] for i in r)
+             + sum(factors[i] @ factors[j] for i in r for j in r if i < j) for r in rows]
+    assert np.allclose(machine.margin(first, index), plain)
+    assert np.allclose(logistic(np.array([0.0, 100.0])), [0.5, 1.0])
+    label, weight = np.array([1, 0, 1, 0]), np.array([0.1, 0.4, 0.2, 0.3])
+
+    def loss(values):
+        other = Machine(np.arange(terms), values[0], values[1:8], values[8:].reshape(7, 8))
+        p = logistic(other.margin(first, index))
+        return (-(weight * np.where(label == 1, np.log(p), np.log(1 - p))).sum()
+                + L2 / 2 * (values[1:] ** 2).sum())
+    at = np.concatenate([[0.3], machine.weights, factors.ravel()])
+    steps = np.eye(len(at)) * 1e-5
+    differences = [(loss(at + s) - loss(at - s)) / 2e-5 for s in steps]
+    assert np.allclose(Slope(first, index, terms)(machine, label, weight), differences, atol=1e-7)
+    # A pair tells what its two terms don't: counted over single rows.
+    label = draw.integers(0, 2, 400)
+    has = draw.integers(0, 2, (400, 3))
+    has[:, 2] = has[:, 0] ^ label
+    both = np.stack([has[label == y].T @ has[label == y] for y in (0, 1)])
+    found = interplay(both, {0: int((label == 0).sum()), 1: int((label == 1).sum())})
+    assert found[0, 2] > 300 and abs(found[0, 1]) < 20 and found[0, 2] == pytest.approx(found[2, 0])
+
+
 @pytest.mark.parametrize("operator", [toxicity, quality])
 def test_empty_tables(tables, operator):
     _, _, docs, marks = tables

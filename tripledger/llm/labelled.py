@@ -76,12 +76,16 @@ def _rows_of_terms(batches: Iterator[pa.RecordBatch], terms: Terms):
             ["label", "terms"])
 
 
-def chosen(found: DataFrame, sizes: dict[int, int], n: int, least: float) -> DataFrame:
-    """(term, zeros, ones): the ``n`` terms whose presence tells most about the label, by a
-    log-likelihood ratio of ``least`` or more."""
-    counts = found.select("label", F.explode("terms").alias("term")).groupBy("term").agg(
+def term_counts(found: DataFrame) -> DataFrame:
+    """(term, zeros, ones): rows of each label that have the term."""
+    return found.select("label", F.explode("terms").alias("term")).groupBy("term").agg(
         F.count(F.when(F.col("label") == 0, 1)).alias("zeros"),
         F.count(F.when(F.col("label") == 1, 1)).alias("ones"))
+
+
+def chosen(counts: DataFrame, sizes: dict[int, int], n: int, least: float) -> DataFrame:
+    """The ``n`` of the counted terms whose presence tells most about the label, by a log-likelihood
+    ratio of ``least`` or more."""
     rows = sizes[0] + sizes[1]
 
     def part(have: Column, expected: Column) -> Column:
@@ -108,12 +112,21 @@ def _only(batches: Iterator[pa.RecordBatch], terms: np.ndarray):
 class Training:
     """The sample as sparse rows over the chosen terms, small enough for the driver."""
 
-    def __init__(self, rows: DataFrame, terms: Terms, n: int, least: float):
+    def __init__(self, rows: DataFrame, terms: Terms, n: int, least: float,
+                 more: Callable[[DataFrame, DataFrame, dict[int, int], list[int]], list[int]]
+                 | None = None):
+        """``more`` may name further terms, from the rows of terms, their counts, the number of rows of
+        each label, and the chosen terms from the best on."""
         found = stored(rows.mapInArrow(lambda batches: _rows_of_terms(batches, terms),
                                        "label int, terms array<int>"), "labelled-terms")
         sizes = {0: 0, 1: 0} | {r.label: r["count"] for r in found.groupBy("label").count().collect()}
-        picked = chosen(found, sizes, n, least).collect() if sizes[0] and sizes[1] else []
-        self.terms = np.array(sorted(r.term for r in picked), np.int64)
+        picked = []
+        if sizes[0] and sizes[1]:
+            counts = stored(term_counts(found), "term-counts")
+            picked = [r.term for r in chosen(counts, sizes, n, least).collect()]
+            if more:
+                picked += more(found, counts, sizes, picked)
+        self.terms = np.array(sorted(set(picked)), np.int64)
         terms = self.terms
         kept = found.select("label", "terms", F.hash("terms").alias("order")).mapInArrow(
             lambda batches: _only(batches, terms),

@@ -5,9 +5,11 @@ a weight for each term and, for each pair of terms, the product of their factor
 such as an insult and the mention of a group can count for more than its parts. Presence counts,
 not frequency.
 
-It is fitted on at most PER_LABEL labelled rows of each label (a documented bound): the terms are
-chosen by log-likelihood ratio in Spark, and only the sample's rows over the chosen terms reach the
-driver. Rows are weighted so that the labels have the shares they have among all labelled rows.
+It is fitted on at most PER_LABEL labelled rows of each label (a documented bound). A term reaches the
+machine by what it tells alone, a log-likelihood ratio of LEAST_GAIN, or by what it tells in a pair:
+among the FREQUENT most frequent terms and the STRONG best ones, rows of each label are counted in Spark
+for every pair, and both terms of a pair that tells PAIR_GAIN more than its terms by themselves are
+admitted. Only the sample's rows over the chosen terms reach the driver. Rows are weighted so that the labels have the shares they have among all labelled rows.
 Every text is scored whole, in one pass without a shuffle.
 
 Defined results: a null or empty text, or one without a chosen term, gets the score of no terms;
@@ -22,6 +24,7 @@ import re
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +32,8 @@ from .blocks import words
 from .labelled import Training, bucket, distinct, held_out, sample, scores
 
 TERMS = 4096
+FREQUENT, STRONG = 512, 128  # terms of which every pair is counted
+PAIR_GAIN = 45.0  # chance reaches it in one of some 10**8 pairs
 LEAST_GAIN = 25.0
 FACTORS = 8
 STEPS = 400
@@ -104,6 +109,27 @@ def row_sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return total[first[1:]] - total[first[:-1]]
 
 
+class Slope:
+    """Gradient of the weighted logistic loss, with L2 on weights and factors, over given rows."""
+
+    def __init__(self, first: np.ndarray, index: np.ndarray, n: int):
+        self.first, self.index = first, index
+        self.row = np.repeat(np.arange(len(first) - 1), np.diff(first))
+        self.by_column = np.argsort(index, kind="stable")
+        self.ends = np.searchsorted(index[self.by_column], np.arange(n + 1))
+
+    def __call__(self, machine: Machine, label: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """Of the bias, the weights and the factors, end to end."""
+        error = (logistic(machine.margin(self.first, self.index)) - label) * weight
+        own = machine.factors[self.index]
+        total = row_sums(own, self.first)
+        each = error[self.row][:, None]
+        d_factors = row_sums((each * (total[self.row] - own))[self.by_column], self.ends)
+        d_weights = row_sums(each[self.by_column], self.ends)[:, 0]
+        return np.concatenate([[error.sum()], d_weights + L2 * machine.weights,
+                               (d_factors + L2 * machine.factors).ravel()])
+
+
 def fit(training: Training, shares: tuple[float, float], seed: int = 3) -> Machine:
     """Weighted logistic loss, all rows in each step, Adam."""
     n, first, index, label = len(training.terms), training.first, training.index, training.label
@@ -115,19 +141,10 @@ def fit(training: Training, shares: tuple[float, float], seed: int = 3) -> Machi
     weight = np.where(label == 1, shares[1] / ones, shares[0] / max(len(label) - ones, 1))
     weight /= weight.sum()
     machine.bias = float(np.log(shares[1] / shares[0]))
-    row = np.repeat(np.arange(len(label)), np.diff(first))
-    by_column = np.argsort(index, kind="stable")
-    ends = np.searchsorted(index[by_column], np.arange(n + 1))
+    slope = Slope(first, index, n)
     state = [np.zeros(n + 1 + n * FACTORS) for _ in range(2)]
     for step in range(1, STEPS + 1):
-        error = (logistic(machine.margin(first, index)) - label) * weight
-        own = machine.factors[index]
-        total = row_sums(own, first)
-        slope = error[row][:, None]
-        d_factors = row_sums((slope * (total[row] - own))[by_column], ends)
-        d_weights = row_sums(slope[by_column], ends)[:, 0]
-        gradient = np.concatenate([[error.sum()], d_weights + L2 * machine.weights,
-                                   (d_factors + L2 * machine.factors).ravel()])
+        gradient = slope(machine, label, weight)
         state[0] += 0.1 * (gradient - state[0])
         state[1] += 0.01 * (gradient ** 2 - state[1])
         move = RATE * (state[0] / (1 - 0.9 ** step)) / (
@@ -138,6 +155,68 @@ def fit(training: Training, shares: tuple[float, float], seed: int = 3) -> Machi
     return machine
 
 
+def _pair_counts(batches, terms: np.ndarray):
+    """(label, term, counts): rows of this part that have both the term and each of ``terms``."""
+    total = np.zeros((2, len(terms), len(terms)), np.int64)
+    for batch in batches:
+        for at in range(0, len(batch), 2048):
+            label, lists = (c.slice(at, 2048) for c in batch.columns)
+            label = label.to_numpy(zero_copy_only=False)
+            has = np.zeros((len(label), len(terms)), np.float32)
+            for i, own in enumerate(lists.to_numpy(zero_copy_only=False)):
+                place = np.searchsorted(terms, own)
+                place[place == len(terms)] = 0
+                has[i, place[terms[place] == own]] = 1
+            for y in (0, 1):
+                total[y] += np.rint(has[label == y].T @ has[label == y]).astype(np.int64)
+    for y in (0, 1):
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(terms), y, np.int32)), pa.array(np.arange(len(terms), dtype=np.int32)),
+             pa.array(list(total[y]), pa.list_(pa.int64()))], ["label", "term", "counts"])
+
+
+def _counts_added(table: pa.Table) -> pa.Table:
+    total = np.sum(table["counts"].to_numpy(), axis=0)
+    return pa.table({"label": table["label"][:1], "term": table["term"][:1],
+                     "counts": pa.array([total], pa.list_(pa.int64()))})
+
+
+def _told(cells: list[tuple[np.ndarray, np.ndarray]], sizes: dict[int, int]) -> np.ndarray:
+    """Log-likelihood ratio of the label against cells of rows, each (rows of label 0, of label 1)."""
+    rows, out = sizes[0] + sizes[1], 0.0
+    for counts in cells:
+        whole = counts[0] + counts[1]
+        for y in (0, 1):
+            expected = whole * (sizes[y] / rows)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                out = out + 2 * np.where(counts[y] > 0, counts[y] * np.log(counts[y] / expected), 0.0)
+    return out
+
+
+def interplay(both: np.ndarray, sizes: dict[int, int]) -> np.ndarray:
+    """What each pair of terms tells beyond its two terms, of counts [label, term, term]."""
+    alone = np.diagonal(both, axis1=1, axis2=2)
+    single = _told([alone, [sizes[y] - alone[y] for y in (0, 1)]], sizes)
+    first, second = alone[:, :, None] - both, alone[:, None, :] - both
+    none = [sizes[y] - both[y] - first[y] - second[y] for y in (0, 1)]
+    pair = _told([both, first, second, none], sizes)
+    np.fill_diagonal(pair, 0.0)
+    return pair - single[:, None] - single[None, :]
+
+
+def partners(found: DataFrame, counts: DataFrame, sizes: dict[int, int], picked: list[int]) -> list[int]:
+    """Terms of the pairs that tell more than their terms do."""
+    often = counts.orderBy(F.desc(F.col("zeros") + F.col("ones")), "term").limit(FREQUENT)
+    terms = np.array(sorted({r.term for r in often.collect()} | set(picked[:STRONG])), np.int64)
+    added = found.select("label", "terms").mapInArrow(
+        lambda batches: _pair_counts(batches, terms), "label int, term int, counts array<bigint>"
+    ).groupBy("label", "term").applyInArrow(_counts_added, "label int, term int, counts array<bigint>")
+    both = np.zeros((2, len(terms), len(terms)), np.int64)
+    for r in added.collect():
+        both[r.label, r.term] = r.counts
+    return terms[(interplay(both, sizes) >= PAIR_GAIN).any(1)].tolist()
+
+
 def learn(docs: DataFrame, labels: DataFrame, label: str, use: Column, key: str = "doc_id",
           text: str = "text") -> Machine:
     """Fit on a bounded sample of the labelled rows for which ``use`` (over ``id``) holds."""
@@ -146,7 +225,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str, use: Column, key: str
              .collect()}
     rows = sample(docs, labels, label, use, key, text)
     shares = (max(count.get(0, 0), 1), max(count.get(1, 0), 1))
-    return fit(Training(rows, hashed_terms, TERMS, LEAST_GAIN), shares)
+    return fit(Training(rows, hashed_terms, TERMS, LEAST_GAIN, partners), shares)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int = 5,
