@@ -2,7 +2,9 @@
 
 import pytest
 
-from tripledger.llm.pages import extracted, host, low_paths, main_text, style_tree
+from tripledger.llm.pages import (
+    DEEPEST, extracted, host, low_paths, main_text, parse, style_tree,
+)
 
 ARTICLE = """<!DOCTYPE html><html><head><title>T &amp; t</title><style>p{}</style>
 <script>var t="</p><p>no</p>";</script></head><body class="page">
@@ -32,6 +34,29 @@ def test_odd_markup(page, text):
     assert main_text(page, frozenset()) == text
 
 
+def test_deep_pages_take_linear_time_and_memory():
+    import time
+    import tracemalloc
+
+    for page in ("<div class='part'>" * 200_000 + "deep", "<div><p>" * 100_000 + "deep",
+                 "<div>" * 100_000 + "deep" + "</div>" * 100_000 + "<p>end",
+                 "".join(f"<i{'a' * (i % 50)}>x</b>" for i in range(50_000)),
+                 "<ul>" + "<li><div>x" * 50_000):
+        begin = time.perf_counter()
+        assert main_text(page, frozenset({">body"}))
+        assert time.perf_counter() - begin < 30
+    tracemalloc.start()
+    parse("<div class='part'>" * 100_000)
+    assert tracemalloc.get_traced_memory()[1] < 100_000_000
+    tracemalloc.stop()
+
+
+def test_elements_beyond_the_deepest_level_share_a_path():
+    blocks, every = parse("<div>" * 60 + "<p class='x'>a</p><p class='" + "long " * 30 + "'>b")
+    assert every[59].path == every[50].path == ">div" * (DEEPEST + 1)
+    assert blocks[0][0].path == ">div" * DEEPEST + ">p.x" and len(blocks[1][0].path) < 200
+
+
 def test_host():
     assert host("https://u@WWW.a.org:80/x?y=http://b") == "=www.a.org:80"
     assert host("no scheme/x") == "=no scheme" and host(None) == "" and host("") == "="

@@ -26,6 +26,9 @@ third of all pages is no load. What is low on at least one in RARE of a host's p
 bounded size, which reaches the host's pages by broadcast; all other low paths and blocks are found by
 a join of the pages' paths, salted, and reach their pages by the page's digest.
 
+A page is parsed in linear time and memory: elements more than DEEPEST levels down share the path of
+their ancestor there and their own tag, equal paths are one string, and long classes count by a hash.
+
 Defined results: a null or empty page, or one without text, gives an empty text; equal pages of a
 host give equal texts; a null url makes a host of its own; repeated rows are counted once; an
 empty table gives an empty result; pages are parsed whole; only key, url and html are read.
@@ -52,6 +55,8 @@ LOW = 0.15
 DECAY = 0.9
 PRIOR = 0.04  # at most; too little to keep a block that every page of a host has
 SLICE_ROWS = 500
+DEEPEST = 40
+LONG_MARK = 48
 MARK = "\x00"
 
 # Fixed lists: elements without content of their own, elements that stay within a line, elements
@@ -82,16 +87,42 @@ NUMBER = re.compile(r"\d+")
 
 
 class Element:
-    __slots__ = ("tag", "path", "cut", "main", "children")
+    """``base`` is the path its children continue: its own, or beyond DEEPEST that of its ancestor."""
+
+    __slots__ = ("tag", "path", "base", "depth", "cut", "main", "children")
 
-    def __init__(self, tag: str, path: str, cut: bool, main: bool):
-        self.tag, self.path, self.cut, self.main = tag, path, cut, main
+    def __init__(self, tag: str, path: str, base: str, depth: int, cut: bool, main: bool):
+        self.tag, self.path, self.base, self.depth = tag, path, base, depth
+        self.cut, self.main = cut, main
         self.children: list[str] = []
 
 
+class Open:
+    """The open elements from the root on, and where each tag is among them."""
+
+    def __init__(self, root: Element):
+        self.stack = [root]
+        self.places: dict[str, list[int]] = {}
+
+    def push(self, element: Element) -> None:
+        self.places.setdefault(element.tag, []).append(len(self.stack))
+        self.stack.append(element)
+
+    def pop(self) -> None:
+        self.places[self.stack.pop().tag].pop()
+
+    def close(self, tag: str) -> None:
+        """Close the innermost element of this tag with all that is open in it, if there is one."""
+        if self.places.get(tag):
+            first = self.places[tag][-1]
+            while len(self.stack) > first:
+                self.pop()
+
+
 def parse(page: str) -> tuple[list[tuple[Element, str, bool]], list[Element]]:
     """Text blocks in page order (innermost block element, text, all of it linked), and elements."""
-    stack = [Element("", "", False, False)]
+    opened = Open(Element("", "", "", 0, False, False))
+    stack, paths = opened.stack, {}
     every, blocks_found = [], []
     buffer: list[str] = []
     linked, free, links, at = False, False, 0, 0
@@ -125,30 +156,32 @@ def parse(page: str) -> tuple[list[tuple[Element, str, bool]], list[Element]]:
         flush()
         links = 0
         if closing:
-            places = [i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag]
-            if places:
-                del stack[places[0]:]
+            opened.close(tag)
             continue
         if tag in VOID:
             stack[-1].children.append(tag)
             continue
         while tag in CLOSED_BY.get(stack[-1].tag, ()):
-            stack.pop()
+            opened.pop()
         top, given = stack[-1], m[3] or m[6] or ""
         names = [html.unescape(v.strip("\"'")) for _, v in ATTRIBUTE.findall(given)] if given else []
         mark = ".".join(sorted(NUMBER.sub("#", " ".join(names)).split()))
         main = top.main or tag in ("article", "main")
         cut = (top.cut or tag in CUT or tag == "header" and not main
                or any(MARKED.search(v) for v in names) and tag not in ("html", "body"))
-        new = Element(tag, f"{top.path}>{tag}.{mark}" if mark else f"{top.path}>{tag}", cut,
-                      main)
+        if len(mark) > LONG_MARK:
+            mark = f"{_number(mark):x}"
+        own = f"{top.base}>{tag}.{mark}" if mark else f"{top.base}>{tag}"
+        own = paths.setdefault(own, own)
+        depth = top.depth + 1
+        new = Element(tag, own, own if depth <= DEEPEST else top.base, depth, cut, main)
         top.children.append(tag)
         every.append(new)
         if tag in RAW:
             end = re.compile(f"</{tag}[^>]*>", re.I).search(page, at)
             at = end.end() if end else len(page)
             continue
-        stack.append(new)
+        opened.push(new)
     if at < len(page):
         buffer.append(html.unescape(page[at:]))
         free = True
