@@ -90,9 +90,28 @@ def test_nulls_repeated_rows_and_clashing_columns(spark):
     left = keep_first(wide)
     assert left.columns == wide.columns
     assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == sorted(
-        [(None, text), (None, "q"), (None, None), (9, None), (1, text + " z")], key=str)
+        [(None, "q"), (None, None), (9, None), (1, text + " z")], key=str)  # one row of each group
 
 
+def test_different_texts_under_one_key_are_judged_each_by_itself(spark):
+    w, u = (" ".join(f"{c}{i}" for i in range(40)) for c in "wu")
+    docs = spark.createDataFrame([(3, w), (5, w + " more"), (5, u), (5, u), (4, u + " x"), (7, None),
+                                  (7, None)], "doc_id long, text string").repartition(3)
+    left = sorted(((r.doc_id, r.text) for r in keep_first(docs).collect()), key=str)
+    assert left == sorted([(3, w), (4, u + " x"), (7, None), (7, None)], key=str)
+
+
+def test_rest_pairs_of_a_large_list_are_dealt_out(spark, monkeypatch):
+    """Loose copies of one text, in parts of seven: the same classes."""
+    monkeypatch.setattr(near_dedup, "HUB_ROUNDS", 0)
+    monkeypatch.setattr(near_dedup, "SALTED", 7)
+    draw = random.Random(4)
+    base = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join(draw.choice("abc") + w if draw.random() < 0.025 else w for w in base))
+            for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert answer(classes(docs)) == brute(rows)
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert classes(docs).count() == 0 and keep_first(docs).count() == 0

@@ -25,7 +25,8 @@ they end the search among many loose copies of one text, most of whose pairs are
 Defined results: a null or empty text, or one without words, has an empty set, is linked with
 nothing and is its own component; fewer than five words are one shingle; repeated rows are linked,
 as their sets are equal; a component is named after its smallest identifier that isn't null; an
-empty table gives an empty result; texts are read whole; ``keep_first`` passes all columns through.
+empty table gives an empty result; texts are read whole; ``keep_first`` passes all columns through and
+bears repeated and null keys.
 """
 
 from __future__ import annotations
@@ -251,10 +252,17 @@ def _rest_pairs(lists: DataFrame, tested: DataFrame, keys: DataFrame) -> DataFra
              .withColumn("outside", F.col("common") - F.col("met"))
              .join(keys.select("node", "prefix"), "node"))
     main = (lists.groupBy("key", "label").agg(F.count("*").alias("m"))
-            .groupBy("key").agg(F.max(F.struct("m", "label")).alias("main")))
-    minor = (lists.join(main, "key").where("label <> main.label")
-             .select("key", F.col("main.label").alias("main_label"),
-                     *[F.col(c).alias(f"x_{c}") for c in lists.columns if c != "key"]).withColumnRenamed("key", "x_key"))
+            .groupBy("key").agg(F.max(F.struct("m", "label")).alias("main"), F.sum("m").alias("n")))
+    whole = stored(join_counted(stored(lists, "rest-lists"), stored(main, "rest-sizes"), "key", "n",
+                                lists.count(), "inner").where("main.m < n"), "rest")
+    # The nodes off a list's main component are dealt out in parts of SALTED, each with a copy of the list.
+    parts = F.floor((F.col("n") - F.col("main.m")) / SALTED) + 1
+    minor = (whole.where("label <> main.label")
+             .select(F.col("key").alias("x_key"), F.col("main.label").alias("main_label"),
+                     F.pmod(F.xxhash64("node"), parts).alias("x_salt"),
+                     *[F.col(c).alias(f"x_{c}") for c in lists.columns if c != "key"]))
+    copies = whole.select(*lists.columns, F.explode(F.sequence(
+        F.lit(0).cast("bigint"), parts - 1)).alias("salt"))
     # A pair off the main component would come up from both sides.
     apart = ((F.col("label") != F.col("x_label"))
              & ((F.col("label") == F.col("main_label")) | (F.col("x_node") < F.col("node"))))
@@ -262,7 +270,7 @@ def _rest_pairs(lists: DataFrame, tested: DataFrame, keys: DataFrame) -> DataFra
                 >= PERCENT * (F.col("size") + F.col("x_size")))
     bound = F.when(F.col("ref") == F.col("x_ref"), over_hub).otherwise(F.lit(True))
     first = F.element_at(F.array_intersect("x_prefix", "prefix"), 1) == F.col("key")
-    pairs = (minor.join(lists, (F.col("x_key") == F.col("key")) & apart
+    pairs = (minor.join(copies, (F.col("x_key") == F.col("key")) & (F.col("x_salt") == F.col("salt")) & apart
                         & _possible("size", "common", "x_size", "x_common") & bound & first)
              .select(*_pair("x_node", "node")))
     return pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
@@ -311,8 +319,15 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
 
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows that name their component, all columns as they are: keys are to be unique."""
-    found = classes(docs, key, text)
-    gone = stored(found.where("id <> component_id").select("id").distinct(), "gone")
-    packed = docs.select(F.col(f"`{key}`").alias("id"), F.struct("*").alias("row"))
-    return packed.join(gone, "id", "left_anti").select("row.*")
+    """One row of each component, all columns as they are: that of the smallest key, a null after all
+    others, and among equal keys the first by its place in the stored rows. Rows are told apart by
+    place, so different texts under one key are each judged by themselves."""
+    rows = stored(docs.select(F.struct("*").alias("row")), "near-rows")
+    own = F.col(f"row.`{key}`")
+    placed = rows.select(F.struct(
+        own.isNull().alias("without"), own.alias("id"), F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.row_index").alias("at")).alias("place"), "row")
+    found = classes(placed.select("place", F.col(f"row.`{text}`").alias("text")), "place", "text")
+    gone = stored(found.where(F.col("id") != F.col("component_id")).select(
+        F.col("id").alias("place")), "gone")
+    return placed.join(gone, "place", "left_anti").select("row.*")
