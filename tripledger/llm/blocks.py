@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 2_000_000
+BLOCK_BYTES = 500_000
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -19,17 +20,30 @@ def blocks(batches: Iterable[pa.RecordBatch], text: str,
            size: int = BLOCK_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Slices of about ``size`` bytes of text, each with its bytes and its rows' offsets.
 
-    A longer text is a slice of its own. A null counts as empty.
+    A longer text is a slice of its own. A null counts as empty. What the task took is given back to
+    the machine at its end, as a worker process stays for later tasks.
     """
-    for batch in batches:
-        data, offsets = text_bytes(batch.column(text))
-        at = 0
-        while at < len(batch):
-            end = int(np.searchsorted(offsets, offsets[at] + size, side="right")) - 1
-            end = min(max(end, at + 1), len(batch))
-            yield (batch.slice(at, end - at), data[offsets[at]:offsets[end]],
-                   offsets[at:end + 1] - offsets[at])
-            at = end
+    try:
+        for batch in batches:
+            data, offsets = text_bytes(batch.column(text))
+            at = 0
+            while at < len(batch):
+                end = int(np.searchsorted(offsets, offsets[at] + size, side="right")) - 1
+                end = min(max(end, at + 1), len(batch))
+                yield (batch.slice(at, end - at), data[offsets[at]:offsets[end]],
+                       offsets[at:end + 1] - offsets[at])
+                at = end
+    finally:
+        release_memory()
+
+
+def release_memory() -> None:
+    """Give memory that is free in this process back to the machine."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

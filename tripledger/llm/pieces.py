@@ -5,6 +5,9 @@ trie is replaced, any other character stays. Every normalised character remember
 source where it began, so each piece projects to a span of source bytes. Pieces are formed by merges
 in order of score, from the left among equals, in stretches that begin with white space: no piece of
 a model holds white space after another character, which is checked, so no merge crosses stretches.
+Stretches that a task has not met yet are merged all at once: one row of numbers each, in arrays by
+length, with a sorted table of the pairs that make a piece; each step merges the best pair of every row.
+Stretches of more than CACHED_STRETCH characters go one by one, by a heap of their pairs.
 
 Defined results: a null or empty text has no pieces but the end id, if that is asked for; equal
 texts get equal ids; texts are encoded whole, a stretch without white space of any length in
@@ -27,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import blocks
+from .blocks import blocks, release_memory
 
 SPACE = "▁"
 STRETCH = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -96,6 +99,91 @@ class CharacterMap:
         return "".join(out), np.array(source, np.int64)
 
 
+class Pairs:
+    """Which neighbours make a piece, as a sorted table of pairs of numbers, and merges by it.
+
+    A number is a piece's id, or for a character without a piece the number of pieces and its code point.
+    """
+
+    NONE = np.iinfo(np.int32).max
+
+    def __init__(self, known: dict[str, tuple[float, int]], pieces: list[str]):
+        self.size = len(pieces)
+        self.single = {ord(p): i for p, (_, i) in known.items() if len(p) == 1}
+        self.of_point: np.ndarray | None = None
+
+        def number(part: str) -> int | None:
+            found = known.get(part)
+            return found[1] if found else ord(part) + self.size if len(part) == 1 else None
+        places = {s: k for k, s in enumerate(sorted({s for s, _ in known.values()}))}
+        rows = [(a << 32 | b, places[s], i) for p, (s, i) in known.items() for k in range(1, len(p))
+                if (a := number(p[:k])) is not None and (b := number(p[k:])) is not None]
+        table = np.array(sorted(rows), np.int64).reshape(-1, 3)
+        self.keys = table[:, 0].copy()
+        self.ranks, self.results = (table[:, k].astype(np.int32) for k in (1, 2))
+
+    def prepare(self) -> None:
+        """The number of every code point, once in a task."""
+        if self.of_point is None:
+            self.of_point = np.arange(0x110000, dtype=np.int64) + self.size
+            self.of_point[list(self.single)] = list(self.single.values())
+
+    def found(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank, NONE if they make no piece, and piece of each pair; -1 is no neighbour."""
+        if not len(self.keys):
+            return np.full(left.shape, self.NONE, np.int64), np.zeros(left.shape, np.int64)
+        key = left << 32 | np.maximum(right, 0)
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        hit = (self.keys[at] == key) & (left >= 0) & (right >= 0)
+        return np.where(hit, self.ranks[at], self.NONE), self.results[at]
+
+    def merged(self, stretches: list[str]) -> list[list[int]]:
+        """The numbers of each stretch after all merges, best rank first, the leftmost of equals."""
+        out: list[list[int]] = [[] for _ in stretches]
+        size = np.fromiter(map(len, stretches), np.int64, len(stretches))
+        low = 0
+        for high in (4, 6, 8, 12, 18, 28, CACHED_STRETCH):
+            for part in np.array_split(mine := np.flatnonzero((size > low) & (size <= high)),
+                                       1 + len(mine) * high // 500_000):
+                if len(part):
+                    self._merge([stretches[i] for i in part], size[part], high, part, out)
+            low = high
+        return out
+
+    def _merge(self, stretches: list[str], size: np.ndarray, width: int, names: np.ndarray,
+               out: list[list[int]]) -> None:
+        points = np.frombuffer("".join(stretches).encode("utf-32-le", "surrogatepass"), "<u4")
+        place = np.arange(width + 1)
+        now = np.full((len(size), width + 1), -1, np.int64)
+        now[place < size[:, None]] = self.of_point[points]
+        rank, piece = self.found(now[:, :-1], now[:, 1:])
+        size = size.copy()
+        while len(names):
+            at = rank.argmin(1)
+            row = np.arange(len(names))
+            able = rank[row, at] < self.NONE
+            for i in np.flatnonzero(~able):
+                out[names[i]] = now[i, :size[i]].tolist()
+            if not able.any():
+                return
+            if not able.all():
+                now, rank, piece, size, names, at = (a[able] for a in (now, rank, piece, size, names, at))
+                row = np.arange(len(names))
+            now[row, at] = piece[row, at]
+            from_next = place[:-1] > at[:, None]
+            now[:, :-1] = np.where(from_next, now[:, 1:], now[:, :-1])
+            # The pair itself goes, those behind it move up, those beside it are new.
+            from_next = place[:-2] >= at[:, None]
+            for table in (rank, piece):
+                table[:, :-1] = np.where(from_next, table[:, 1:], table[:, :-1])
+            rank[:, -1] = self.NONE
+            size -= 1
+            rank[row, at], piece[row, at] = self.found(now[row, at], now[row, at + 1])
+            before = np.flatnonzero(at > 0)
+            b = at[before] - 1
+            rank[before, b], piece[before, b] = self.found(now[before, b], now[before, b + 1])
+
+
 @dataclass
 class Codec:
     """Encoder and decoder of one model. Small enough to travel with a task."""
@@ -109,8 +197,8 @@ class Codec:
     end_id: int
     unknown_id: int
     by_byte: bool
-    model: bytes = field(default=b"", repr=False)
     known: dict = field(default=None, repr=False)
+    pairs: Pairs = field(default=None, repr=False)
 
     @classmethod
     def load(cls, path: str) -> Codec:
@@ -118,8 +206,7 @@ class Codec:
 
         model = sentencepiece_model_pb2.ModelProto()
         with open(path, "rb") as file:
-            raw = file.read()
-        model.ParseFromString(raw)
+            model.ParseFromString(file.read())
         norm, train = model.normalizer_spec, model.trainer_spec
         kinds = [p.type for p in model.pieces]
         inner = any(SPACE in p.piece.lstrip(SPACE) for p in model.pieces if p.type == NORMAL)
@@ -127,22 +214,28 @@ class Codec:
                 or not norm.escape_whitespaces or train.treat_whitespace_as_suffix \
                 or model.denormalizer_spec.precompiled_charsmap:
             raise ValueError("only BPE models with white space before words can be read")
-        return cls([p.piece for p in model.pieces], [p.score for p in model.pieces], kinds,
-                   norm.precompiled_charsmap, norm.add_dummy_prefix,
-                   norm.remove_extra_whitespaces, train.eos_id, train.unk_id, train.byte_fallback,
-                   raw)
+        codec = cls([p.piece for p in model.pieces], [p.score for p in model.pieces], kinds,
+                    norm.precompiled_charsmap, norm.add_dummy_prefix,
+                    norm.remove_extra_whitespaces, train.eos_id, train.unk_id, train.byte_fallback)
+        codec.pairs = Pairs(codec._normal(), codec.pieces)  # travels with the tasks
+        return codec
+
+    def _normal(self) -> dict[str, tuple[float, int]]:
+        """The pieces that merges may give, with their negative score and id."""
+        return {p: (-s, i) for i, (p, s, k) in enumerate(zip(self.pieces, self.scores, self.kinds))
+                if k == NORMAL}
 
     def prepare(self) -> Codec:
         """Build the lookup tables, once in a task."""
         if self.known is None:
             self.map = CharacterMap(self.charmap)
-            self.known = {p: (-s, i) for i, (p, s, k) in enumerate(
-                zip(self.pieces, self.scores, self.kinds)) if k == NORMAL}
+            self.known = self._normal()
             self.bytes = {int(p[3:5], 16): i for i, (p, k) in enumerate(
                 zip(self.pieces, self.kinds)) if k == BYTE}
             self.cache, self.special = {}, set()
             self.widths = np.array([self._width(i) for i in range(len(self.pieces))], np.int64)
-            self.merger = self._library()
+            self.pairs = self.pairs or Pairs(self.known, self.pieces)
+            self.pairs.prepare()
         return self
 
     def _width(self, i: int) -> int:
@@ -151,17 +244,6 @@ class Codec:
             return int(not 0x80 <= int(self.pieces[i][3:5], 16) < 0xC0)
         return 1 if self.kinds[i] == UNKNOWN else len(self.pieces[i])
 
-    def _library(self):
-        """The library's merges of one stretch, for models that change no character on the way:
-        the same merges as ``merge``, ten times as fast. None where they can't be used."""
-        if not self.model or self.charmap or not self.prefix or self.squeeze:
-            return None
-        try:
-            import sentencepiece
-        except ModuleNotFoundError:
-            return None
-        return sentencepiece.SentencePieceProcessor(model_proto=self.model)
-
     def normalise(self, data: bytes) -> tuple[str, np.ndarray]:
         """The text the pieces are formed of, and each character's source byte with the end."""
         text, source = self.map.apply(data)
@@ -228,22 +310,29 @@ class Codec:
         ids = []
         for part in self.merge(stretch):
             piece = self.known.get(part)
-            ids += ([piece[1]] if piece else [self.bytes[b] for b in part.encode()]
-                    if self.by_byte else [self.unknown_id])
+            ids += [piece[1]] if piece else self.without_piece(part)
         return ids
 
+    def without_piece(self, part: str) -> list[int]:
+        """The ids of a character that is no piece."""
+        return [self.bytes[b] for b in part.encode()] if self.by_byte else [self.unknown_id]
+
     def known_stretches(self, texts: list[list[str]]) -> dict[str, tuple[bytes, str]]:
         """Of each stretch its ids as 32-bit numbers and in writing. Short ones are remembered."""
         found = self.cache
         if len(found) > CACHE_SIZE:
             found.clear()
         new = {s for stretches in texts for s in stretches if s not in found}
-        quick = [s for s in new if len(s) > 1 and s[0] == SPACE] if self.merger else []
-        ids = dict(zip(quick, self.merger.encode([s[1:] for s in quick], num_threads=1))) \
-            if quick else {}
-        for s in new:
-            own = ids[s] if s in ids else self.piece_ids(s)
+        short = [s for s in new if len(s) <= CACHED_STRETCH]
+        for s, own in zip(short, self.pairs.merged(short)):
+            if max(own) >= len(self.pieces):
+                own = [i for part in own for i in (
+                    [part] if part < len(self.pieces) else self.without_piece(chr(part - len(self.pieces))))]
             found[s] = (np.array(own, np.int32).tobytes(), " ".join(map(str, own)))
+        for s in new:
+            if len(s) > CACHED_STRETCH:
+                own = self.piece_ids(s)
+                found[s] = (np.array(own, np.int32).tobytes(), " ".join(map(str, own)))
         out = found
         if any(len(s) > CACHED_STRETCH for s in new):
             out = dict(found)
@@ -309,6 +398,8 @@ def _encoded(batches, codec: Codec, end: bool, spans: bool):
         if spans:
             columns += [pa.array([p[:, k] for p in places], pa.list_(pa.int64())) for k in (0, 1)]
         yield pa.RecordBatch.from_arrays(columns, ["id", "ids", "begins", "ends"][:len(columns)])
+    codec.cache.clear()
+    release_memory()
 
 
 def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text",
@@ -355,6 +446,8 @@ def _digests(batches, codec: Codec, end: bool):
             [rows.column(0), pa.array(columns[0], pa.int64()),
              *[pa.array(c, pa.string()) for c in columns[1:]]],
             ["id", "n_tokens", "ids_sha256", "decoded_sha256", "spans_sha256"])
+    codec.cache.clear()
+    release_memory()
 
 
 def digests(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text",
