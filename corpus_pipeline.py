@@ -6,7 +6,10 @@ shares by replication; the texts are encoded into pieces. Each stage's rows are
 shared folder and read again, so a lost executor repeats no earlier stage.
 
 Defined results: an empty table gives an empty result with the same columns; a null or empty text
-fails the quality rules; further columns of the documents pass through all stages but the last.
+fails the quality rules; texts of any length are read whole; of repeated rows one is left, and copies of
+it that mixing makes; different texts under one key, or without one, are rows of their own in every
+stage; of equal texts with equal keys any one stays, as they don't differ in what decides; further
+columns of the documents, whatever their names, pass through all stages but the last.
 """
 
 from __future__ import annotations
@@ -19,11 +22,12 @@ from tripledger.llm.mixing import mixed_rows
 from tripledger.llm.near_dedup import keep_first
 from tripledger.llm.pieces import encode
 from tripledger.llm.repetition import keep_clean
-from tripledger.llm.sources import table, tokenizer
+from tripledger.llm.sources import small_batches, table, tokenizer
 from tripledger.llm.store import stored
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return keep_clean(docs)
 
 
@@ -32,6 +36,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return keep_first(docs)
 
 
@@ -41,6 +46,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, ids, n_tokens): the pieces of each row with an end id."""
+    small_batches(spark)
     found = encode(docs.select("doc_id", "text"), tokenizer("piece_bpe_32k.model"), spans=False)
     return found.select(F.col("id").alias("doc_id"), "ids",
                         F.size("ids").cast("bigint").alias("n_tokens"))
