@@ -10,7 +10,12 @@ number of pages:
 * content: a text block found on one page alone is important, one found on every page is not. The
   content importance of a path is the mean over the blocks at it and below it.
 
-A path's importance is a mixture of both. A text block at its place has one too: DECAY of what it
+* variation: on a host with a branch whose presentation varies much (VARIED), which is where its pages
+  have their own content, a path of short texts whose branch and parent always look the same is as
+  unimportant as it is constant beside that branch, even if its words are other ones on each page:
+  adverts and footers change their text, not their place. Inside of an article this doesn't count.
+
+A path's importance is a mixture of the first two, times its share of the variation. A text block at its place has one too: DECAY of what it
 shows by itself, which is little where most pages have it, and the rest from its path. An article or
 main element around a node adds PRIOR to its importance, and is no more than that. What is below LOW on
 at least MIN_PAGES pages of a host is cut out of each page of that host: a path with everything below
@@ -53,6 +58,8 @@ RARE = 10
 SALTS = 64
 LOW = 0.15
 DECAY = 0.9
+VARIED = 0.3  # presentation entropy of a branch that tells where a host's content is
+SHORT = 5.0  # mean power of two of a text's words up to which a path has short texts
 PRIOR = 0.04  # at most; too little to keep a block that every page of a host has
 SLICE_ROWS = 500
 DEEPEST = 40
@@ -84,6 +91,7 @@ TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 NUMBER = re.compile(r"\d+")
+ARTICLE = r">(article|main)(\.|>|$)"
 
 
 class Element:
@@ -214,9 +222,18 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 ["host", "digest", "html"])
 
 
+def _sizes(found: list[tuple[Element, str, bool]]) -> dict[str, int]:
+    """Words of a page's longest text at each path."""
+    out: dict[str, int] = {}
+    for e, text, _ in found:
+        out[e.path] = max(out.get(e.path, 0), text.count(" ") + 1)
+    return out
+
+
 def _observed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(host, path, kind, value, n): how many pages of this part show a path with a presentation
-    (kind s), a text block (kind t), or at all (kind p)."""
+    (kind s), a text block (kind t), texts of so many words, as a power of two (kind w), or at all
+    (kind p)."""
     for batch in batches:
         for start in range(0, len(batch), SLICE_ROWS):
             part, seen = batch.slice(start, SLICE_ROWS), Counter()
@@ -229,6 +246,7 @@ def _observed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     shape = f"{len(e.children)}:{' '.join(run)}"
                     own.add((e.path, "s", _number(shape)))
                 own |= {(e.path, "t", _number(text)) for e, text, _ in found}
+                own |= {(path, "w", (1 + size).bit_length()) for path, size in _sizes(found).items()}
                 seen.update((site, *o) for o in own)
             columns = list(zip(*((*k, n) for k, n in seen.items()))) or [[]] * 5
             yield pa.RecordBatch.from_arrays(
@@ -255,7 +273,7 @@ def style_tree(pages: DataFrame, url: str, page: str) -> DataFrame:
 
 def _prior():
     """What an article or main element at or around a path adds to its importance."""
-    return F.when(F.col("path").rlike(r">(article|main)(\.|>|$)"), PRIOR).otherwise(0.0)
+    return F.when(F.col("path").rlike(ARTICLE), PRIOR).otherwise(0.0)
 
 
 def _judged(seen: DataFrame) -> DataFrame:
@@ -280,10 +298,30 @@ def _tree(seen: DataFrame) -> DataFrame:
         lambda k: F.concat_ws(">", F.slice(steps, F.lit(1), k)))).alias("path"))
     content = above.groupBy("host", "path").agg(
         (F.sum("logs") / F.sum("blocks")).alias("spread"))
+    # Largest presentation and text of a path's branch, beside those of its parent and its host.
+    words = known.where("kind = 'w'").groupBy("host", "path").agg(
+        (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("words"))
+    around = paths.join(shown, ["host", "path"], "left").join(words, ["host", "path"], "left").select(
+        "host", "path", "pages", "host_pages", F.coalesce("presentation", F.lit(0.0)).alias("own"),
+        F.coalesce("words", F.lit(0.0)).alias("words"))
+    branch = around.select("host", "own", "words", F.explode(F.transform(
+        F.sequence(F.lit(2), F.size(steps)),
+        lambda k: F.concat_ws(">", F.slice(steps, F.lit(1), k)))).alias("path")).groupBy(
+        "host", "path").agg(F.max("own").alias("inner"), F.max("words").alias("longest"))
+    whole = around.where(F.col("pages") * 2 >= F.col("host_pages")).groupBy("host").agg(
+        F.max("own").alias("most"))
+    parent = F.regexp_replace("path", ">[^>]*$", "")
+    up = around.select("host", F.col("path").alias("parent"), F.col("own").alias("outer"))
+    constant = (branch.withColumn("parent", parent).join(up, ["host", "parent"], "left")
+                .join(whole, "host").where((F.col("most") >= VARIED) & (F.col("longest") < SHORT))
+                .where(~F.col("path").rlike(ARTICLE))
+                .select("host", "path", F.least(F.lit(1.0), F.greatest("inner", F.coalesce(
+                    "outer", F.lit(0.0))) / F.col("most")).alias("varied")))
     mixture = F.lit(1 - DECAY) * F.coalesce("presentation", F.lit(0.0)) + DECAY * (1 - F.col("spread") / base)
     return (paths.join(content, ["host", "path"]).join(shown, ["host", "path"], "left")
-            .select("host", "path", "pages", "host_pages",
-                    F.least(F.lit(1.0), mixture + _prior()).alias("importance")))
+            .join(constant, ["host", "path"], "left")
+            .select("host", "path", "pages", "host_pages", F.least(F.lit(1.0), (
+                mixture * F.coalesce("varied", F.lit(1.0)) + _prior())).alias("importance")))
 
 
 def low_blocks(seen: DataFrame, tree: DataFrame) -> DataFrame:
