@@ -5,9 +5,9 @@ trie is replaced, any other character stays. Every normalised character remember
 source where it began, so each piece projects to a span of source bytes. Pieces are formed by merges
 in order of score, from the left among equals, in stretches that begin with white space: no piece of
 a model holds white space after another character, which is checked, so no merge crosses stretches.
-Stretches that a task has not met yet are merged all at once: one row of numbers each, in arrays by
+The distinct stretches of a block are merged all at once: one row of numbers each, in arrays by
 length, with a sorted table of the pairs that make a piece; each step merges the best pair of every row.
-Stretches of more than CACHED_STRETCH characters go one by one, by a heap of their pairs.
+Stretches of more than LONG_STRETCH characters go one by one, by a heap of their pairs.
 
 Defined results: a null or empty text has no pieces but the end id, if that is asked for; equal
 texts get equal ids; texts are encoded whole, a stretch without white space of any length in
@@ -34,8 +34,7 @@ from .blocks import blocks, release_memory
 
 SPACE = "▁"
 STRETCH = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-CACHED_STRETCH = 48
-CACHE_SIZE = 150_000
+LONG_STRETCH = 48
 BLOCK = 1_000_000
 # Fixed values of the model format: kinds of pieces, and the model type of BPE.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE, BPE = 1, 2, 3, 4, 5, 6, 2
@@ -137,12 +136,12 @@ class Pairs:
         hit = (self.keys[at] == key) & (left >= 0) & (right >= 0)
         return np.where(hit, self.ranks[at], self.NONE), self.results[at]
 
-    def merged(self, stretches: list[str]) -> list[list[int]]:
-        """The numbers of each stretch after all merges, best rank first, the leftmost of equals."""
-        out: list[list[int]] = [[] for _ in stretches]
-        size = np.fromiter(map(len, stretches), np.int64, len(stretches))
+    def merged(self, stretches: list[str], size: np.ndarray) -> list[tuple[np.ndarray, ...]]:
+        """The numbers of stretches after all merges, best rank first, the leftmost of equals: parts of
+        (which stretches, numbers in rows, how many in each row)."""
+        out: list[tuple[np.ndarray, ...]] = []
         low = 0
-        for high in (4, 6, 8, 12, 18, 28, CACHED_STRETCH):
+        for high in (4, 6, 8, 12, 18, 28, LONG_STRETCH):
             for part in np.array_split(mine := np.flatnonzero((size > low) & (size <= high)),
                                        1 + len(mine) * high // 500_000):
                 if len(part):
@@ -151,7 +150,7 @@ class Pairs:
         return out
 
     def _merge(self, stretches: list[str], size: np.ndarray, width: int, names: np.ndarray,
-               out: list[list[int]]) -> None:
+               out: list[tuple[np.ndarray, ...]]) -> None:
         points = np.frombuffer("".join(stretches).encode("utf-32-le", "surrogatepass"), "<u4")
         place = np.arange(width + 1)
         now = np.full((len(size), width + 1), -1, np.int64)
@@ -162,11 +161,10 @@ class Pairs:
             at = rank.argmin(1)
             row = np.arange(len(names))
             able = rank[row, at] < self.NONE
-            for i in np.flatnonzero(~able):
-                out[names[i]] = now[i, :size[i]].tolist()
-            if not able.any():
-                return
             if not able.all():
+                out.append((names[~able], now[~able, :size[~able].max()], size[~able]))
+                if not able.any():
+                    return
                 now, rank, piece, size, names, at = (a[able] for a in (now, rank, piece, size, names, at))
                 row = np.arange(len(names))
             now[row, at] = piece[row, at]
@@ -232,7 +230,10 @@ class Codec:
             self.known = self._normal()
             self.bytes = {int(p[3:5], 16): i for i, (p, k) in enumerate(
                 zip(self.pieces, self.kinds)) if k == BYTE}
-            self.cache, self.special = {}, set()
+            self.special = set()
+            written = [f"{i} ".encode() for i in range(len(self.pieces))]
+            self.decimals = np.frombuffer(b"".join(written), np.uint8)
+            self.decimals_at = np.cumsum([0, *map(len, written)])
             self.widths = np.array([self._width(i) for i in range(len(self.pieces))], np.int64)
             self.pairs = self.pairs or Pairs(self.known, self.pieces)
             self.pairs.prepare()
@@ -262,7 +263,7 @@ class Codec:
     def merge(self, stretch: str) -> list[str]:
         """Merge neighbours by score, the leftmost of equals first, as long as a piece results."""
         parts, known = list(stretch), self.known
-        if len(parts) > CACHED_STRETCH:
+        if len(parts) > LONG_STRETCH:
             return self._merge_long(parts)
         pairs = [known.get(a + b) for a, b in zip(parts, parts[1:])]
         while True:
@@ -317,29 +318,36 @@ class Codec:
         """The ids of a character that is no piece."""
         return [self.bytes[b] for b in part.encode()] if self.by_byte else [self.unknown_id]
 
-    def known_stretches(self, texts: list[list[str]]) -> dict[str, tuple[bytes, str]]:
-        """Of each stretch its ids as 32-bit numbers and in writing. Short ones are remembered."""
-        found = self.cache
-        if len(found) > CACHE_SIZE:
-            found.clear()
-        new = {s for stretches in texts for s in stretches if s not in found}
-        short = [s for s in new if len(s) <= CACHED_STRETCH]
-        for s, own in zip(short, self.pairs.merged(short)):
-            if max(own) >= len(self.pieces):
-                own = [i for part in own for i in (
+    def stretch_ids(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the stretches end to end, and where each begins."""
+        length = np.fromiter(map(len, stretches), np.int64, len(stretches))
+        short = np.flatnonzero(length <= LONG_STRETCH)
+        parts = [(short[names], now, size) for names, now, size in self.pairs.merged(
+            [stretches[i] for i in short], length[short])]
+        # What has a character without a piece, or is long, one by one.
+        apart = {int(i): self.piece_ids(stretches[i]) for i in np.flatnonzero(length > LONG_STRETCH)}
+        count = np.zeros(len(stretches) + 1, np.int64)
+        for names, now, size in parts:
+            count[names + 1] = size
+            for k in np.flatnonzero((now >= len(self.pieces)).any(1)):
+                apart[int(names[k])] = [i for part in now[k, :size[k]].tolist() for i in (
                     [part] if part < len(self.pieces) else self.without_piece(chr(part - len(self.pieces))))]
-            found[s] = (np.array(own, np.int32).tobytes(), " ".join(map(str, own)))
-        for s in new:
-            if len(s) > CACHED_STRETCH:
-                own = self.piece_ids(s)
-                found[s] = (np.array(own, np.int32).tobytes(), " ".join(map(str, own)))
-        out = found
-        if any(len(s) > CACHED_STRETCH for s in new):
-            out = dict(found)
-            for s in new:
-                if len(s) > CACHED_STRETCH:
-                    del found[s]
-        return out
+        for i, ids in apart.items():
+            count[i + 1] = len(ids)
+        first = np.cumsum(count)
+        flat = np.zeros(first[-1], np.int32)
+        for names, now, size in parts:
+            place = np.arange(now.shape[1])
+            plain = (place < size[:, None]) & ~(now >= len(self.pieces)).any(1)[:, None]
+            flat[(first[names][:, None] + place)[plain]] = now[plain]
+        for i, ids in apart.items():
+            flat[first[i]:first[i + 1]] = ids
+        return flat, first
+
+    def written(self, ids: np.ndarray) -> str:
+        """The ids in decimal, with single spaces between."""
+        start = self.decimals_at[ids]
+        return self.decimals[ranges(start, self.decimals_at[ids + 1] - start)].tobytes()[:-1].decode()
 
     def decoded(self, ids: list[int]) -> str:
         """The pieces' text end to end, with white space as spaces."""
@@ -366,18 +374,29 @@ class Codec:
         led = first is not None and self.pieces[first].startswith(SPACE)
         return text[1:] if led and (self.prefix or self.squeeze) else text
 
-    def encode(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, str, np.ndarray]]:
-        """Of each text the ids, the ids in writing, and each piece's (begin, end) in source bytes."""
+    def encode(self, texts: list[bytes], writing: bool = True
+               ) -> Iterator[tuple[np.ndarray, str, np.ndarray]]:
+        """Of each text the ids, with ``writing`` the ids in decimal, and each piece's (begin, end) in
+        source bytes."""
         normal = [self.normalise(t) for t in texts]
-        stretches = [STRETCH.findall(text) for text, _ in normal]
-        known = self.known_stretches(stretches)
-        for (_, source), own in zip(normal, stretches):
-            found = [known[s] for s in own]
-            ids = np.frombuffer(b"".join([f[0] for f in found]), np.int32)
+        number: dict[str, int] = {}
+        codes = [np.array([number.setdefault(s, len(number)) for s in STRETCH.findall(text)], np.int64)
+                 for text, _ in normal]
+        flat, first = self.stretch_ids(list(number))
+        size = np.diff(first)
+        for (_, source), own in zip(normal, codes):
+            ids = flat[ranges(first[own], size[own])]
             width = self.widths[ids]
             end = np.cumsum(width)
             begin = end - np.maximum(width, 1)
-            yield ids, " ".join([f[1] for f in found]), np.stack([source[begin], source[end]], 1)
+            yield (ids, self.written(ids) if writing else "",
+                   np.stack([source[begin], source[end]], 1))
+
+
+def ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers start, start + 1, ... of each pair, end to end."""
+    before = np.cumsum(size) - size
+    return np.repeat(start - before, size) + np.arange(int(size.sum()))
 
 
 def _texts(batches: Iterator[pa.RecordBatch]):
@@ -390,7 +409,7 @@ def _encoded(batches, codec: Codec, end: bool, spans: bool):
     codec.prepare()
     for rows, texts in _texts(batches):
         ids, places = [], []
-        for text, (own, _, where) in zip(texts, codec.encode(texts)):
+        for text, (own, _, where) in zip(texts, codec.encode(texts, writing=False)):
             ids.append(np.append(own, codec.end_id).astype(np.int32) if end else own)
             if spans:
                 places.append(np.concatenate([where, np.full((int(end), 2), len(text))]))
@@ -398,7 +417,6 @@ def _encoded(batches, codec: Codec, end: bool, spans: bool):
         if spans:
             columns += [pa.array([p[:, k] for p in places], pa.list_(pa.int64())) for k in (0, 1)]
         yield pa.RecordBatch.from_arrays(columns, ["id", "ids", "begins", "ends"][:len(columns)])
-    codec.cache.clear()
     release_memory()
 
 
@@ -446,7 +464,6 @@ def _digests(batches, codec: Codec, end: bool):
             [rows.column(0), pa.array(columns[0], pa.int64()),
              *[pa.array(c, pa.string()) for c in columns[1:]]],
             ["id", "n_tokens", "ids_sha256", "decoded_sha256", "spans_sha256"])
-    codec.cache.clear()
     release_memory()
 
 
