@@ -165,6 +165,32 @@ def test_build_from_files_twice_gives_the_same_tables(spark, inbox, tmp_path):
         "profile_quality": 15, "profile_anomalies": 7}
 
 
+def test_models_and_tests_run_by_name_with_their_parents(spark, inbox, tmp_path):
+    root = scratch_dir(spark, "by-name")
+    text = planted.landed(spark)
+    assert pipeline.with_parents(["vendor_performance"]) == [
+        "silver_dq_evaluated", "silver_trips", "vendor_performance"]
+    built = pipeline.build(text, Store(spark, root), SETTINGS, select=["vendor_performance"])
+    assert list(built) == pipeline.with_parents(["vendor_performance"])
+    store = Store(spark, root)
+    with pytest.raises(KeyError):
+        store.read("gold", "demand_metrics")
+    alone = pipeline.build(text.limit(0), store, SETTINGS, select=["demand_metrics"], parents=False)
+    assert list(alone) == ["demand_metrics"]  # made of the stored trips
+    total = alone["demand_metrics"].agg({"kpi_008_trips_per_hour": "sum"}).first()[0]
+    assert total == planted.VALID
+    found = pipeline.check(store, SETTINGS, ["vendor_share_100", "duration_positive", "vendor_unique"])
+    assert {r.check: r.offending_rows for r in found.collect()} == {
+        "vendor_share_100": 0, "duration_positive": 0, "vendor_unique": 0}
+    store.replace("silver", "silver_trips", store.read("silver", "silver_trips").selectExpr(
+        "* EXCEPT (trip_duration)", "-1L AS trip_duration").limit(3))
+    assert pipeline.check(store, SETTINGS, ["duration_positive"]).first().offending_rows == 3
+    for wrong in (lambda: pipeline.check(store, SETTINGS, ["nothing"]),
+                  lambda: pipeline.build(text, store, SETTINGS, select=["nothing"])):
+        with pytest.raises(KeyError, match="nothing"):
+            wrong()
+
+
 def test_a_failed_replacement_keeps_the_old_table(spark, tmp_path):
     store = Store(spark, str(tmp_path / "tables"))
     old = store.replace("gold", "t", spark.range(3))

@@ -49,9 +49,9 @@ class RankIndex:
             "group", "bucket", "n", (F.col("before") + F.col("parent_before")).alias("before"), "total"),
             "rank-index")
 
-    def located(self, points: Mapping[str, float]) -> DataFrame:
-        """(group, label, total, weight, low, high): the two neighbours of each position and the share of
-        the upper one, as in linear interpolation."""
+    def _hits(self, points: Mapping[str, float]) -> DataFrame:
+        """(group, label, side, total, weight, v): the two neighbours of each position, below and above,
+        and the share of the upper one, as in linear interpolation."""
         wanted = F.array(*[F.struct(F.lit(label).alias("label"), F.lit(float(p)).alias("point"))
                            for label, p in points.items()])
         sides = F.array(F.struct(F.lit("low").alias("side"), F.floor("position").alias("rank")),
@@ -65,24 +65,31 @@ class RankIndex:
             .where(held)
             .select(F.col("group").alias("of"), F.col("bucket").alias("in_bucket"), "label", "total",
                     "weight", "side", (F.col("rank") - F.col("before")).alias("rank")))
-        inside = self._values.join(targets, (F.col("group") == F.col("of")) & (
-            F.shiftright("v", FINE) == F.col("in_bucket")))
-        order = Window.partitionBy("group", "label", "side").orderBy("v")
-        found = inside.withColumn("upto", F.sum("n").over(order)).where(
-            (F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n")))
-        return found.groupBy("group", "label", "total", "weight").agg(
+        place = (F.col("group") == F.col("of")) & (F.col("bucket") == F.col("in_bucket"))
+        # Each wanted bucket is ordered once, however many ranks it holds.
+        inside = self._values.withColumn("bucket", F.shiftright("v", FINE)).join(
+            targets.select("of", "in_bucket").distinct(), place, "left_semi")
+        order = Window.partitionBy("group", "bucket").orderBy("v")
+        return (inside.withColumn("upto", F.sum("n").over(order)).join(targets, place)
+                .where((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n")))
+                .select("group", "label", "side", "total", "weight", "v"))
+
+    def located(self, points: Mapping[str, float]) -> DataFrame:
+        """(group, label, total, weight, low, high) of each group with a value and each point."""
+        return self._hits(points).groupBy("group", "label", "total", "weight").agg(
             F.max(F.when(F.col("side") == "low", F.col("v"))).alias("low"),
             F.max(F.when(F.col("side") == "high", F.col("v"))).alias("high"))
 
     def percentiles(self, points: Mapping[str, float], scale: int = 1, places: int | None = None
                     ) -> DataFrame:
         """(keys, labels): one row for each group with a value, in units of 1/scale."""
-        value = interpolated(F.col("low").cast("double"), F.col("high").cast("double"),
-                             F.col("weight")) / F.lit(float(scale))
-        if places is not None:
-            value = F.round(value, places)
-        found = self.located(points).groupBy("group").agg(
-            *[F.max(F.when(F.col("label") == label, value)).alias(label) for label in points])
+        def value(label: str) -> Column:
+            mine = F.col("label") == label
+            low, high = (F.max(F.when(mine & (F.col("side") == side), F.col("v"))).cast("double")
+                         for side in ("low", "high"))
+            found = interpolated(low, high, F.max(F.when(mine, F.col("weight")))) / F.lit(float(scale))
+            return (found if places is None else F.round(found, places)).alias(label)
+        found = self._hits(points).groupBy("group").agg(*[value(label) for label in points])
         return found.select(*[F.col("group")[k].alias(k) for k in self.keys], *points)
 
     def added_to(self, groups: DataFrame, points: Mapping[str, float], places: int | None = None

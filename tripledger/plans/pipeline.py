@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -10,35 +12,109 @@ from pyspark.sql import functions as F
 from tripledger.config import Settings, gate
 from tripledger.operators.rules import evaluate, split
 from tripledger.operators.typing import typed
+from tripledger.plans import expectations as ex
 from tripledger.plans import marts, profile
 from tripledger.sources.tables import Store
 
-GOLD = ("trip_performance", "demand_metrics", "geographic_metrics", "vendor_performance",
-        "data_quality")
+@dataclass(frozen=True)
+class Model:
+    """A table of the build: what it is made of, and how. ``landed`` is the text of the files."""
 
+    layer: str
+    parents: tuple[str, ...]
+    make: Callable[..., DataFrame]  # of the settings and the parents
 
-def build(landed: DataFrame, store: Store, settings: Settings,
-          allow_withheld: bool = False) -> dict[str, DataFrame]:
-    """Evaluate once, store, and build every mart from the stored tables.
 
-    The gate runs before anything is read. The evaluated table is written, not cached: losing
-    an executor afterwards costs nothing, and the marts start from a short lineage.
+MODELS = {
+    "silver_dq_evaluated": Model("silver", ("landed",), lambda s, landed: evaluate(typed(landed), s)),
+    "silver_trips": Model("silver", ("silver_dq_evaluated",), lambda s, judged: split(judged, s)[0]),
+    "silver_trips_quarantine": Model("silver", ("silver_dq_evaluated",),
+                                     lambda s, judged: split(judged, s)[1]),
+    "trip_performance": Model("gold", ("silver_trips",), lambda s, valid: marts.trip_performance(
+        valid, s, allow_withheld=True)),  # the gate of the build has decided
+    "demand_metrics": Model("gold", ("silver_trips",), lambda s, valid: marts.demand_metrics(valid)),
+    "geographic_metrics": Model("gold", ("silver_trips",),
+                                lambda s, valid: marts.geographic_metrics(valid)),
+    "vendor_performance": Model("gold", ("silver_trips",),
+                                lambda s, valid: marts.vendor_performance(valid)),
+    "data_quality": Model("gold", ("silver_dq_evaluated", "silver_trips", "silver_trips_quarantine"),
+                          lambda s, judged, valid, rejected: marts.data_quality(judged, valid, rejected)),
+}
+GOLD = tuple(name for name, model in MODELS.items() if model.layer == "gold")
+
+# Checks by name: the tables they read, and the rows they object to.
+TESTS: dict[str, tuple[tuple[str, ...], Callable[..., DataFrame]]] = {
+    "silver_trips_id_not_null": (("silver_trips",), lambda s, t: ex.expect_not_null(t, "id")),
+    "silver_trips_id_unique": (("silver_trips",), lambda s, t: ex.expect_unique(t, "id")),
+    "quarantine_rule_accepted": (("silver_trips_quarantine",), lambda s, t: ex.expect_accepted(
+        t, "rule_id", ex.REJECTING_RULE_IDS)),
+    "vendor_unique": (("vendor_performance",), lambda s, t: ex.expect_unique(t, "vendor_id")),
+    "peak_hour_accepted": (("demand_metrics",), lambda s, t: ex.expect_accepted(
+        t, "kpi_009_peak_hour", range(24))),
+    "dimension_accepted": (("geographic_metrics",), lambda s, t: ex.expect_accepted(
+        t, "dimension", ex.DIMENSIONS)),
+    "duration_positive": (("silver_trips",), lambda s, t: ex.assert_duration_positive(t)),
+    "measures_non_negative": (("silver_trips",), lambda s, t: ex.assert_non_negative(t)),
+    "quarantine_has_reason": (("silver_trips_quarantine",), lambda s, t: ex.assert_has_reason(t)),
+    "reconciliation": (("data_quality",), lambda s, t: ex.assert_reconciliation(t)),
+    "vendor_share_100": (("vendor_performance",), lambda s, t: ex.assert_share_100(t)),
+    "no_overlap": (("silver_trips", "silver_trips_quarantine"), lambda s, a, b: ex.audit_overlap(a, b)),
+}
+
+
+def with_parents(names: Iterable[str]) -> list[str]:
+    """The models and all they are made of, in an order in which they can be built."""
+    wanted: set[str] = set()
+
+    def add(name: str) -> None:
+        if name not in MODELS:
+            raise KeyError(f"no model {name}; there are {', '.join(MODELS)}")
+        wanted.add(name)
+        for parent in MODELS[name].parents:
+            if parent != "landed" and parent not in wanted:
+                add(parent)
+    for name in names:
+        add(name)
+    return [name for name in MODELS if name in wanted]
+
+
+def build(landed: DataFrame, store: Store, settings: Settings, allow_withheld: bool = False,
+          select: Iterable[str] | None = None, parents: bool = True) -> dict[str, DataFrame]:
+    """Build all models, or those selected, and return the tables as stored.
+
+    Selected models are built with all they are made of; without ``parents`` these are taken as the
+    store has them. The gate runs before anything is read. Tables are written, not cached: losing an
+    executor afterwards costs nothing, and each model starts from a short lineage.
     """
     gate(settings, allow_withheld)
-    judged = store.replace("silver", "silver_dq_evaluated", evaluate(typed(landed), settings))
-    valid_rows, rejected_rows = split(judged, settings)
-    valid = store.replace("silver", "silver_trips", valid_rows)
-    rejected = store.replace("silver", "silver_trips_quarantine", rejected_rows)
-    gold = {
-        "trip_performance": marts.trip_performance(valid, settings, allow_withheld),
-        "demand_metrics": marts.demand_metrics(valid),
-        "geographic_metrics": marts.geographic_metrics(valid),
-        "vendor_performance": marts.vendor_performance(valid),
-        "data_quality": marts.data_quality(judged, valid, rejected),
-    }
-    tables = {name: store.replace("gold", name, rows) for name, rows in gold.items()}
-    return {"silver_dq_evaluated": judged, "silver_trips": valid,
-            "silver_trips_quarantine": rejected, **tables}
+    chosen = list(MODELS) if select is None else list(select)
+    order = with_parents(chosen) if parents else [m for m in with_parents(chosen) if m in chosen]
+    tables: dict[str, DataFrame] = {}
+
+    def parent(name: str) -> DataFrame:
+        if name == "landed":
+            return landed
+        return tables[name] if name in tables else store.read(MODELS[name].layer, name)
+    for name in order:
+        model = MODELS[name]
+        rows = model.make(settings, *[parent(p) for p in model.parents])
+        tables[name] = store.replace(model.layer, name, rows)
+    return tables
+
+
+def check(store: Store, settings: Settings, select: Iterable[str] | None = None) -> DataFrame:
+    """(check, offending_rows) of all tests, or of those selected, over the tables as stored."""
+    names = list(TESTS) if select is None else list(select)
+    if unknown := [n for n in names if n not in TESTS]:
+        raise KeyError(f"no test {', '.join(unknown)}; there are {', '.join(TESTS)}")
+    read: dict[str, DataFrame] = {}
+    found = {}
+    for name in names:
+        tables, offending = TESTS[name]
+        for table in tables:
+            read[table] = read.get(table) or store.read(MODELS[table].layer, table)
+        found[name] = offending(settings, *[read[t] for t in tables])
+    return ex.offences(found)
 
 
 def write_profile(landed: DataFrame, judged: DataFrame, store: Store, settings: Settings,

@@ -16,6 +16,7 @@ from functools import reduce
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 LATEST = 20  # entries a reader looks back over for one that is finished
 
@@ -51,12 +52,14 @@ class Store:
 
     def _entry(self, layer: str, name: str, number: int) -> dict | None:
         """What a version consists of; None if its writer died over it or is still writing."""
-        _, target = self._file(f"{self.root}/_log/{layer}/{name}/{number:012}.json")
-        text = "\n".join(r.value for r in self.spark.read.text(target.toString(), wholetext=True).collect())
+        files, target = self._file(f"{self.root}/_log/{layer}/{name}/{number:012}.json")
+        stream = files.open(target)
         try:
-            return json.loads(text)
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         except ValueError:
             return None
+        finally:
+            stream.close()
 
     def current(self, layer: str, name: str) -> tuple[int, dict | None]:
         """The number last taken and the last finished entry."""
@@ -86,10 +89,10 @@ class Store:
         number, _ = self.current(layer, name)
         version = self._write(layer, name, rows, partition_by)
         parts = {p: version for p in self._folders(layer, name, version, len(partition_by))}
-        self.commit(layer, name, number + 1, {
-            "schema": rows.schema.json(), "partition_by": list(partition_by),
-            "version": version, "parts": parts})
-        return self.read(layer, name)
+        entry = {"schema": rows.schema.json(), "partition_by": list(partition_by),
+                 "version": version, "parts": parts}
+        self.commit(layer, name, number + 1, entry)
+        return self._table(layer, name, entry)
 
     def replace_partitions(self, layer: str, name: str, rows: DataFrame) -> DataFrame:
         """Replace the partitions that ``rows`` has, and leave the others of the table as they are."""
@@ -99,8 +102,9 @@ class Store:
         version = self._write(layer, name, rows.select(*json_columns(before["schema"])),
                               before["partition_by"])
         parts = {p: version for p in self._folders(layer, name, version, len(before["partition_by"]))}
-        self.commit(layer, name, number + 1, before | {"parts": before["parts"] | parts})
-        return self.read(layer, name)
+        entry = before | {"parts": before["parts"] | parts}
+        self.commit(layer, name, number + 1, entry)
+        return self._table(layer, name, entry)
 
     def read(self, layer: str, name: str) -> DataFrame:
         """The current version; also registered as the view ``layer_name`` for SQL. A filter on a
@@ -108,10 +112,12 @@ class Store:
         _, entry = self.current(layer, name)
         if entry is None:
             raise KeyError(f"no table {layer}/{name} below {self.root}")
+        return self._table(layer, name, entry)
+
+    def _table(self, layer: str, name: str, entry: dict) -> DataFrame:
         by_version: dict[str, list[str]] = {}
         for part, version in sorted(entry["parts"].items()):
             by_version.setdefault(version, []).append(part)
-        from pyspark.sql.types import StructType
         schema = StructType.fromJson(json.loads(entry["schema"]))
         frames = []
         for version, parts in (by_version or {entry["version"]: [""]}).items():
