@@ -89,7 +89,10 @@ def test_marts_of_batches_equal_a_whole_build(spark, states):
     so_far = None
     for batch in batches:
         assert state.update(batch)
-        so_far = batch if so_far is None else so_far.unionByName(batch)
+        if so_far is None:
+            so_far = batch
+            continue
+        so_far = so_far.unionByName(batch)
         want, got = whole(so_far), state.marts()
         for name, table in want.items():
             result = compare(table, got[name].select(*table.columns)).first()
