@@ -89,15 +89,13 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(
             ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
     base = F.filter("spans", lambda s: s["base"])
-    kinds = F.transform(base, lambda s: s["kind"])
+    added = F.filter("spans", lambda s: ~s["base"])
 
-    def number(kind: str):
-        return F.size(F.filter(kinds, lambda k: k == kind)).cast("bigint").alias(f"n_{kind}")
-    counts = [number(kind) for kind in pii.BASE]
-    added = F.transform(F.filter("spans", lambda s: ~s["base"]), lambda s: s["kind"])
+    def number(spans, kind: str, name: str):
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint").alias(name)
+    counts = [number(base, kind, f"n_{kind}") for kind in pii.BASE]
     counts.append(F.size(added).cast("bigint").alias("n_added"))
-    counts += [F.size(F.filter(added, lambda k, kind=kind: k == kind)).cast("bigint")
-               .alias(f"n_added_{kind}") for kind in pii.KINDS]
+    counts += [number(added, kind, f"n_added_{kind}") for kind in pii.KINDS]
     return found.select(F.col("id").alias("doc_id"), *counts,
                         F.sha2(joined(base), 256).alias("base_sha256"),
                         joined(F.col("spans")).alias("spans"))
