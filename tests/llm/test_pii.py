@@ -160,3 +160,49 @@ def test_candidates_without_proof_are_no_counter_examples():
     found = pii.examples("of 219-09-9998 and 219-00-9998, looked at noon. Then")
     assert [y for f, y in found if f[0] == pii.KINDS.index("id")] == [1, 0]
     assert [y for f, y in found if f[0] == pii.KINDS.index("email")] == [0]
+
+
+def test_examples_of_all_documents_are_counted(spark):
+    """22,000 documents, none of which is left out; copies of a text count as often as they are there."""
+    def text(i):
+        return f"words {i % 500} mail a.{i % 500}@b.example.com and 219-09-9998" if i % 20 == 0 else f"words {i}"
+    docs = spark.range(22_000).rdd.map(lambda r: (r.id, text(r.id))).toDF("doc_id long, text string")
+    added = spark.createDataFrame([(None, text(0))], docs.schema)
+    rows = pii.scanned(docs.union(added), "doc_id", "text")
+    found = pii.counted(rows)
+    expected = {}
+    for i in range(0, 22_000, 20):
+        if i < 500:
+            learned = pii.examples(text(i))
+            for x, (_, y) in zip(pii.cells([f for f, _ in learned]), learned):
+                expected.setdefault(x.tobytes(), [0, 0])[y] += 44
+    got = {}
+    for r in found.collect():
+        own = got.setdefault(bytes(r.cells), [0, 0])
+        own[0] += r.zeros
+        own[1] += r.ones
+    assert got == expected
+    assert {r.apart for r in found.select("apart").distinct().collect()} == {False, True}
+
+
+def test_trees_are_the_same_in_any_order_and_find_pairs(spark):
+    """Group 1 is decided by two features together, group 0 the other way round; group 2 has one label."""
+    import numpy as np
+
+    from tripledger.llm import trees
+    draw = np.random.default_rng(5)
+    x = draw.integers(0, 8, (900, 5)).astype(np.uint8)
+    x[:, 0] = np.arange(900) % 3
+    label = np.where(x[:, 0] == 2, 1, ((x[:, 1] > 3) ^ (x[:, 3] > 5) ^ (x[:, 0] == 1)).astype(int))
+    rows = spark.createDataFrame([(bytearray(a.tobytes()), int(1 - y), int(y)) for a, y in zip(x, label)],
+                                 "cells binary, zeros bigint, ones bigint")
+    models = [trees.grown(rows.repartition(n).sortWithinPartitions("cells"), 3, 5) for n in (1, 5)]
+    margins = [m.margin(x) for m in models]
+    assert np.array_equal(*margins)
+    assert ((margins[0] > 0) == label).mean() > 0.98
+    # The same sums by hand: the first round's values of group 2, whose examples are all alike.
+    p = label.mean()
+    n = (x[:, 0] == 2).sum()
+    first = trees.Boosted(models[0].base, models[0].trees[:1]).margin(x[x[:, 0] == 2][:1])[0]
+    step = trees.RATE * n * (1 - p) / (n * p * (1 - p) + trees.RIDGE)
+    assert first == pytest.approx(models[0].base + step, abs=1e-2)

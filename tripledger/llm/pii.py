@@ -6,14 +6,16 @@ version, identity and account numbers, keys and tokens. Spans may overlap. Each
 features of its format (length, digits, groups, separators, check digit, octets, entropy) and of its
 context (neighbouring characters, words before it).
 
-Gradient-boosted trees are trained here, on at most EXAMPLES candidates of at most SAMPLE documents
-(documented bounds, both by hash). There are no labels for personal data, so examples come from what validates itself: base
-matches, account numbers by their remainder to 97, identity numbers by their area, group and serial
+Texts are read once: a task writes the base spans of each row, its candidates with their features, and its
+examples to a table, and gradient-boosted trees are grown by Spark over the examples of all documents,
+counted by their features. A feature is one of a fixed row of cells, so equal examples are one counted row.
+There are no labels for personal data, so examples come from what validates itself: base matches, account numbers by their remainder to 97, identity numbers by their area, group and serial
 rules, and keys after a word that announces one. Base matches are also rewritten in the ways the loose
 patterns know, and for the kinds without a base pattern, forms are made up at the place of a match.
 Counter-examples are candidates that fail such a rule, and matches and forms broken on purpose; other
-candidates of the corpus are no examples, as nothing tells what they are. The threshold is the lowest at which the precision on candidates that the trees
-were not fitted on reaches TARGET_PRECISION. Base spans stay in any case; a candidate above the
+candidates of the corpus are no examples, as nothing tells what they are. Texts are dealt by a hash: the
+trees are grown on all examples of three quarters of them, and the threshold is the lowest step of a score
+at which the precision on all examples of the other quarter reaches TARGET_PRECISION. Base spans stay in any case; a candidate above the
 threshold is added where it overlaps no span.
 
 Defined results: a null or empty text has no spans; equal texts get equal spans; texts are searched
@@ -26,22 +28,25 @@ from __future__ import annotations
 
 import random
 import re
+import zlib
 from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import trees
 from .blocks import blocks, per_row
-from .labelled import first_by_hash
-from .trees import Boosted
+from .store import stored
+from .trees import CELLS, Boosted
 
-SAMPLE = 20_000
-EXAMPLES = 300_000
 TARGET_PRECISION = 0.98
+APART = 4  # one in so many texts is for the threshold
+STEPS = 4096  # of a score, for the threshold
 KINDS = ("email", "ip", "card", "phone", "id", "account", "key")
 BASE = KINDS[:4]
 # Fixed patterns of the base kinds; the local part of an address is found from its sign leftward.
@@ -70,6 +75,10 @@ CUES = {
     "key": ("token", "key", "secret", "passw", "auth"),
 }
 DIGITS = re.compile(r"[0-9]")
+# Where the cells of a number begin, and those of the entropy, which is feature ENTROPY of FEATURES.
+SIZES = np.array([*range(1, 21), 22, 24, 28, 32, 36, 40, 48, 64, 80, 128, 256], float)
+BITS = np.arange(1, CELLS) / 5
+FEATURES, ENTROPY = 22, 15
 
 
 def luhn(digits: str) -> bool:
@@ -191,6 +200,14 @@ def features(text: str, kind: str, start: int, end: int) -> list[float]:
             float(kind == "id" and identity(span)), cues[KINDS.index(kind)], sum(cues)]
 
 
+def cells(found: list[list[float]]) -> np.ndarray:
+    """The cells of lists of features."""
+    x = np.array(found, float).reshape(-1, FEATURES)
+    out = np.searchsorted(SIZES, x, side="right")
+    out[:, ENTROPY] = np.searchsorted(BITS, x[:, ENTROPY], side="right")
+    return out.astype(np.uint8)
+
+
 def rewritten(kind: str, span: str, draw: random.Random) -> str:
     """A genuine span in a form that only the loose patterns know."""
     if kind == "email":
@@ -276,10 +293,12 @@ def _validated(text: str, kind: str, start: int, end: int) -> int | None:
     return None
 
 
-def examples(text: str, seed: int = 1) -> list[tuple[list[float], int]]:
-    """Self-validated examples from one text: (features, label)."""
+def examples(text: str, seed: int = 1,
+             found: tuple[list, list] | None = None) -> list[tuple[list[float], int]]:
+    """Self-validated examples from one text: (features, label). ``found`` are the text's proposals and
+    loose matches, if they are known."""
     out, draw = [], random.Random(len(text) * 31 + seed)
-    found = proposals(text)
+    found, likely = found or (proposals(text), loose(text))
     taken = Taken((a, b) for _, a, b, fits in found if fits)
     for kind, a, b, fits in found:
         if not fits and _hopeless(kind, text[a:b]):
@@ -302,7 +321,7 @@ def examples(text: str, seed: int = 1) -> list[tuple[list[float], int]]:
                                              if p[3] or not _hopeless(p[0], changed[p[1]:p[2]])]:
                 if x < at + len(new) and y > at:
                     out.append((features(changed, k, x, y), label if k == own else 0))
-    for kind, a, b in loose(text):
+    for kind, a, b in likely:
         if not taken.meets(a, b):
             label = _validated(text, kind, a, b)
             if label is not None:
@@ -321,83 +340,138 @@ def _wanted(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return per_row(hit, offsets) > 0
 
 
-def _examples(batches):
-    for _, data, offsets in blocks(batches, "text"):
-        raw, rows = data.tobytes(), np.flatnonzero(_wanted(data, offsets))
-        found = [e for i in rows for e in examples(raw[offsets[i]:offsets[i + 1]].decode())]
+SPAN = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
+CANDIDATE = pa.struct([*SPAN, ("cells", pa.binary())])
+COUNTED = pa.struct([("cells", pa.binary()), ("zeros", pa.int64()), ("ones", pa.int64())])
+SCANNED = ("apart boolean, base array<struct<kind: string, start: bigint, end: bigint>>, "
+           "more array<struct<kind: string, start: bigint, end: bigint, cells: binary>>, "
+           "examples array<struct<cells: binary, zeros: bigint, ones: bigint>>")
+
+
+def _scanned(batches):
+    for rows, data, offsets in blocks(batches, "text"):
+        raw, apart = data.tobytes(), np.zeros(len(rows), bool)
+        base, more, shown = ([[] for _ in range(len(rows))] for _ in range(3))
+        for i in np.flatnonzero(_wanted(data, offsets)):
+            own = raw[offsets[i]:offsets[i + 1]]
+            text = own.decode()
+            sure, likely, found = searched(text)
+            base[i] = [dict(zip(("kind", "start", "end"), c)) for c in sure]
+            places = cells([features(text, *c) for c in likely])
+            more[i] = [dict(zip(("kind", "start", "end", "cells"), (*c, x.tobytes())))
+                       for c, x in zip(likely, places)]
+            learned = examples(text, found=found)
+            counted = Counter((x.tobytes(), y) for x, (_, y) in
+                              zip(cells([f for f, _ in learned]), learned))
+            shown[i] = [{"cells": x, "zeros": n * (1 - y), "ones": n * y} for (x, y), n in counted.items()]
+            apart[i] = zlib.crc32(own) % APART == 0
         yield pa.RecordBatch.from_arrays(
-            [pa.array([f for f, _ in found], pa.list_(pa.float64())),
-             pa.array([y for _, y in found], pa.int32())], ["features", "label"])
-
-
-def learn(docs: DataFrame, key: str, text: str, n: int = SAMPLE) -> tuple[Boosted, float]:
-    """Trees and threshold from the candidates of at most ``n`` documents."""
-    rows = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text"))
-    few = first_by_hash(rows.select("id").where("id IS NOT NULL").distinct(), "id", n)
-    found = (rows.join(F.broadcast(few), "id").select("text")
-             .mapInArrow(_examples, "features array<double>, label int")
-             .orderBy(F.xxhash64("features", "label"), "features", "label").limit(EXAMPLES)
-             .toPandas())
-    if not len(found):
-        return Boosted(-8.0), 2.0
-    # A fixed order, whatever order the rows came in.
-    x, label = map(np.array, zip(*sorted(zip(map(tuple, found["features"]), found["label"]))))
-    order = np.random.default_rng(4).permutation(len(label))
-    fitted, kept = order[len(order) // 4:], order[:len(order) // 4]
-    model = trees.fit(x[fitted], label[fitted])
-    return model, threshold(model.score(x[kept]), label[kept])
-
-
-def threshold(score: np.ndarray, label: np.ndarray) -> float:
-    """The lowest score from which on the precision is TARGET_PRECISION; 2 if there is none."""
-    order = np.argsort(-score, kind="stable")
-    precise = np.cumsum(label[order]) / np.arange(1, len(order) + 1)
-    last = np.ones(len(order), bool)
-    last[:-1] = score[order][1:] < score[order][:-1]  # a threshold takes all equal scores
-    good = np.flatnonzero(last & (precise >= TARGET_PRECISION))
-    return float(max(score[order][good[-1]], 0.5)) if len(good) else 2.0
+            [rows.column(0), pa.array(apart), pa.array(base, pa.list_(SPAN)),
+             pa.array(more, pa.list_(CANDIDATE)), pa.array(shown, pa.list_(COUNTED))],
+            ["id", "apart", "base", "more", "examples"])
 
 
-def spans(text: str, model: Boosted, least: float) -> tuple[list, list]:
-    """Base spans and added spans (kind, start, end) of a whole text."""
-    found = proposals(text)
-    base = sorted(((k, a, b) for k, a, b, fits in found if fits),
+def scanned(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(id, apart, base, more, examples) of every row: base spans, candidates with their cells, and
+    counted examples. ``apart`` marks texts whose examples are for the threshold."""
+    kind = dict(docs.dtypes)[key]
+    return stored(docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text"))
+                  .mapInArrow(_scanned, f"id {kind}, {SCANNED}"), "personal-data")
+
+
+def counted(rows: DataFrame) -> DataFrame:
+    """(apart, cells, zeros, ones): all examples of all rows with a key, counted."""
+    found = rows.where("id IS NOT NULL").select("apart", F.inline("examples"))
+    # Dealt to as many parts as can be read at once: each round of the trees reads them.
+    return stored(found.groupBy("apart", "cells").agg(F.sum("zeros").alias("zeros"),
+                                                      F.sum("ones").alias("ones"))
+                  .repartition(rows.sparkSession.sparkContext.defaultParallelism, "cells"),
+                  "personal-data-examples")
+
+
+def _steps(batches, model: Boosted):
+    """(step, zeros, ones): counted examples by their score's step."""
+    for batch in batches:
+        x = trees.matrix(batch.column(0), FEATURES)
+        step = (model.score(x) * STEPS).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(step), batch.column(1), batch.column(2)],
+                                         ["step", "zeros", "ones"])
+
+
+def learn(found: DataFrame) -> tuple[Boosted, float]:
+    """Trees and threshold from all counted examples."""
+    model = trees.grown(found.where("NOT apart"), len(KINDS), FEATURES)
+    steps = (found.where("apart").select("cells", "zeros", "ones")
+             .mapInArrow(lambda batches: _steps(batches, model), "step bigint, zeros bigint, ones bigint")
+             .groupBy("step").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"))
+             .orderBy(F.desc("step")).collect())  # at most STEPS + 1
+    zeros, ones = (np.array([r[k] for r in steps], float) for k in ("zeros", "ones"))
+    return model, threshold([r.step / STEPS for r in steps], zeros, ones)
+
+
+def threshold(scores: list[float], zeros: np.ndarray, ones: np.ndarray) -> float:
+    """Of falling scores, with the examples of each label there, the lowest from which on the precision
+    is TARGET_PRECISION; 2 if there is none."""
+    right = np.cumsum(ones)
+    good = np.flatnonzero(right >= TARGET_PRECISION * (right + np.cumsum(zeros)))
+    return max(scores[good[-1]], 0.5) if len(good) else 2.0
+
+
+def searched(text: str) -> tuple[list, list, tuple[list, list]]:
+    """Base spans in order, candidates to be judged, and what both come from: the base patterns' matches
+    and the loose ones'."""
+    found = proposals(text), loose(text)
+    base = sorted(((k, a, b) for k, a, b, fits in found[0] if fits),
                   key=lambda s: (s[1], KINDS.index(s[0])))
-    more = loose(text) + [(k, a, b) for k, a, b, fits in found
-                          if not fits and not _hopeless(k, text[a:b])]
-    if not more:
-        return base, []
-    score = model.score(np.array([features(text, *c) for c in more]))
-    ranked = sorted((-s, a, a - b, k, b) for s, (k, a, b) in zip(score.tolist(), more) if s >= least)
+    return base, found[1] + [(k, a, b) for k, a, b, fits in found[0]
+                             if not fits and not _hopeless(k, text[a:b])], found
+
+
+def accepted(base: list, more: list, score: list[float], least: float) -> list:
+    """The candidates that are added to the base spans."""
+    ranked = sorted((-s, a, a - b, k, b) for s, (k, a, b) in zip(score, more) if s >= least)
     added, taken = [], Taken((a, b) for _, a, b in base)
     for _, a, _, k, b in ranked:
         if not taken.meets(a, b):
             added.append((k, a, b))
             taken.add(a, b)
-    return base, added
+    return added
+
+
+def spans(text: str, model: Boosted, least: float) -> tuple[list, list]:
+    """Base spans and added spans (kind, start, end) of a whole text."""
+    base, more, _ = searched(text)
+    score = model.score(cells([features(text, *c) for c in more]))
+    return base, accepted(base, more, score.tolist(), least)
+
+
+PART = pa.struct([*SPAN, ("base", pa.bool_())])
+
+
+def _judged(batches, model: Boosted, least: float):
+    for batch in batches:
+        ids, base, more = batch.columns
+        x = trees.matrix(pc.struct_field(more.flatten(), "cells"), FEATURES)
+        score, at, out = model.score(x).tolist(), 0, []
+        for sure, likely in zip(base.to_pylist(), more.to_pylist()):
+            sure = [(s["kind"], s["start"], s["end"]) for s in sure]
+            likely = [(s["kind"], s["start"], s["end"]) for s in likely]
+            added = accepted(sure, likely, score[at:at + len(likely)], least)
+            at += len(likely)
+            every = [(*s, True) for s in sure] + [(*s, False) for s in added]
+            every.sort(key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
+            out.append([dict(zip(("kind", "start", "end", "base"), s)) for s in every])
+        yield pa.RecordBatch.from_arrays([ids, pa.array(out, pa.list_(PART))], ["id", "spans"])
 
 
 def personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, spans array of (kind, start, end, base)) of every row, in code points."""
-    model, least = learn(docs, key, text)
-    kind = dict(docs.dtypes)[key]
-    part = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()),
-                      ("base", pa.bool_())])
-
-    def run(batches):
-        for rows, data, offsets in blocks(batches, "text"):
-            raw, out = data.tobytes(), [[] for _ in range(len(rows))]
-            for i in np.flatnonzero(_wanted(data, offsets)):
-                base, added = spans(raw[offsets[i]:offsets[i + 1]].decode(), model, least)
-                every = [(k, a, b, True) for k, a, b in base] + [(k, a, b, False)
-                                                                 for k, a, b in added]
-                every.sort(key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
-                out[i] = [dict(zip(("kind", "start", "end", "base"), s)) for s in every]
-            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(out, pa.list_(part))],
-                                             ["id", "spans"])
-    return (docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text"))
-            .mapInArrow(run, f"id {kind}, spans array<struct<kind: string, start: bigint, "
-                             "end: bigint, base: boolean>>"))
+    rows = scanned(docs, key, text)
+    model, least = learn(counted(rows))
+    return rows.select("id", "base", "more").mapInArrow(
+        lambda batches: _judged(batches, model, least),
+        f"id {dict(docs.dtypes)[key]}, "
+        "spans array<struct<kind: string, start: bigint, end: bigint, base: boolean>>")
 
 
 def redacted(text: str, found: list) -> str:

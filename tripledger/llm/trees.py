@@ -1,85 +1,129 @@
-"""Gradient-boosted regression trees with logistic loss, for a training set of bounded size."""
+"""Gradient-boosted trees with logistic loss, grown by Spark jobs over all examples.
+
+An example is a row of cells, one byte below CELLS for each feature, with the numbers of examples of
+label 0 and of label 1 that have these cells. The first cell is its group. A round adds a tree for each
+group. For each level of a round's trees one job adds up gradients and curvatures by node, feature and
+cell; only these sums reach the driver, at most groups x nodes x features x CELLS of them whatever the
+number of examples, and the best cut of each node is taken from them. They are sums of whole numbers of
+UNIT, so the trees are the same in any order of rows and any number of tasks.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .store import settings
 
-BINS = 32
+CELLS = 32
+DEPTH = 3
+ROUNDS = 20
+RATE = 0.3
+RIDGE = 1.0
+LEAST_GAIN = 1e-6
+UNIT = 1 << 20
+NEVER = 255  # a cut that no cell is beyond
+
+Levels = tuple[np.ndarray, np.ndarray]
 
 
 @dataclass
 class Boosted:
-    """Trees as arrays: feature (-1 in a leaf), cut, left child, right child, value."""
+    """For each round feature and cut by group and inner node, and value by group and leaf."""
 
     base: float = 0.0
-    trees: list[np.ndarray] = field(default_factory=list)
+    trees: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=list)
 
     def margin(self, x: np.ndarray) -> np.ndarray:
         out = np.full(len(x), self.base)
-        for tree in self.trees:
-            node = np.zeros(len(x), np.int64)
-            while True:
-                feature = tree[node, 0].astype(np.int64)
-                inner = np.flatnonzero(feature >= 0)
-                if not len(inner):
-                    break
-                right = x[inner, feature[inner]] > tree[node[inner], 1]
-                node[inner] = tree[node[inner], np.where(right, 3, 2)].astype(np.int64)
-            out += tree[node, 4]
+        for feature, cut, value in self.trees:
+            out += value[x[:, 0], nodes(x, (feature, cut), DEPTH)]
         return out
 
     def score(self, x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.margin(x), -60, 60)))
 
 
-def _best_cut(x, gradient, curvature, cuts, ridge):
-    """(gain, feature, cut) of the best split of these rows."""
-    def worth(g, h):
-        return g * g / (h + ridge)
-    whole = worth(gradient.sum(), curvature.sum())
-    best = (1e-6, -1, 0.0)
-    for feature, places in enumerate(cuts):
-        if not len(places):
-            continue
-        at = np.searchsorted(places, x[:, feature])
-        g = np.cumsum(np.bincount(at, gradient, len(places) + 1))
-        h = np.cumsum(np.bincount(at, curvature, len(places) + 1))
-        gain = worth(g[:-1], h[:-1]) + worth(g[-1] - g[:-1], h[-1] - h[:-1]) - whole
-        k = int(np.argmax(gain))
-        if gain[k] > best[0]:
-            best = (float(gain[k]), feature, float(places[k]))
-    return best
-
-
-def fit(x: np.ndarray, label: np.ndarray, rounds: int = 60, depth: int = 3, rate: float = 0.2,
-        ridge: float = 1.0) -> Boosted:
-    """Boosted trees; the cuts of a feature are its quantiles."""
-    if not len(label) or label.min() == label.max():
-        return Boosted(float(np.sign(label.mean() - 0.5) * 8) if len(label) else -8.0)
-    share = label.mean()
-    model = Boosted(float(np.log(share / (1 - share))))
-    cuts = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, BINS + 1)[:-1], method="lower"))
-            for f in range(x.shape[1])]
-    margin = np.full(len(x), model.base)
-    for _ in range(rounds):
-        p = 1 / (1 + np.exp(-margin))
-        gradient, curvature = p - label, np.maximum(p * (1 - p), 1e-6)
-        nodes, waiting = [], [(np.arange(len(x)), 0, -1, 0)]
-        while waiting:
-            rows, level, parent, side = waiting.pop()
-            place = len(nodes)
-            if parent >= 0:
-                nodes[parent][side] = place
-            gain, feature, cut = (_best_cut(x[rows], gradient[rows], curvature[rows], cuts, ridge)
-                                  if level < depth else (0, -1, 0.0))
-            value = -rate * gradient[rows].sum() / (curvature[rows].sum() + ridge)
-            nodes.append([feature, cut, 0, 0, value])
-            if feature >= 0:
-                right = x[rows, feature] > cut
-                waiting += [(rows[right], level + 1, place, 3), (rows[~right], level + 1, place, 2)]
-        tree = np.array(nodes, float)
-        model.trees.append(tree)
-        margin += Boosted(0.0, [tree]).margin(x)
+def nodes(x: np.ndarray, tree: Levels, levels: int) -> np.ndarray:
+    """The node of each row after so many levels, from 0 on in each level."""
+    feature, cut = tree
+    row, group, node = np.arange(len(x)), x[:, 0], np.zeros(len(x), np.int64)
+    for level in range(levels):
+        at = (1 << level) - 1 + node
+        node = 2 * node + (x[row, feature[group, at]] > cut[group, at])
+    return node
+
+
+def matrix(column: pa.Array, features: int) -> np.ndarray:
+    """A column of cells as a matrix of bytes."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, features)
+
+
+def _sums(batches: Iterator[pa.RecordBatch], model: Boosted, tree: Levels, level: int, groups: int,
+          features: int) -> Iterator[pa.RecordBatch]:
+    size = (groups << level) * features * CELLS
+    total = np.zeros((2, size))
+    for batch in batches:
+        x = matrix(batch.column(0), features)
+        zeros, ones = (batch.column(i).to_numpy() for i in (1, 2))
+        p, n = model.score(x), zeros + ones
+        node = (x[:, 0].astype(np.int64) << level) + nodes(x, tree, level)
+        place = ((node[:, None] * features + np.arange(features)) * CELLS + x).ravel()
+        for k, amount in enumerate((p * n - ones, np.maximum(p * (1 - p), 1e-6) * n)):
+            total[k] += np.bincount(place, np.repeat(np.rint(amount * UNIT), features), size)
+    found = np.flatnonzero(total.any(0))
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(found), *(pa.array(t[found].astype(np.int64)) for t in total)], ["place", "g", "h"])
+
+
+def _worth(g: np.ndarray, h: np.ndarray) -> np.ndarray:
+    return g * g / (h + RIDGE)
+
+
+def _cuts(g: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Feature, cut and values of both sides for each node, of sums [node, feature, cell]."""
+    left_g, left_h = np.cumsum(g, 2), np.cumsum(h, 2)
+    whole_g, whole_h = left_g[:, :1, -1:], left_h[:, :1, -1:]
+    gain = (_worth(left_g, left_h) + _worth(whole_g - left_g, whole_h - left_h)
+            - _worth(whole_g, whole_h)).reshape(len(g), -1)
+    best = gain.argmax(1)
+    split = gain[np.arange(len(g)), best] > LEAST_GAIN
+    feature = np.where(split, best // CELLS, 0)
+    cut = np.where(split, best % CELLS, NEVER)
+    at = np.arange(len(g)), feature, np.where(split, cut, CELLS - 1)
+    low_g, low_h = left_g[at], left_h[at]
+    values = [-RATE * g / (h + RIDGE) for g, h in
+              ((low_g, low_h), (whole_g[:, 0, 0] - low_g, whole_h[:, 0, 0] - low_h))]
+    return feature, cut, np.stack(values, 1)
+
+
+def grown(examples: DataFrame, groups: int, features: int) -> Boosted:
+    """Trees over all of the (cells, zeros, ones)."""
+    zeros, ones = (n or 0 for n in examples.agg(F.sum("zeros"), F.sum("ones")).first())
+    if not zeros or not ones:
+        return Boosted(8.0 if ones else -8.0)
+    model = Boosted(float(np.log(ones / zeros)))
+    with settings(examples.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": "10000"}):
+        for _ in range(ROUNDS):
+            feature = np.zeros((groups, (1 << DEPTH) - 1), np.int64)
+            cut = np.full(feature.shape, NEVER)
+            for level in range(DEPTH):
+                parts = examples.select("cells", "zeros", "ones").mapInArrow(
+                    lambda batches, tree=(feature, cut), level=level: _sums(
+                        batches, model, tree, level, groups, features),
+                    "place bigint, g bigint, h bigint")
+                found = parts.groupBy("place").agg(F.sum("g"), F.sum("h")).toArrow()
+                sums = np.zeros((2, (groups << level) * features * CELLS))
+                sums[:, found.column(0).to_numpy()] = [found.column(k).to_numpy() for k in (1, 2)]
+                own_feature, own_cut, value = _cuts(
+                    *(sums / UNIT).reshape(2, groups << level, features, CELLS))
+                inner = slice((1 << level) - 1, (2 << level) - 1)
+                feature[:, inner] = own_feature.reshape(groups, -1)
+                cut[:, inner] = own_cut.reshape(groups, -1)
+            model.trees.append((feature, cut, value.reshape(groups, -1)))
     return model
