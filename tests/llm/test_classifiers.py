@@ -113,3 +113,30 @@ def test_empty_tables(tables, operator):
     _, _, docs, marks = tables
     assert operator(docs.limit(0), marks).count() == 0
     assert {r.score for r in operator(docs, marks.limit(0)).collect()} == {0.5}
+
+
+def test_steps_over_a_full_sample_take_tenths_of_a_second():
+    """16,000 rows of 140 terms, most of them among 500 frequent ones, against sums over a whole table."""
+    import time
+
+    from tripledger.llm.toxicity import L2, Machine, Slope, logistic
+    draw = np.random.default_rng(8)
+    rows, terms = 16_000, 1900
+    has = draw.random((rows, terms)) < np.where(np.arange(terms) < 500, 0.25, 0.01)
+    has[7] = False
+    first, index = np.concatenate([[0], np.cumsum(has.sum(1))]), np.nonzero(has)[1]
+    label, weight = draw.integers(0, 2, rows), np.full(rows, 1 / rows)
+    machine = Machine(np.arange(terms), -1.0, draw.normal(0, 0.05, terms),
+                      draw.normal(0, 0.05, (terms, 8)))
+    slope = Slope(first, index, terms)
+    begin = time.perf_counter()
+    for _ in range(5):
+        got = slope(machine, label, weight)
+    assert time.perf_counter() - begin < 3
+    total = has @ machine.factors
+    margin = -1 + has @ machine.weights + ((total ** 2) - has @ machine.factors ** 2).sum(1) / 2
+    error = (logistic(margin) - label) * weight
+    d_weights = has.T @ error
+    d_factors = has.T @ (error[:, None] * total) - d_weights[:, None] * machine.factors
+    assert np.allclose(got, [error.sum(), *(d_weights + L2 * machine.weights),
+                             *(d_factors + L2 * machine.factors).ravel()], atol=1e-12)

@@ -39,6 +39,7 @@ FACTORS = 8
 STEPS = 400
 RATE = 0.05
 L2 = 1e-4
+DENSE = 8  # one in so many rows
 MEMO = 200_000  # words a task remembers
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -109,25 +110,53 @@ def row_sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return total[first[1:]] - total[first[:-1]]
 
 
+class Presence:
+    """Rows of 0 and 1 by column, for sums of a few values. Columns that at least one in DENSE rows has
+    are a table, as sums over their many places take several times as long; it has at most 8 * DENSE
+    bytes for each place. The other columns are places only."""
+
+    def __init__(self, first: np.ndarray, index: np.ndarray, n: int):
+        self.shape = len(first) - 1, n
+        row = np.repeat(np.arange(self.shape[0]), np.diff(first))
+        often = np.bincount(index, minlength=n) * DENSE >= max(self.shape[0], 1)
+        self.columns, place = np.flatnonzero(often), np.cumsum(often) - 1
+        inside = often[index]
+        self.table = np.zeros((len(self.columns), self.shape[0]))
+        self.table[place[index[inside]], row[inside]] = 1
+        self.row, self.index = row[~inside], index[~inside]
+
+    def by_row(self, values: np.ndarray) -> np.ndarray:
+        """Sums of each line of ``values``, one for each column, over the columns of each row."""
+        rest = [np.bincount(self.row, line[self.index], self.shape[0]) for line in values]
+        return values[:, self.columns] @ self.table + rest
+
+    def by_column(self, values: np.ndarray) -> np.ndarray:
+        """Sums of each line of ``values``, one for each row, over the rows of each column."""
+        out = np.zeros((len(values), self.shape[1]))
+        for line, own in zip(values, out):
+            own += np.bincount(self.index, line[self.row], self.shape[1])
+        out[:, self.columns] += values @ self.table.T
+        return out
+
+
 class Slope:
     """Gradient of the weighted logistic loss, with L2 on weights and factors, over given rows."""
 
     def __init__(self, first: np.ndarray, index: np.ndarray, n: int):
-        self.first, self.index = first, index
-        self.row = np.repeat(np.arange(len(first) - 1), np.diff(first))
-        self.by_column = np.argsort(index, kind="stable")
-        self.ends = np.searchsorted(index[self.by_column], np.arange(n + 1))
+        self.rows = Presence(first, index, n)
 
     def __call__(self, machine: Machine, label: np.ndarray, weight: np.ndarray) -> np.ndarray:
         """Of the bias, the weights and the factors, end to end."""
-        error = (logistic(machine.margin(self.first, self.index)) - label) * weight
-        own = machine.factors[self.index]
-        total = row_sums(own, self.first)
-        each = error[self.row][:, None]
-        d_factors = row_sums((each * (total[self.row] - own))[self.by_column], self.ends)
-        d_weights = row_sums(each[self.by_column], self.ends)[:, 0]
+        factors = machine.factors
+        sums = self.rows.by_row(np.vstack([factors.T, machine.weights, (factors ** 2).sum(1)]))
+        total, linear, squares = sums[:-2], sums[-2], sums[-1]
+        margin = machine.bias + linear + 0.5 * ((total ** 2).sum(0) - squares)
+        error = (logistic(margin) - label) * weight
+        turned = self.rows.by_column(np.vstack([error * total, error]))
+        d_weights = turned[-1]
+        d_factors = turned[:-1].T - d_weights[:, None] * factors
         return np.concatenate([[error.sum()], d_weights + L2 * machine.weights,
-                               (d_factors + L2 * machine.factors).ravel()])
+                               (d_factors + L2 * factors).ravel()])
 
 
 def fit(training: Training, shares: tuple[float, float], seed: int = 3) -> Machine:
