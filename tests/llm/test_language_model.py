@@ -167,3 +167,22 @@ def test_context_tells_listed_words_beyond_the_most_frequent_apart():
     right, wrong = log_likelihood(trainer.network, tokenised(
         data, np.cumsum([0, *map(len, raw)]), vocabulary).tokens)
     assert right > wrong + 1
+
+
+def test_a_step_leaves_classes_alone_that_its_window_lacks():
+    names = [b"", *(f"w{i}".encode() for i in range(4000))]
+    vocabulary = Vocabulary(names, np.arange(4001, 0, -1).astype(float), np.ones(68), 9000, 4001)
+    trainer = Trainer(vocabulary.layout, vocabulary.initial())
+
+    def learned(raw):
+        data = np.frombuffer(raw, np.uint8)
+        trainer.learn(tokenised(data, np.array([0, len(raw)]), vocabulary).tokens)
+        return trainer.network.by_word.copy()
+    _, kinds, rows, _, _ = vocabulary.lookup([b"w3990", b"w20"])
+    assert kinds[0] != kinds[1]
+    start, first, second = vocabulary.layout.split(vocabulary.initial())[3], *(
+        learned(raw) for raw in (b"w3990 w3991 " * 30, b"w20 w21 " * 30))
+    assert not np.allclose(first[rows[0]], start[rows[0]])
+    assert np.array_equal(first[rows[0]], second[rows[0]])
+    assert not np.allclose(first[rows[1]], second[rows[1]])
+    assert not trainer.gradient.any()

@@ -7,8 +7,8 @@ and gradients stop at a window's first token.
 
 Outcomes are factored: a class, then a member. Head words (all listed ones) are in classes of
 similar weight and have a softmax over their class that depends on the state; all other words are
-in classes by their form, with fixed shares inside their class. Rows of inputs that a window lacks
-are left alone by its step.
+in classes by their form, with fixed shares inside their class. Rows of inputs, and the members of a
+class, that a window lacks are left alone by its step: their gradients are zero.
 """
 
 from __future__ import annotations
@@ -259,17 +259,21 @@ class Trainer:
             d_before[real] = network.output(before[real], tokens.classes[number],
                                             tokens.words[number], gradient, 1 / len(number))[1]
             rows = network.backward(inputs, begins, before, kept, d_before, gradient)
-            self._step(rows, len(number) / (most * TRAIN_WINDOW))
+            met = np.unique(tokens.classes[number][tokens.words[number] >= 0])
+            self._step(rows, met, len(number) / (most * TRAIN_WINDOW))
             self.seen += len(number)
 
-    def _step(self, rows: np.ndarray, share: float) -> None:
-        """A step in proportion to the window's tokens: few lanes run in a long document's end."""
+    def _step(self, rows: np.ndarray, met: np.ndarray, share: float) -> None:
+        """A step in proportion to the window's tokens: few lanes run in a long document's end. ``rows``
+        and ``met`` are the rows of inputs and the classes of head words that the window has."""
         self.steps += 1
         split, flat = self.network.layout.split, self.network.flat
-        at = self.network.by_input.size
-        inputs, rest = split(self.gradient)[0], self.gradient[at:]
+        parts = [slice(begin, min(begin + STRIDE, end)) for low, end in self._met(met)
+                 for begin in range(low, end, STRIDE)]
+        inputs = split(self.gradient)[0]
         own = inputs[rows]
-        norm = float(np.sqrt(np.vdot(own, own) + np.vdot(rest, rest)))
+        norm = float(np.sqrt(np.vdot(own, own) + sum(
+            float(np.vdot(self.gradient[p], self.gradient[p])) for p in parts)))
         rate = share * self.rate * np.sqrt(1 - 0.99 ** self.steps) / (1 - 0.9 ** self.steps)
         scale = np.float32(1 / max(norm, 1.0))
         by_input, moments = split(flat)[0], [split(m)[0] for m in self.moments]
@@ -277,11 +281,22 @@ class Trainer:
         by_input[rows] -= self._change(own, first, second, scale, np.float32(rate))
         moments[0][rows], moments[1][rows] = first, second
         inputs[rows] = 0
-        for begin in range(at, len(flat), STRIDE):
-            part = slice(begin, begin + STRIDE)
+        for part in parts:
             flat[part] -= self._change(self.gradient[part], self.moments[0][part],
                                        self.moments[1][part], scale, np.float32(rate))
-        rest[:] = 0
+            self.gradient[part] = 0
+
+    def _met(self, classes: np.ndarray) -> list[tuple[int, int]]:
+        """Where the parameters of these classes' members are, and before them the recurrent ones and
+        those of all classes; neighbours are one stretch."""
+        ends = np.concatenate([[0], self.network.layout.ends])
+        at = self.network.by_input.size
+        words = len(self.network.flat) - self.network.by_word.size
+        out = [(at, words)]
+        for k in classes.tolist():
+            low, end = (words + int(e) * (HIDDEN + 1) for e in ends[k:k + 2])
+            out.append((out.pop()[0] if out[-1][1] == low else low, end))
+        return out
 
     @staticmethod
     def _change(gradient, first, second, scale, rate) -> np.ndarray:
