@@ -3,15 +3,24 @@
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tripledger.llm import gru
 from tripledger.llm.gru import Layout, Network, Tokens, Trainer, log_likelihood, start, windows
-from tripledger.llm.language_model import Vocabulary, form, language_scores, tokenised
+from tripledger.llm.language_model import (
+    Vocabulary,
+    _joined,
+    form,
+    language_scores,
+    tokenised,
+    train,
+)
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -186,3 +195,51 @@ def test_a_step_leaves_classes_alone_that_its_window_lacks():
     assert np.array_equal(first[rows[0]], second[rows[0]])
     assert not np.allclose(first[rows[1]], second[rows[1]])
     assert not trainer.gradient.any()
+
+
+def listed(n):
+    names = [b"", *(f"w{i}".encode() for i in range(n))]
+    return Vocabulary(names, np.arange(n + 1, 0, -1).astype(float), np.ones(68), 9000, n + 1)
+
+
+def test_weights_come_to_the_driver_in_parts(spark, monkeypatch):
+    vocabulary = listed(8000)
+    size = vocabulary.layout.size()
+    vocabulary.initial()
+    tracemalloc.start()
+    vocabulary.initial()
+    assert tracemalloc.get_traced_memory()[1] < 1.6 * 4 * size
+    tracemalloc.stop()
+    docs = spark.createDataFrame([(f"w{i % 7} w{i} w{i + 1}",) for i in range(400)], "text string")
+    known = spark.sparkContext.broadcast(vocabulary)
+
+    def collected(_):
+        raise AssertionError("all weights at once")
+    monkeypatch.setattr(type(docs), "collect", collected)
+    flat = train(docs, vocabulary, known)
+    assert len(flat) == size and np.isfinite(flat).all()
+    first, second = (vocabulary.layout.split(w)[0] for w in (vocabulary.initial(), flat))
+    rows = vocabulary.lookup([b"w3", b"w399", b"w7000"])[0]
+    changed = [not np.allclose(first[r], second[r]) for r in rows]
+    assert changed == [True, True, False]
+
+
+def test_small_batches_share_the_lanes():
+    batches = [pa.RecordBatch.from_pydict({"text": [f"w{i} w{i + 1}", None]}) for i in range(50)]
+    whole = [b["text"].to_pylist() for b in _joined(iter(batches), 1 << 20)]
+    assert whole == [[x for b in batches for x in b["text"].to_pylist()]]
+    parts = [b["text"].to_pylist() for b in _joined(iter(batches), 100)]
+    assert len(parts) > 1 and sum(parts, []) == whole[0]
+
+
+def test_choices_lead_to_each_word_and_start_at_its_frequency():
+    vocabulary = listed(4000)
+    network = Network(vocabulary.layout, vocabulary.initial())
+    ways = network.ways
+    assert ways.shape[1] <= 16 and (ways[-1] == -1).all()
+    states = np.random.default_rng(5).normal(0, 1, (4001, gru.HIDDEN + 1)).astype(np.float32)
+    states[:, -1] = 1
+    _, kinds, rows, _, _ = vocabulary.lookup(vocabulary.words)
+    got = np.exp(network.output(states, kinds, rows)[0])
+    mass = vocabulary.counts + 1
+    assert np.allclose(got, mass / (mass.sum() + vocabulary.form_mass.sum()), rtol=1e-3)

@@ -5,10 +5,11 @@ document begins and carried from window to window otherwise, so a document's lik
 whole text. Training is truncated back-propagation: the loss is taken at every token of every window,
 and gradients stop at a window's first token.
 
-Outcomes are factored: a class, then a member. Head words (all listed ones) are in classes of
-similar weight and have a softmax over their class that depends on the state; all other words are
-in classes by their form, with fixed shares inside their class. Rows of inputs, and the members of a
-class, that a window lacks are left alone by its step: their gradients are zero.
+Outcomes are factored: a class, by a softmax, then a member. Head words (all listed ones) are in
+classes of similar weight; a member is reached by choices between two halves of what is left of its
+class, each with weights of its own over the state, so each word has a learned probability. All other
+words are in classes by their form, with fixed shares inside their class. Rows of inputs and choices
+that a window lacks are left alone by its step: their gradients are zero.
 """
 
 from __future__ import annotations
@@ -25,7 +26,6 @@ LEAST_LANES, LEAST_STEPS = 4, 64
 RATE = 0.01
 FLOOR = 1e-5  # below it a gradient counts as noise: rare words would drift at full rate
 CHUNK = 2048
-STRIDE = 1 << 15  # numbers of a step's part that stays in the cache
 
 
 @dataclass
@@ -50,6 +50,23 @@ class Layout:
             at += size
         return out
 
+    def ways(self) -> np.ndarray:
+        """Choices that lead to each head word from its class, -1 after the last and in a last row of
+        its own for other words. Choice i halves a stretch of members, after word i."""
+        ends = np.asarray(self.ends)
+        sizes = np.diff(ends, prepend=0)
+        low, high = np.repeat(ends - sizes, sizes), np.repeat(ends, sizes)
+        word, out = np.arange(self.head), []
+        while (open_ := high - low > 1).any():
+            middle = (low + high) // 2
+            out.append(np.where(open_, middle - 1, -1))
+            left = word < middle
+            low, high = np.where(left | ~open_, low, middle), np.where(left & open_, middle, high)
+        table = np.full((self.head + 1, len(out)), -1, np.int32)
+        for level, choice in enumerate(out):
+            table[:-1, level] = choice
+        return table
+
     def size(self) -> int:
         return sum(int(np.prod(s)) for s in self.shapes())
 
@@ -57,17 +74,22 @@ class Layout:
 def start(layout: Layout, class_mass: np.ndarray, head_mass: np.ndarray, seed: int = 9) -> np.ndarray:
     """Parameters under which every token has its frequency as its probability."""
     draw = np.random.default_rng(seed)
-    flat = draw.normal(0, 0.1, layout.size()).astype(np.float32)
+    flat = draw.standard_normal(layout.size(), np.float32)
+    flat *= np.float32(0.1)
     _, recurrent, by_class, by_word = layout.split(flat)
     recurrent *= 2
     by_class[:] = 0
     by_word[:] = 0
     by_class[:, -1] = np.log(np.maximum(class_mass, 1e-9))
-    begin = 0
-    for end in layout.ends:
-        mass = np.maximum(head_mass[begin:end], 1e-9)
-        by_word[begin:end, -1] = np.log(mass / mass.sum())
-        begin = end
+    mass = np.concatenate([[0], np.cumsum(np.maximum(head_mass, 1e-9))])
+    ends = np.asarray(layout.ends)
+    sizes = np.diff(ends, prepend=0)
+    low, high = ends - sizes, ends
+    while (wide := high - low > 1).any():
+        low, high = low[wide], high[wide]
+        middle = (low + high) // 2
+        by_word[middle - 1, -1] = np.log((mass[middle] - mass[low]) / (mass[high] - mass[middle]))
+        low, high = np.concatenate([low, middle]), np.concatenate([middle, high])
     return flat
 
 
@@ -123,9 +145,21 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return np.reciprocal(x, out=x)
 
 
+def add_rows(total: np.ndarray, rows: np.ndarray, parts: np.ndarray) -> np.ndarray:
+    """Add ``parts`` to the rows of ``total`` that they are for; these rows once each."""
+    order = np.argsort(rows)
+    ordered = rows[order]
+    first = np.flatnonzero(np.diff(ordered, prepend=-1))
+    own = ordered[first]
+    if len(own):
+        total[own] += np.add.reduceat(parts[order], first, axis=0)
+    return own
+
+
 class Network:
     def __init__(self, layout: Layout, flat: np.ndarray):
         self.layout, self.flat = layout, flat
+        self.ways = layout.ways()
         self.by_input, self.recurrent, self.by_class, self.by_word = layout.split(flat)
 
     def run(self, inputs: np.ndarray, begins: np.ndarray, state: np.ndarray, keep: bool):
@@ -134,7 +168,7 @@ class Network:
         steps, n = inputs.shape
         h = HIDDEN
         before = np.ones((steps, n, h + 1), np.float32)
-        kept = []
+        kept = np.empty((4, steps, n, h), np.float32) if keep else None
         fed = self.by_input[inputs]
         for t in range(steps):
             if begins[t].any():
@@ -148,7 +182,7 @@ class Network:
             fresh *= 2
             fresh -= 1
             if keep:
-                kept.append((update, reset, inner, fresh))
+                kept[0, t], kept[1, t], kept[2, t], kept[3, t] = update, reset, inner, fresh
             state = fresh + update * (state - fresh)
         return before, state, kept
 
@@ -159,31 +193,19 @@ class Network:
         n = len(classes)
         out = np.empty(n, np.float32)
         back = None if gradient is None else np.empty((n, HIDDEN + 1), np.float32)
+        by_class, by_word = (None, None) if gradient is None else gradient[2:]
         for at in range(0, n, CHUNK):
             part = slice(at, min(at + CHUNK, n))
-            out[part], d_part = self._softmax(before[part], classes[part], self.by_class,
-                                              None if gradient is None else gradient[2], scale)
-            if back is not None:
-                back[part] = d_part
-        head = np.flatnonzero(words >= 0)
-        order = head[np.argsort(classes[head], kind="stable")]
-        ends = np.searchsorted(classes[order], np.arange(len(self.layout.ends)), side="right")
-        low = place = 0
-        for k, (high, end) in enumerate(zip(self.layout.ends, ends)):
-            at, low_k, low, place_k, place = order[place:end], low, high, place, end
-            if place == place_k or high - low_k < 2:
-                continue
-            one, d_part = self._softmax(before[at], words[at] - low_k, self.by_word[low_k:high],
-                                        None if gradient is None else gradient[3][low_k:high], scale)
-            out[at] += one
+            out[part], d_class = self._softmax(before[part], classes[part], by_class, scale)
+            among, d_word = self._choices(before[part], words[part], by_word, scale)
+            out[part] += among
             if back is not None:
-                back[at] += d_part
+                np.add(d_class, d_word, out=back[part])
         return out, None if back is None else back[:, :HIDDEN]
 
-    @staticmethod
-    def _softmax(states, own, weights, gradient, scale: float):
-        """Log probability of each state's own row of ``weights``, and the states' gradients."""
-        logits = states @ weights.T
+    def _softmax(self, states, own, gradient, scale: float):
+        """Log probability of each state's own class, and the states' gradients."""
+        logits = states @ self.by_class.T
         index = (np.arange(len(own)), own)
         value = logits[index]
         np.exp(logits, out=logits)
@@ -193,32 +215,64 @@ class Network:
         logits *= (scale / total)[:, None]
         logits[index] -= scale
         gradient += logits.T @ states
-        return value - np.log(total), logits @ weights
+        return value - np.log(total), logits @ self.by_class
+
+    def _choices(self, states, words, gradient, scale: float):
+        """Log probability of the choices that lead to each state's word within its class, and the
+        states' gradients."""
+        ways = self.ways[words]
+        real = np.flatnonzero(ways >= 0)  # choices of a state are neighbours
+        nodes, owner = ways.ravel()[real], real // ways.shape[1]
+        met, weights = states.take(owner, 0), self.by_word.take(nodes, 0)
+        margin = np.einsum("ij,ij->i", met, weights)
+        left = words.take(owner) <= nodes
+        np.negative(margin, out=margin, where=~left)
+        small = np.exp(-np.abs(margin))
+        value = np.bincount(owner, np.minimum(margin, 0) - np.log1p(small), len(words))
+        value = value.astype(np.float32)
+        if gradient is None:
+            return value, None
+        wrong = np.where(margin < 0, np.float32(scale), np.float32(scale) * small) / (1 + small)
+        np.negative(wrong, out=wrong, where=left)
+        weights *= wrong[:, None]
+        back = np.zeros_like(states)
+        first = np.flatnonzero(np.diff(owner, prepend=-1))
+        if len(first):
+            back[owner[first]] = np.add.reduceat(weights, first, axis=0)
+        order = np.argsort(nodes)
+        ordered = nodes[order]
+        met = states.take(owner[order], 0)
+        met *= wrong[order][:, None]
+        first = np.flatnonzero(np.diff(ordered, prepend=-1))
+        if len(first):
+            gradient[ordered[first]] += np.add.reduceat(met, first, axis=0)
+        return value, back
 
     def backward(self, inputs, begins, before, kept, d_before, gradient) -> np.ndarray:
         """Carry the states' gradients back through the window's steps; the rows of its inputs."""
         h = HIDDEN
-        before = before[:, :, :h]
+        before, (update, reset, inner, fresh) = before[:, :, :h], kept
         d_state = np.zeros_like(before[0])
+        # What a state's gradient is multiplied by, for each of the gates: update, reset, fresh.
+        by = np.empty((*inputs.shape, 3, h), np.float32)
+        rest = 1 - update
+        by[:, :, 2] = rest * (1 - fresh * fresh)
+        by[:, :, 0] = (before - fresh) * update * rest
+        by[:, :, 1] = by[:, :, 2] * inner * reset * (1 - reset)
         d_fed = np.empty((*inputs.shape, 3 * h), np.float32)
         carried = np.empty_like(d_fed)
+        back = np.ascontiguousarray(self.recurrent.T)
         for t in range(len(inputs) - 1, -1, -1):
-            update, reset, inner, fresh = kept[t]
-            d_fresh = d_state * (1 - update)
-            d_update = d_state * (before[t] - fresh) * update * (1 - update)
-            d_sum = d_fresh * (1 - fresh * fresh)
-            d_reset = d_sum * inner * reset * (1 - reset)
-            d_fed[t, :, :h], d_fed[t, :, h:2 * h], d_fed[t, :, 2 * h:] = d_update, d_reset, d_sum
-            d_carried = np.concatenate([d_update, d_reset, d_sum * reset], 1, out=carried[t])
-            d_state = d_state * update + d_carried @ self.recurrent.T + d_before[t]
+            np.multiply(d_state[:, None], by[t], out=d_fed[t].reshape(-1, 3, h))
+            carried[t, :, :2 * h] = d_fed[t, :, :2 * h]
+            np.multiply(d_fed[t, :, 2 * h:], reset[t], out=carried[t, :, 2 * h:])
+            d_state *= update[t]
+            d_state += carried[t] @ back
+            d_state += d_before[t]
             if begins[t].any():
                 d_state[begins[t]] = 0
         gradient[1] += before.reshape(-1, h).T @ carried.reshape(-1, 3 * h)
-        flat = inputs.ravel()
-        order = np.argsort(flat, kind="stable")
-        rows, first = np.unique(flat[order], return_index=True)
-        gradient[0][rows] += np.add.reduceat(d_fed.reshape(-1, 3 * h)[order], first, axis=0)
-        return rows
+        return add_rows(gradient[0], inputs.ravel(), d_fed.reshape(-1, 3 * h))
 
 
 def log_likelihood(network: Network, tokens: Tokens) -> np.ndarray:
@@ -259,44 +313,32 @@ class Trainer:
             d_before[real] = network.output(before[real], tokens.classes[number],
                                             tokens.words[number], gradient, 1 / len(number))[1]
             rows = network.backward(inputs, begins, before, kept, d_before, gradient)
-            met = np.unique(tokens.classes[number][tokens.words[number] >= 0])
-            self._step(rows, met, len(number) / (most * TRAIN_WINDOW))
+            self._step(rows, self._met(tokens.words[number]), len(number) / (most * TRAIN_WINDOW))
             self.seen += len(number)
 
-    def _step(self, rows: np.ndarray, met: np.ndarray, share: float) -> None:
+    def _met(self, words: np.ndarray) -> np.ndarray:
+        """The choices that lead to these words, once each."""
+        met = np.zeros(len(self.network.by_word) + 1, bool)
+        met[self.network.ways[words]] = True
+        return np.flatnonzero(met[:-1])
+
+    def _step(self, rows: np.ndarray, choices: np.ndarray, share: float) -> None:
         """A step in proportion to the window's tokens: few lanes run in a long document's end. ``rows``
-        and ``met`` are the rows of inputs and the classes of head words that the window has."""
+        and ``choices`` are the rows of inputs and of words' choices that the window has."""
         self.steps += 1
-        split, flat = self.network.layout.split, self.network.flat
-        parts = [slice(begin, min(begin + STRIDE, end)) for low, end in self._met(met)
-                 for begin in range(low, end, STRIDE)]
-        inputs = split(self.gradient)[0]
-        own = inputs[rows]
-        norm = float(np.sqrt(np.vdot(own, own) + sum(
-            float(np.vdot(self.gradient[p], self.gradient[p])) for p in parts)))
+        split = self.network.layout.split
+        whole, *moments = ([m[0][rows], m[1], m[2], m[3][choices]] for m in map(
+            split, (self.gradient, *self.moments)))
+        norm = float(np.sqrt(sum(float(np.vdot(g, g)) for g in whole)))
         rate = share * self.rate * np.sqrt(1 - 0.99 ** self.steps) / (1 - 0.9 ** self.steps)
         scale = np.float32(1 / max(norm, 1.0))
-        by_input, moments = split(flat)[0], [split(m)[0] for m in self.moments]
-        first, second = (m[rows] for m in moments)
-        by_input[rows] -= self._change(own, first, second, scale, np.float32(rate))
-        moments[0][rows], moments[1][rows] = first, second
-        inputs[rows] = 0
-        for part in parts:
-            flat[part] -= self._change(self.gradient[part], self.moments[0][part],
-                                       self.moments[1][part], scale, np.float32(rate))
-            self.gradient[part] = 0
-
-    def _met(self, classes: np.ndarray) -> list[tuple[int, int]]:
-        """Where the parameters of these classes' members are, and before them the recurrent ones and
-        those of all classes; neighbours are one stretch."""
-        ends = np.concatenate([[0], self.network.layout.ends])
-        at = self.network.by_input.size
-        words = len(self.network.flat) - self.network.by_word.size
-        out = [(at, words)]
-        for k in classes.tolist():
-            low, end = (words + int(e) * (HIDDEN + 1) for e in ends[k:k + 2])
-            out.append((out.pop()[0] if out[-1][1] == low else low, end))
-        return out
+        changes = [self._change(*of, scale, np.float32(rate)) for of in zip(whole, *moments)]
+        for weights, gradient, first, second, change, now, where in zip(
+                split(self.network.flat), split(self.gradient), *map(split, self.moments), changes,
+                zip(*moments), (rows, ..., ..., choices)):
+            weights[where] -= change
+            first[where], second[where] = now
+            gradient[where] = 0
 
     @staticmethod
     def _change(gradient, first, second, scale, rate) -> np.ndarray:

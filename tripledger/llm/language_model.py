@@ -1,7 +1,7 @@
 """Language-model scores of whole documents by a gated recurrent network trained on the corpus.
 
 Counts of all tokens of all training documents are taken in Spark. The LISTED most frequent words
-travel with the tasks; each has an input row of its own and a learned place in the softmax over its
+travel with the tasks; each has an input row of its own and a learned place among the choices in its
 class, and the classes go by frequency. Every other word keeps its exact count in a table that texts
 are joined with. The network is trained in PASSES passes, each
 over its own part of the training documents, so that every token is learned from once: each task
@@ -27,21 +27,24 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import blocks, words
+from .blocks import blocks, release_memory, words
 from .gru import RATE, Layout, Network, Tokens, Trainer, log_likelihood, start
 from .labelled import held_out
 from .store import settings, stored
 
 LISTED = 131_072
-HEAD_CLASSES = 256
+HEAD_CLASSES = 128
 FORMS = 17 * 4
 PASSES = 4
 BLOCK = 6_000_000
+LEARN_BLOCK = 16_000_000  # bytes of text whose documents share the lanes of the training
+TASK_TOKENS = 3_000_000  # a pass has a task for so many tokens: each of them writes all weights
 REDUCERS = 8
-PIECE = 1 << 20  # weights travel in pieces of so many numbers
+PIECE = 1 << 18  # weights travel in pieces of so many numbers
 END = b""
 
 
@@ -84,7 +87,7 @@ class Vocabulary:
 
     def __post_init__(self):
         self.head = len(self.words)
-        weight = np.sqrt(self.counts + 1.0)
+        weight = self.counts + 1.0
         at = np.minimum((np.cumsum(weight) - weight) / weight.sum() * HEAD_CLASSES,
                         HEAD_CLASSES - 1).astype(np.int64)
         kinds, self.head_class = np.unique(at, return_inverse=True)
@@ -159,9 +162,22 @@ def build_vocabulary(table: DataFrame) -> Vocabulary:
     return Vocabulary(names, numbers, mass, int(sums[0] or 0), int(sums[1]))
 
 
+def _joined(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Batches of about ``size`` bytes at least, out of smaller ones."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.nbytes
+        if n >= size:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, n = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def _trained(batches, vocabulary: Vocabulary, flat: np.ndarray, rate: float):
     trainer = Trainer(vocabulary.layout, flat, rate)
-    for _, data, offsets in blocks(batches, "text", BLOCK):
+    for _, data, offsets in blocks(_joined(batches, LEARN_BLOCK), "text", LEARN_BLOCK):
         trainer.learn(tokenised(data, offsets, vocabulary).tokens)
     if trainer.seen:
         yield from _pieces(trainer.seen, trainer.network.flat)
@@ -193,27 +209,28 @@ def _averaged(batches):
              pa.array([mean.astype(np.float32).tobytes()], pa.binary())], ["piece", "seen", "weights"])
 
 
-def train(training: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
+def train(training: DataFrame, vocabulary: Vocabulary, known: Broadcast) -> np.ndarray:
     """Weights after PASSES passes, each over the documents whose text's hash names it."""
     flat = vocabulary.initial()
     spark = training.sparkSession
     slots = spark.sparkContext.defaultParallelism
-    # Rows are pieces of some megabytes, so few go into an Arrow batch.
+    tasks = max(1, min(slots, math.ceil(vocabulary.total / PASSES / TASK_TOKENS)))
+    # Rows are pieces of a megabyte, so few go into an Arrow batch.
     with settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "64"}):
         for turn in range(PASSES):
             part = training.where(F.pmod(F.xxhash64("text"), F.lit(PASSES)) == turn).select("text")
             sent = spark.sparkContext.broadcast(flat)
-            # As many tasks as can run at once: each of them writes all weights.
-            found = part.coalesce(slots).mapInArrow(
+            found = part.coalesce(tasks).mapInArrow(
                 lambda batches, sent=sent, rate=RATE / (1 + turn): _trained(
-                    batches, vocabulary, sent.value, rate), KIND)
-            if slots > REDUCERS:  # first REDUCERS partial averages of everything
+                    batches, known.value, sent.value, rate), KIND)
+            if tasks > REDUCERS:  # first REDUCERS partial averages of everything
                 found = found.repartition(REDUCERS).mapInArrow(_averaged, KIND)
-            few = found.repartition("piece").mapInArrow(_averaged, KIND).collect()
+            # One part at a time comes to the driver, and goes where the weights before it were.
+            for row in found.repartition("piece").mapInArrow(_averaged, KIND).toLocalIterator():
+                mean = np.frombuffer(row.weights, np.float32)
+                flat[row.piece * PIECE:][:len(mean)] = mean
             sent.destroy()
-            if few:
-                flat = np.concatenate([np.frombuffer(r.weights, np.float32)
-                                       for r in sorted(few, key=lambda r: r.piece)])
+            release_memory()
     return flat
 
 
@@ -255,12 +272,16 @@ def language_scores(docs: DataFrame, modulus: int = 7, value: int = 2, key: str
     training = rows.where(~apart)
     table = stored(counts(training), "token-counts")
     vocabulary = build_vocabulary(table)
-    flat = train(training, vocabulary)
+    context = docs.sparkSession.sparkContext
+    known = context.broadcast(vocabulary)
+    sent = context.broadcast(train(training, vocabulary, known))
     kind = dict(docs.dtypes)[key]
     first = stored(rows.mapInArrow(
-        lambda batches: _scored(batches, vocabulary, flat),
+        lambda batches: _scored(batches, known.value, sent.value),
         f"id {kind}, n_tokens bigint, n_known bigint, weight double, score double, "
         "others array<struct<word: string, n: bigint>>"), "language-scores")
+    known.destroy()
+    sent.destroy()
     # Words that tasks have no count of: looked up by a join, and added up for each row again.
     part = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("bigint")
     placed = first.withColumn("place", F.shiftleft(part, 40) + F.col("_metadata.row_index"))
