@@ -152,7 +152,7 @@ def add_rows(total: np.ndarray, rows: np.ndarray, parts: np.ndarray) -> np.ndarr
     first = np.flatnonzero(np.diff(ordered, prepend=-1))
     own = ordered[first]
     if len(own):
-        total[own] += np.add.reduceat(parts[order], first, axis=0)
+        total[own] += np.add.reduceat(parts.take(order, 0), first, axis=0)
     return own
 
 
@@ -169,7 +169,7 @@ class Network:
         h = HIDDEN
         before = np.ones((steps, n, h + 1), np.float32)
         kept = np.empty((4, steps, n, h), np.float32) if keep else None
-        fed = self.by_input[inputs]
+        fed = self.by_input.take(inputs, 0)
         for t in range(steps):
             if begins[t].any():
                 state = np.where(begins[t][:, None], np.float32(0), state)
@@ -327,7 +327,7 @@ class Trainer:
         and ``choices`` are the rows of inputs and of words' choices that the window has."""
         self.steps += 1
         split = self.network.layout.split
-        whole, *moments = ([m[0][rows], m[1], m[2], m[3][choices]] for m in map(
+        whole, *moments = ([m[0].take(rows, 0), m[1], m[2], m[3].take(choices, 0)] for m in map(
             split, (self.gradient, *self.moments)))
         norm = float(np.sqrt(sum(float(np.vdot(g, g)) for g in whole)))
         rate = share * self.rate * np.sqrt(1 - 0.99 ** self.steps) / (1 - 0.9 ** self.steps)

@@ -3,10 +3,10 @@
 Counts of all tokens of all training documents are taken in Spark. The LISTED most frequent words
 travel with the tasks; each has an input row of its own and a learned place among the choices in its
 class, and the classes go by frequency. Every other word keeps its exact count in a table that texts
-are joined with. The network is trained in PASSES passes, each
-over its own part of the training documents, so that every token is learned from once: each task
-does truncated back-propagation over its documents from the common weights, and the tasks' weights
-are averaged, by the number of their tokens, in a tree of tasks. Scores are then taken in one pass.
+are joined with. The network is trained in PASSES passes, each over its own part of the training
+documents, so that every token is learned from once: each task does truncated back-propagation over
+its documents from the common weights, which then change by the mean of the tasks' changes, weighted
+by the number of their tokens. Scores are then taken in one pass.
 
 A documented cut: a word beyond the list is fed in as its form (FORMS of them), and the context tells
 such words apart by form only. It has the probability of its form times its share in it,
@@ -41,8 +41,8 @@ HEAD_CLASSES = 128
 FORMS = 17 * 4
 PASSES = 4
 BLOCK = 6_000_000
-LEARN_BLOCK = 16_000_000  # bytes of text whose documents share the lanes of the training
-TASK_TOKENS = 3_000_000  # a pass has a task for so many tokens: each of them writes all weights
+LEARN_BLOCK = 32_000_000  # bytes of text whose documents share the lanes of the training
+TASK_TOKENS = 2_000_000  # a pass has a task for so many tokens: each of them writes all weights
 REDUCERS = 8
 PIECE = 1 << 18  # weights travel in pieces of so many numbers
 END = b""
@@ -116,7 +116,8 @@ class Vocabulary:
         kind, weight, share = self.head_class[at], self.weight[at], np.zeros(len(found))
         kind[other], weight[other] = self.head_classes + forms, -1.0
         share[other] = -np.log10(self.form_mass)[forms]
-        return [np.where(at >= 0, at, self.head + kind), kind, at, weight, share]
+        inputs = np.where(at >= 0, at, self.head + kind)
+        return [*(x.astype(np.int32) for x in (inputs, kind, at)), weight, share]
 
 
 @dataclass
@@ -180,10 +181,10 @@ def _trained(batches, vocabulary: Vocabulary, flat: np.ndarray, rate: float):
     for _, data, offsets in blocks(_joined(batches, LEARN_BLOCK), "text", LEARN_BLOCK):
         trainer.learn(tokenised(data, offsets, vocabulary).tokens)
     if trainer.seen:
-        yield from _pieces(trainer.seen, trainer.network.flat)
+        yield from _pieces(trainer.seen, trainer.network.flat - flat)
 
 
-KIND = "piece int, seen bigint, weights binary"
+KIND = "piece int, seen bigint, change binary"
 
 
 def _pieces(seen: int, flat: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -191,7 +192,7 @@ def _pieces(seen: int, flat: np.ndarray) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [pa.array([k], pa.int32()), pa.array([seen], pa.int64()),
              pa.array([flat[at:at + PIECE].astype(np.float32).tobytes()], pa.binary())],
-            ["piece", "seen", "weights"])
+            ["piece", "seen", "change"])
 
 
 def _averaged(batches):
@@ -206,7 +207,7 @@ def _averaged(batches):
     for k, (seen, mean) in sorted(found.items()):
         yield pa.RecordBatch.from_arrays(
             [pa.array([k], pa.int32()), pa.array([seen], pa.int64()),
-             pa.array([mean.astype(np.float32).tobytes()], pa.binary())], ["piece", "seen", "weights"])
+             pa.array([mean.astype(np.float32).tobytes()], pa.binary())], ["piece", "seen", "change"])
 
 
 def train(training: DataFrame, vocabulary: Vocabulary, known: Broadcast) -> np.ndarray:
@@ -225,10 +226,10 @@ def train(training: DataFrame, vocabulary: Vocabulary, known: Broadcast) -> np.n
                     batches, known.value, sent.value, rate), KIND)
             if tasks > REDUCERS:  # first REDUCERS partial averages of everything
                 found = found.repartition(REDUCERS).mapInArrow(_averaged, KIND)
-            # One part at a time comes to the driver, and goes where the weights before it were.
+            # One part at a time comes to the driver, and is added to the weights before it.
             for row in found.repartition("piece").mapInArrow(_averaged, KIND).toLocalIterator():
-                mean = np.frombuffer(row.weights, np.float32)
-                flat[row.piece * PIECE:][:len(mean)] = mean
+                mean = np.frombuffer(row.change, np.float32)
+                flat[row.piece * PIECE:][:len(mean)] += mean
             sent.destroy()
             release_memory()
     return flat
