@@ -18,8 +18,10 @@ from tripledger.llm.language_model import (
     _joined,
     form,
     language_scores,
+    packed,
     tokenised,
     train,
+    unpacked,
 )
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -243,3 +245,10 @@ def test_choices_lead_to_each_word_and_start_at_its_frequency():
     got = np.exp(network.output(states, kinds, rows)[0])
     mass = vocabulary.counts + 1
     assert np.allclose(got, mass / (mass.sum() + vocabulary.form_mass.sum()), rtol=1e-3)
+
+
+def test_changes_are_packed_without_loss():
+    numbers = np.random.default_rng(4).normal(0, 0.01, 100_000).astype(np.float32)
+    numbers[::3] = 0
+    assert np.array_equal(unpacked(packed(numbers)), numbers)
+    assert len(packed(numbers)) < 0.95 * numbers.nbytes
