@@ -295,7 +295,8 @@ class Trainer:
 
     def __init__(self, layout: Layout, flat: np.ndarray, rate: float = RATE):
         self.network, self.rate = Network(layout, flat.copy()), rate
-        self.gradient, *self.moments = [np.zeros_like(flat) for _ in range(3)]
+        # Not zeros_like, which would write to all of it: rows that are never met take no memory.
+        self.gradient, *self.moments = [np.zeros(len(flat), flat.dtype) for _ in range(3)]
         self.steps = self.seen = 0
 
     def learn(self, tokens: Tokens) -> None:
