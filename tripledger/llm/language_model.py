@@ -41,7 +41,7 @@ HEAD_CLASSES = 256
 FORMS = 17 * 4
 PASSES = 4
 BLOCK = 6_000_000
-LEARN_BLOCK = 16_000_000  # bytes of text whose documents share the lanes of the training
+LEARN_BLOCK = 8_000_000  # bytes of text whose documents share the lanes of the training
 TASK_TOKENS = 2_000_000  # a pass has a task for so many tokens: each of them writes all weights
 REDUCERS = 8
 PIECE = 1 << 18  # weights travel in pieces of so many numbers
@@ -170,8 +170,8 @@ def _joined(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordB
         held.append(batch)
         n += batch.nbytes
         if n >= size:
-            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-            held, n = [], 0
+            whole, held, n = pa.Table.from_batches(held).combine_chunks(), [], 0
+            yield from whole.to_batches()
     if held:
         yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
@@ -179,9 +179,11 @@ def _joined(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordB
 def _trained(batches, vocabulary: Vocabulary, flat: np.ndarray, rate: float):
     trainer = Trainer(vocabulary.layout, flat, rate)
     for _, data, offsets in blocks(_joined(batches, LEARN_BLOCK), "text", LEARN_BLOCK):
-        trainer.learn(tokenised(data, offsets, vocabulary).tokens)
+        tokens = tokenised(data, offsets, vocabulary).tokens
+        release_memory()  # what cutting the words took
+        trainer.learn(tokens)
     if trainer.seen:
-        yield from _pieces(trainer.seen, trainer.network.flat - flat)
+        yield from _pieces(trainer.seen, trainer.network.flat, flat)
 
 
 KIND = "piece int, seen bigint, change binary"
@@ -200,11 +202,11 @@ def unpacked(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(4, -1).T).view(np.float32).ravel()
 
 
-def _pieces(seen: int, flat: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _pieces(seen: int, flat: np.ndarray, before: np.ndarray) -> Iterator[pa.RecordBatch]:
     for k, at in enumerate(range(0, len(flat), PIECE)):
         yield pa.RecordBatch.from_arrays(
             [pa.array([k], pa.int32()), pa.array([seen], pa.int64()),
-             pa.array([packed(flat[at:at + PIECE])], pa.binary())], ["piece", "seen", "change"])
+             pa.array([packed(flat[at:at + PIECE] - before[at:at + PIECE])], pa.binary())], ["piece", "seen", "change"])
 
 
 def _averaged(batches):
