@@ -17,7 +17,7 @@ from tripledger.operators.typing import derived, typed, typed_feed
 from tripledger.plans import distributions as dist
 from tripledger.plans import expectations as ex
 from tripledger.plans import kpis, marts, panels, profile, star
-from tripledger.plans.pipeline import GOLD, build, valid_rates, write_profile
+from tripledger.plans.pipeline import GOLD, MODELS, build, valid_rates, write_profile
 from tripledger.session import prepare, scratch_dir
 from tripledger.sources import feed, landing
 from tripledger.sources.contract import SOURCE_COLUMNS
@@ -208,12 +208,20 @@ def _built(name: str):
 
 
 def _gold_idempotent(f: Frames) -> DataFrame:
-    """Each mart of two builds into the same store, the second from the rows in another order."""
+    """Each mart of two builds into the same store, the second from the rows in another order.
+
+    The rows are put in that order once, as a stored table, since judging reads them several times.
+    Only the marts are compared: what they are made of leaves the store with its last reader, so the
+    silver tables of the two builds are never there together.
+    """
     store = Store(f.spark, scratch_dir(f.spark, "build"))
-    once = _build(f, store)
-    shuffled = Frames(f.spark, f.sf_dir)
-    shuffled.landed = f.landed.repartition("pickup_longitude", "passenger_count")
-    again = _build(shuffled, store)
+    once = build(f.landed, store, f.settings, keep=GOLD)
+    shuffled = store.replace("bronze", "trips", f.landed.repartition("pickup_longitude", "passenger_count"))
+    judged = "silver_dq_evaluated"
+    build(shuffled, store, f.settings, select=[judged])
+    store.drop("bronze", "trips")
+    again = build(shuffled, store, f.settings, select=[m for m in MODELS if m != judged], parents=False,
+                  keep=GOLD)
     return reduce(DataFrame.unionAll, [
         ex.compare(once[name], again[name]).select(F.lit(name).alias("mart"), "*")
         for name in GOLD])

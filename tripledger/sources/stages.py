@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripledger.session import scratch_dir
+from tripledger.session import scratch_dir, shuffles_dropped
 
 
 def stored(rows: DataFrame, purpose: str) -> DataFrame:
     """The rows, written once and read back with their real size known to the planner."""
     path = scratch_dir(rows.sparkSession, purpose)
-    rows.write.parquet(path)
+    with shuffles_dropped(rows.sparkSession):
+        rows.write.option("compression", "zstd").parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 

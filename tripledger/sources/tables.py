@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tripledger.session import shuffles_dropped
+
 LATEST = 20  # entries a reader looks back over for one that is finished
 
 
@@ -97,7 +99,7 @@ class Store:
     def replace_partitions(self, layer: str, name: str, rows: DataFrame) -> DataFrame:
         """Replace the partitions that ``rows`` has, and leave the others of the table as they are."""
         number, before = self.current(layer, name)
-        if before is None or not before["partition_by"]:
+        if not _has_files(before) or not before["partition_by"]:
             raise KeyError(f"no partitioned table {layer}/{name} below {self.root}")
         version = self._write(layer, name, rows.select(*json_columns(before["schema"])),
                               before["partition_by"])
@@ -110,10 +112,22 @@ class Store:
         """The current version; also registered as the view ``layer_name`` for SQL. A filter on a
         partition column reads the folders of its values only."""
         _, entry = self.current(layer, name)
-        if entry is None:
+        if not _has_files(entry):
             raise KeyError(f"no table {layer}/{name} below {self.root}")
         return self._table(layer, name, entry)
 
+    def drop(self, layer: str, name: str) -> None:
+        """Take a table out of the store, and the files of its current version from the disk: frames
+        that read it fail from now on. Older versions are left alone. It may be written anew."""
+        number, entry = self.current(layer, name)
+        if not _has_files(entry):
+            raise KeyError(f"no table {layer}/{name} below {self.root}")
+        self.commit(layer, name, number + 1, {"dropped": True})
+        for version in {entry["version"], *entry["parts"].values()}:
+            files, folder = self._file(self.path(layer, name, version))
+            files.delete(folder, True)
+        self.spark.catalog.dropTempView(f"{layer}_{name}")
+
     def _table(self, layer: str, name: str, entry: dict) -> DataFrame:
         by_version: dict[str, list[str]] = {}
         for part, version in sorted(entry["parts"].items()):
@@ -131,8 +145,10 @@ class Store:
 
     def _write(self, layer: str, name: str, rows: DataFrame, partition_by: Sequence[str]) -> str:
         version = uuid.uuid4().hex
-        writer = rows.write.partitionBy(*partition_by) if partition_by else rows.write
-        writer.parquet(self.path(layer, name, version))
+        writer = rows.write.option("compression", "zstd")
+        writer = writer.partitionBy(*partition_by) if partition_by else writer
+        with shuffles_dropped(self.spark):
+            writer.parquet(self.path(layer, name, version))
         return version
 
     def _folders(self, layer: str, name: str, version: str, depth: int) -> list[str]:
@@ -146,5 +162,9 @@ class Store:
         return found
 
 
+def _has_files(entry: dict | None) -> bool:
+    return entry is not None and "dropped" not in entry
+
+
 def json_columns(schema: str) -> list:
     return [F.col(f["name"]) for f in json.loads(schema)["fields"]]
