@@ -21,11 +21,12 @@ import numpy as np
 
 HIDDEN = 24
 TRAIN_LANES, TRAIN_WINDOW = 256, 16
-SCORE_LANES, SCORE_WINDOW = 1024, 32
+SCORE_LANES, SCORE_WINDOW = 512, 32
 LEAST_LANES, LEAST_STEPS = 4, 64
 RATE = 0.01
 FLOOR = 1e-5  # below it a gradient counts as noise: rare words would drift at full rate
 CHUNK = 2048
+SHORT = 8  # stretches of up to so many rows are added up side by side
 
 
 @dataclass
@@ -123,19 +124,19 @@ def windows(tokens: Tokens, most: int, width: int):
     dealt = lanes(tokens.first, most)
     if not dealt:
         return
-    runs = [np.concatenate([np.arange(tokens.first[d], tokens.first[d + 1]) for d in docs])
-            for docs in dealt]
-    longest = len(runs[0])
+    runs = np.concatenate([np.arange(tokens.first[d], tokens.first[d + 1])
+                           for docs in dealt for d in docs])
     begins = np.zeros(tokens.first[-1] + 1, bool)
     begins[tokens.first[:-1]] = True
-    lengths = np.array([len(r) for r in runs])
-    for at in range(0, longest, width):
+    sizes = np.diff(tokens.first)
+    lengths = np.array([int(sizes[docs].sum()) for docs in dealt])
+    starts = np.cumsum(lengths) - lengths
+    for at in range(0, int(lengths[0]), width):
         running = int((lengths > at).sum())
-        grid = np.full((min(width, longest - at), running), -1, np.int64)
-        for k in range(running):
-            part = runs[k][at:at + width]
-            grid[:len(part), k] = part
-        yield grid, begins[grid] & (grid >= 0), running
+        step = np.arange(at, min(at + width, int(lengths[0])))[:, None]
+        live = step < lengths[:running]
+        grid = np.where(live, runs.take(starts[:running] + step, mode="clip"), -1)
+        yield grid, begins[grid] & live, running
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -145,15 +146,38 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return np.reciprocal(x, out=x)
 
 
-def add_rows(total: np.ndarray, rows: np.ndarray, parts: np.ndarray) -> np.ndarray:
-    """Add ``parts`` to the rows of ``total`` that they are for; these rows once each."""
+def summed(parts: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of the stretches of rows that begin at ``first``.
+
+    `reduceat` takes a turn for each stretch and column, which is slow where most stretches are short:
+    these are added up side by side, one row of each at a time."""
+    lengths = np.diff(first, append=len(parts))
+    total = parts.take(first, 0)
+    short = np.flatnonzero((lengths > 1) & (lengths <= SHORT))
+    for k in range(1, SHORT):
+        short = short[lengths[short] > k]
+        if not len(short):
+            break
+        put_rows(total, short, total.take(short, 0) + parts.take(first[short] + k, 0))
+    long = lengths > SHORT
+    if long.any():
+        sizes = lengths[long]
+        total[long] = np.add.reduceat(parts[np.repeat(long, lengths)], np.cumsum(sizes) - sizes, axis=0)
+    return total
+
+
+def put_rows(table: np.ndarray, where: np.ndarray, rows: np.ndarray) -> None:
+    """``table[where] = rows`` for whole rows, each copied as one item."""
+    item = f"V{table.shape[1] * table.itemsize}"
+    table.view(item).ravel().put(where, np.ascontiguousarray(rows).view(item).ravel())
+
+
+def by_row(rows: np.ndarray, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rows that occur, once each, and the sums of the ``parts`` that are for them."""
     order = np.argsort(rows)
     ordered = rows[order]
     first = np.flatnonzero(np.diff(ordered, prepend=-1))
-    own = ordered[first]
-    if len(own):
-        total[own] += np.add.reduceat(parts.take(order, 0), first, axis=0)
-    return own
+    return ordered[first], summed(parts.take(order, 0), first)
 
 
 class Network:
@@ -161,6 +185,8 @@ class Network:
         self.layout, self.flat = layout, flat
         self.ways = layout.ways()
         self.by_input, self.recurrent, self.by_class, self.by_word = layout.split(flat)
+        self._logits = np.empty((CHUNK, layout.classes), np.float32)  # fresh pages cost as much as a product
+        self._ones = np.ones(layout.classes, np.float32)
 
     def run(self, inputs: np.ndarray, begins: np.ndarray, state: np.ndarray, keep: bool):
         """States before each token (with a one at the end), the last state, and what
@@ -190,66 +216,79 @@ class Network:
                gradient: list[np.ndarray] | None = None, scale: float = 1.0):
         """Natural log probability of each token given the states; with ``gradient`` also the
         gradient of minus ``scale`` times their sum, which is returned for the states."""
+        out, back, met = self.learned(before, classes, words, None if gradient is None else gradient[2], scale)
+        if gradient is not None:
+            gradient[3][met[0]] += met[1]
+        return out, back
+
+    def learned(self, before: np.ndarray, classes: np.ndarray, words: np.ndarray,
+                by_class: np.ndarray | None, scale: float):
+        """The same, with the gradient of the classes added to ``by_class``, and that of the choices
+        returned as the rows of those met, once each."""
         n = len(classes)
         out = np.empty(n, np.float32)
-        back = None if gradient is None else np.empty((n, HIDDEN + 1), np.float32)
-        by_class, by_word = (None, None) if gradient is None else gradient[2:]
+        back = None if by_class is None else np.empty((n, HIDDEN), np.float32)
         for at in range(0, n, CHUNK):
             part = slice(at, min(at + CHUNK, n))
-            out[part], d_class = self._softmax(before[part], classes[part], by_class, scale)
-            among, d_word = self._choices(before[part], words[part], by_word, scale)
-            out[part] += among
+            out[part], found = self._softmax(before[part], classes[part], by_class, scale)
             if back is not None:
-                np.add(d_class, d_word, out=back[part])
-        return out, None if back is None else back[:, :HIDDEN]
+                back[part] = found
+        among, met = self._choices(before, words, back, scale)
+        out += among
+        return out, back, met
 
     def _softmax(self, states, own, gradient, scale: float):
         """Log probability of each state's own class, and the states' gradients."""
-        logits = states @ self.by_class.T
+        logits = np.matmul(states, self.by_class.T, out=self._logits[:len(own)])
         index = (np.arange(len(own)), own)
         value = logits[index]
         np.exp(logits, out=logits)
-        total = logits.sum(1)
+        total = logits @ self._ones
+        value -= np.log(total)
         if gradient is None:
-            return value - np.log(total), None
-        logits *= (scale / total)[:, None]
-        logits[index] -= scale
-        gradient += logits.T @ states
-        return value - np.log(total), logits @ self.by_class
-
-    def _choices(self, states, words, gradient, scale: float):
-        """Log probability of the choices that lead to each state's word within its class, and the
-        states' gradients."""
-        ways = self.ways[words]
-        real = np.flatnonzero(ways >= 0)  # choices of a state are neighbours
-        nodes, owner = ways.ravel()[real], real // ways.shape[1]
+            return value, None
+        # All that follows is in proportion to the totals, so the few states are scaled, not the many logits.
+        logits[index] -= total
+        share = (np.float32(scale) / total)[:, None]
+        gradient += logits.T @ (states * share)
+        back = logits @ self.by_class[:, :HIDDEN]
+        back *= share
+        return value, back
+
+    def _choices(self, states, words, back, scale: float):
+        """Log probability of the choices that lead to each state's word within its class. With
+        ``back``, the states' gradients are added to it, and those of the choices are returned.
+
+        States are taken by word: at each level equal choices are then neighbours, so that neither
+        their weights nor their gradients have to be sorted."""
+        order = np.argsort(words)
+        order = order[np.searchsorted(words, 0, sorter=order):]
+        own = words.take(order)
+        ways = self.ways.take(own, 0).T
+        level, at = np.nonzero(ways >= 0)
+        nodes, owner = ways[level, at], order.take(at)
         met, weights = states.take(owner, 0), self.by_word.take(nodes, 0)
         margin = np.einsum("ij,ij->i", met, weights)
-        left = words.take(owner) <= nodes
+        left = own.take(at) <= nodes
         np.negative(margin, out=margin, where=~left)
         small = np.exp(-np.abs(margin))
         value = np.bincount(owner, np.minimum(margin, 0) - np.log1p(small), len(words))
         value = value.astype(np.float32)
-        if gradient is None:
+        if back is None:
             return value, None
         wrong = np.where(margin < 0, np.float32(scale), np.float32(scale) * small) / (1 + small)
         np.negative(wrong, out=wrong, where=left)
         weights *= wrong[:, None]
-        back = np.zeros_like(states)
-        first = np.flatnonzero(np.diff(owner, prepend=-1))
-        if len(first):
-            back[owner[first]] = np.add.reduceat(weights, first, axis=0)
-        order = np.argsort(nodes)
-        ordered = nodes[order]
-        met = states.take(owner[order], 0)
-        met *= wrong[order][:, None]
-        first = np.flatnonzero(np.diff(ordered, prepend=-1))
-        if len(first):
-            gradient[ordered[first]] += np.add.reduceat(met, first, axis=0)
-        return value, back
-
-    def backward(self, inputs, begins, before, kept, d_before, gradient) -> np.ndarray:
-        """Carry the states' gradients back through the window's steps; the rows of its inputs."""
+        met *= wrong[:, None]
+        ends = np.searchsorted(level, np.arange(len(ways) + 1))
+        for part in map(slice, ends, ends[1:]):  # a state has one choice a level
+            put_rows(back, owner[part], back.take(owner[part], 0) + weights[part, :HIDDEN])
+        first = np.flatnonzero(np.diff(nodes, prepend=-1))
+        return value, (nodes[first], summed(met, first))
+
+    def backward(self, inputs, begins, before, kept, d_before, gradient):
+        """Carry the states' gradients back through the window's steps: the rows of its inputs, once
+        each, and their gradients, which are added to ``gradient`` too if it has a place for them."""
         h = HIDDEN
         before, (update, reset, inner, fresh) = before[:, :, :h], kept
         d_state = np.zeros_like(before[0])
@@ -272,7 +311,10 @@ class Network:
             if begins[t].any():
                 d_state[begins[t]] = 0
         gradient[1] += before.reshape(-1, h).T @ carried.reshape(-1, 3 * h)
-        return add_rows(gradient[0], inputs.ravel(), d_fed.reshape(-1, 3 * h))
+        rows, sums = by_row(inputs.ravel(), d_fed.reshape(-1, 3 * h))
+        if gradient[0] is not None:
+            gradient[0][rows] += sums
+        return rows, sums
 
 
 def log_likelihood(network: Network, tokens: Tokens) -> np.ndarray:
@@ -296,11 +338,16 @@ class Trainer:
     def __init__(self, layout: Layout, flat: np.ndarray, rate: float = RATE):
         self.network, self.rate = Network(layout, flat.copy()), rate
         # Not zeros_like, which would write to all of it: rows that are never met take no memory.
-        self.gradient, *self.moments = [np.zeros(len(flat), flat.dtype) for _ in range(3)]
+        self.moments = [np.zeros(len(flat), flat.dtype) for _ in range(2)]
+        # Only what each window changes as a whole: inputs and choices have their gradients by row.
+        recurrent, by_class = layout.shapes()[1:3]
+        self.gradient = np.zeros(int(np.prod(recurrent)) + int(np.prod(by_class)), flat.dtype)
+        self.whole = [self.gradient[:np.prod(recurrent)].reshape(recurrent),
+                      self.gradient[np.prod(recurrent):].reshape(by_class)]
         self.steps = self.seen = 0
 
     def learn(self, tokens: Tokens) -> None:
-        network, gradient = self.network, self.network.layout.split(self.gradient)
+        network = self.network
         state = np.zeros((0, HIDDEN), np.float32)
         # Few tokens run in fewer lanes, so that they make enough steps too.
         most = min(TRAIN_LANES, max(LEAST_LANES, len(tokens.inputs) // (TRAIN_WINDOW * LEAST_STEPS)))
@@ -311,35 +358,33 @@ class Trainer:
             real = grid >= 0
             number = grid[real]
             d_before = np.zeros((*grid.shape, HIDDEN), np.float32)
-            d_before[real] = network.output(before[real], tokens.classes[number],
-                                            tokens.words[number], gradient, 1 / len(number))[1]
-            rows = network.backward(inputs, begins, before, kept, d_before, gradient)
-            self._step(rows, self._met(tokens.words[number]), len(number) / (most * TRAIN_WINDOW))
+            _, d_before[real], choices = network.learned(
+                before[real], tokens.classes[number], tokens.words[number], self.whole[1], 1 / len(number))
+            fed = network.backward(inputs, begins, before, kept, d_before, [None, self.whole[0]])
+            self._step(fed, choices, len(number) / (most * TRAIN_WINDOW))
             self.seen += len(number)
 
-    def _met(self, words: np.ndarray) -> np.ndarray:
-        """The choices that lead to these words, once each."""
-        met = np.zeros(len(self.network.by_word) + 1, bool)
-        met[self.network.ways[words]] = True
-        return np.flatnonzero(met[:-1])
-
-    def _step(self, rows: np.ndarray, choices: np.ndarray, share: float) -> None:
-        """A step in proportion to the window's tokens: few lanes run in a long document's end. ``rows``
-        and ``choices`` are the rows of inputs and of words' choices that the window has."""
+    def _step(self, fed: tuple, choices: tuple, share: float) -> None:
+        """A step in proportion to the window's tokens: few lanes run in a long document's end. ``fed``
+        and ``choices`` are the rows of inputs and of words' choices that the window has, and their
+        gradients."""
         self.steps += 1
         split = self.network.layout.split
-        whole, *moments = ([m[0].take(rows, 0), m[1], m[2], m[3].take(choices, 0)] for m in map(
-            split, (self.gradient, *self.moments)))
-        norm = float(np.sqrt(sum(float(np.vdot(g, g)) for g in whole)))
+        gradients = [fed[1], *self.whole, choices[1]]
+        norm = float(np.sqrt(sum(float(np.vdot(g, g)) for g in gradients)))
         rate = share * self.rate * np.sqrt(1 - 0.99 ** self.steps) / (1 - 0.9 ** self.steps)
         scale = np.float32(1 / max(norm, 1.0))
-        changes = [self._change(*of, scale, np.float32(rate)) for of in zip(whole, *moments)]
-        for weights, gradient, first, second, change, now, where in zip(
-                split(self.network.flat), split(self.gradient), *map(split, self.moments), changes,
-                zip(*moments), (rows, ..., ..., choices)):
-            weights[where] -= change
-            first[where], second[where] = now
-            gradient[where] = 0
+        for weights, gradient, first, second, where in zip(
+                split(self.network.flat), gradients, *map(split, self.moments), (fed[0], None, None, choices[0])):
+            if where is None:
+                weights -= self._change(gradient, first, second, scale, np.float32(rate))
+                continue
+            of = [first.take(where, 0), second.take(where, 0)]
+            change = self._change(gradient, *of, scale, np.float32(rate))
+            put_rows(weights, where, weights.take(where, 0) - change)
+            put_rows(first, where, of[0])
+            put_rows(second, where, of[1])
+        self.gradient[:] = 0
 
     @staticmethod
     def _change(gradient, first, second, scale, rate) -> np.ndarray:

@@ -48,12 +48,28 @@ PIECE = 1 << 18  # weights travel in pieces of so many numbers
 END = b""
 
 
+_KIND = np.array([1 if b == 46 else 2 if b == 44 else 0 if b >= 128 or chr(b).isalnum() else 3
+                  for b in range(256)], np.int32)
+
+
+def forms(vocabulary: pa.Array) -> np.ndarray:
+    """The class of each word by its form: the first letter beyond ASCII, and the kind of the last byte."""
+    if not len(vocabulary):
+        return np.zeros(0, np.int32)
+    vocabulary = vocabulary.cast(pa.large_binary())
+    _, places, data = vocabulary.buffers()
+    at = np.frombuffer(places, np.int64)[vocabulary.offset:][:len(vocabulary) + 1]
+    data = np.frombuffer(data, np.uint8)[:at[-1]]
+    accent = np.zeros(len(vocabulary), np.int32)
+    letters = at[0] + np.flatnonzero(data[at[0]:] >= 0xC0)[::-1]
+    word = np.searchsorted(at, letters, side="right") - 1
+    inner = letters + 1 < at[word + 1]
+    accent[word[inner]] = 1 + data[letters[inner] + 1] % 16  # backwards, so that the first one stays
+    return accent * 4 + _KIND[data[at[1:] - 1]]
+
+
 def form(word: bytes) -> int:
-    """A class by form: the first letter beyond ASCII, and the kind of the last byte."""
-    accent = next((1 + word[i + 1] % 16 for i in range(len(word) - 1) if word[i] >= 0xC0), 0)
-    last = word[-1]
-    kind = 1 if last == 46 else 2 if last == 44 else 0 if last >= 128 or chr(last).isalnum() else 3
-    return accent * 4 + kind
+    return int(forms(pa.array([word], pa.large_binary()))[0])
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -61,10 +77,9 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows, data, offsets in blocks(batches, "text", BLOCK):
         found = words(data, offsets, lower=True)
         n = np.bincount(found.codes, minlength=len(found.vocabulary))
-        forms = [form(w) for w in found.vocabulary.to_pylist()]
         listed = pa.concat_arrays([found.vocabulary.cast(pa.binary()), pa.array([END], pa.binary())])
         yield pa.RecordBatch.from_arrays(
-            [listed.cast(pa.string()), pa.array([*forms, -1], pa.int32()),
+            [listed.cast(pa.string()), pa.array(np.append(forms(found.vocabulary), np.int32(-1))),
              pa.array(np.append(n, len(rows)).astype(np.int64))], ["word", "form", "n"])
 
 
@@ -112,10 +127,10 @@ class Vocabulary:
             self._prepare()
         at = np.fromiter(map(lambda w: self.known.get(w, -1), found), np.int64, len(found))
         other = np.flatnonzero(at < 0)
-        forms = np.fromiter((form(found[i]) for i in other.tolist()), np.int64, len(other))
+        kinds = forms(pa.array([found[i] for i in other.tolist()], pa.large_binary()))
         kind, weight, share = self.head_class[at], self.weight[at], np.zeros(len(found))
-        kind[other], weight[other] = self.head_classes + forms, -1.0
-        share[other] = -np.log10(self.form_mass)[forms]
+        kind[other], weight[other] = self.head_classes + kinds, -1.0
+        share[other] = -np.log10(self.form_mass)[kinds]
         inputs = np.where(at >= 0, at, self.head + kind)
         return [*(x.astype(np.int32) for x in (inputs, kind, at)), weight, share]
 
@@ -158,8 +173,7 @@ def build_vocabulary(table: DataFrame) -> Vocabulary:
     for row in table.where("word <> ''").groupBy("form").agg(
             F.sum(F.col("c") + 1).alias("m")).collect():  # at most FORMS rows
         mass[row.form] += row.m
-    for word, c in zip(names[1:], numbers[1:]):
-        mass[form(word)] -= c + 1
+    np.subtract.at(mass, forms(pa.array(names[1:], pa.large_binary())), numbers[1:] + 1)
     return Vocabulary(names, numbers, mass, int(sums[0] or 0), int(sums[1]))
 
 
